@@ -240,7 +240,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows with a null id stay only where no id of their component is not null. Repeated rows
     of one id are one row in the result, whichever columns differ.
     """
-    groups = near_duplicates(docs, id_col, text_col)
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["__keep"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    groups = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keep = groups.groupBy(F.col("doc_id").alias("__keep")).agg(F.count("*").alias("__rows"))
+    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["__keep"]))
+    once = kept.filter(F.col("__rows") == 1)
+    more = kept.filter(F.col("__rows") > 1).dropDuplicates([id_col])
+    return once.unionByName(more).drop("__keep", "__rows")

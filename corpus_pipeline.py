@@ -1,11 +1,59 @@
-"""A corpus in stages: each reads the documents that its predecessor wrote."""
+"""A corpus in stages: each works on the documents its predecessor kept.
+
+Toxic documents go, one document of each near-duplicate group stays, documents with
+benchmark passages go, personal data is replaced, and what is left is packed.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cantorel.llm import decontaminate, packing, pii, queries, simhash, storage, toxicity
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, fitted on the folder's labels less the held-out fold, scores below the threshold."""
+    return toxicity.accepted(docs, queries.toxicity_model(spark, sf_dir))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each SimHash group."""
+    return simhash.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of the folder's benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind; n_chars is that of the new text."""
+    out = pii.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of full windows, each source in proportion to its tokens."""
+    return packing.pack(docs, queries.tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("simhash", near_duplicates),
+    ("decontamination", decontaminated),
+    ("pii", without_pii),
+    ("packing", packed),
+]
+
+#: No SQL expresses the fitted model, the edit-distance search or the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages over the documents of ``sf_dir``."""
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        before, docs = docs, storage.materialize(stage(spark, docs, sf_dir), name)
+        storage.drop(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
