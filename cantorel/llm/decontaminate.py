@@ -99,12 +99,14 @@ class Index:
         """(document, item, band, item positions of the shared q-grams) where an item's bound is met."""
         g = grams(data)
         at = np.flatnonzero(self.seen[_slot(g)])
-        if not len(at) or not len(self.keys):
+        if not len(self.keys):
             return []
         k = np.minimum(np.searchsorted(self.keys, g[at]), len(self.keys) - 1)
         doc = np.searchsorted(off, at, "right") - 1
         real = (self.keys[k] == g[at]) & (at + Q <= off[doc + 1])
         at, k, doc = at[real], k[real], doc[real]
+        if not len(at):
+            return []
         n = self.count[k]
         post = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[k], n)
         item, pos, doc = self.item[post], self.pos[post], np.repeat(doc, n)
