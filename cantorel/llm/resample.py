@@ -64,7 +64,7 @@ def _weigh(ratio: np.ndarray):
         for whole in batches:
             for batch in chunks(whole, "text"):
                 bucket, row = buckets(batch.column("text"))
-                weight = np.bincount(row, ratio[bucket], minlength=batch.num_rows)
+                weight = np.bincount(row, ratio[bucket], minlength=batch.num_rows).astype(float)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(weight)], ["doc_id", "mark", "log_weight"])
 
     return run
