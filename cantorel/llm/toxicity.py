@@ -26,10 +26,12 @@ from cantorel.llm.storage import drop, materialize, ship
 PLACES = 1 << 20
 #: Bytes of the word beginnings that are terms too.
 STEMS = (4, 5, 6)
-#: Bounds of the fit: labelled rows, and terms with the highest chi-square against the label.
-MAX_LABELLED, MAX_TERMS, LEAST_CHI2 = 40_000, 4096, 15.0
+#: Bounds of the fit: labelled documents, and terms with the highest chi-square against the label.
+MAX_LABELLED, MAX_TERMS = 20_000, 2048
+#: A term must reach this chi-square and be this many times as common among toxic documents as among others.
+LEAST_CHI2, LEAST_LIFT = 15.0, 2.0
 _STEM_SALT = np.arange(2, 2 + max(STEMS), dtype=np.uint64) * _GOLDEN
-FACTORS, STEPS, RATE, DECAY = 8, 200, 0.05, 1e-4
+FACTORS, STEPS, RATE, DECAY = 8, 200, 0.05, 2e-5
 THRESHOLD = 0.3
 
 
@@ -151,27 +153,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on at most ``max_labelled`` labelled rows, taken by a hash of their id.
 
     Rows with a null id or label don't count; a document labelled both ways is toxic; of
-    repeated documents each row is an example. Without labelled rows, or with one class
-    alone, every score is that class's. Only the chosen terms of the sampled rows come to
-    the driver.
+    repeated documents one, by a hash of its text, is an example. Without labelled rows, or
+    with one class alone, every score is that class's. Only the chosen terms of the sampled
+    rows come to the driver.
     """
     ship(docs.sparkSession)
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
     marks = marks.groupBy("doc_id").agg(F.max("label").alias("label"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sample = rows.join(marks, "doc_id").select("doc_id", "label", F.coalesce("text", F.lit("")).alias("text"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_labelled)  # documents can repeat
-    sample = materialize(sample.repartition("text"), "labelled")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # at most max_labelled pairs of numbers
+    sample = rows.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = materialize(sample, "labelled")
     n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     counts = sample.select("label", "text").mapInArrow(_counts, "place long, toxic long, n long")
     counts = counts.groupBy("place").agg(F.sum("toxic").alias("a"), F.sum("n").alias("k"))
     # chi-square of the table (term present or not) x (toxic or not)
     d = F.lit(float(n)) * F.col("a") - F.col("k") * F.lit(float(positive))
     chi2 = F.lit(float(n)) * d * d / F.greatest(F.col("k") * (n - F.col("k")) * F.lit(float(positive)) * F.lit(float(n - positive)), F.lit(1.0))
-    best = counts.withColumn("chi2", chi2).filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "place").limit(MAX_TERMS)
+    best = counts.withColumn("chi2", chi2).filter((F.col("chi2") >= LEAST_CHI2) & (F.col("a") * (n - positive) >= LEAST_LIFT * (F.col("k") - F.col("a")) * positive)).orderBy(F.desc("chi2"), "place").limit(MAX_TERMS)
     places = np.array(sorted(r["place"] for r in best.select("place").collect()), np.int64)
-    found = sample.select("doc_id", "label", "text").mapInArrow(_sparse(places), "label int, terms array<int>").toArrow()
+    found = sample.mapInArrow(_sparse(places), "label int, terms array<int>").toArrow()
     drop(sample)
     held = found.column("terms").combine_chunks()
     row = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
