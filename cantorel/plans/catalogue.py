@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cantorel import session as ids
+from cantorel.functions import rules
+from cantorel.functions import text as T
+from cantorel.operators import attempts, drift, ordering, review, search, wikitext
+from cantorel.streaming import attempts as stream_attempts
+
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLE: dict[str, str] = {}
@@ -14,7 +20,11 @@ _ORACLE: dict[str, str] = {}
 
 def _query(name: str, sql: str | None = None):
     def add(f: Query) -> Query:
-        _QUERIES[name] = f
+        def run(spark: SparkSession, d: str) -> DataFrame:
+            ids.ship(spark)
+            return f(spark, d)
+
+        _QUERIES[name] = run
         if sql:
             _ORACLE[name] = sql
         return f
@@ -46,3 +56,489 @@ def q_entity_dedup(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy(F.col("l_orderkey").alias("work_id")).agg(
         F.size(ids).cast("long").alias("n_categories"), F.array_join(ids, ",").alias("category_ids")
     )
+
+
+
+@_query(
+    "q_identity_drift",
+    """SELECT p_brand, p_name, count(DISTINCT p_type) AS n_types FROM part GROUP BY p_brand, p_name HAVING count(DISTINCT p_type) > 1""",
+)
+def q_identity_drift(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "part").groupBy("p_brand", "p_name").agg(F.countDistinct("p_type").alias("n_types"))
+    return rows.filter("n_types > 1")
+
+
+@_query(
+    "q_summary_counts",
+    """SELECT count(DISTINCT source) AS categories, count(*) AS memberships, count(DISTINCT lang) AS unique_langs,
+       (SELECT count(*) FROM (SELECT source FROM documents GROUP BY source HAVING count(*) > 1)) AS multi_membership FROM documents""",
+)
+def q_summary_counts(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
+    by = rows.groupBy("source").agg(F.sum("n").alias("n"), F.collect_set("lang").alias("langs"))
+    return by.agg(
+        F.count("source").alias("categories"), F.coalesce(F.sum("n"), F.lit(0)).alias("memberships"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("langs")))).cast("long").alias("unique_langs"), F.count_if(F.col("n") > 1).alias("multi_membership"),
+    )
+
+
+@_query(
+    "q_reason_histogram",
+    """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' THEN 'failed' WHEN value IS NULL THEN 'empty'
+         WHEN value < 10 THEN 'too_small' WHEN event_type IN ('click', 'view') THEN 'browse' WHEN value > 90 THEN 'large' ELSE 'accepted' END AS reason
+       FROM events) GROUP BY reason""",
+)
+def q_reason_histogram(spark: SparkSession, d: str) -> DataFrame:
+    v, e = F.col("value"), F.col("event_type")
+    reason = rules.first_match(
+        [(e == "error", "failed"), (v.isNull(), "empty"), (v < 10, "too_small"), (e.isin("click", "view"), "browse"), (v > 90, "large")], "accepted"
+    )
+    return _table(spark, d, "events").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@_query("q_status_histogram", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def q_status_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+
+
+def _keys(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return (
+        _table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")),
+        _table(spark, d, "orders").filter("o_totalprice > 200000").select(F.col("o_custkey").alias("k")),
+    )
+
+
+@_query("q_set_difference", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
+def q_set_difference(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _keys(spark, d)
+    return a.subtract(b)
+
+
+@_query("q_intersection", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 INTERSECT SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
+def q_intersection(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _keys(spark, d)
+    return a.intersect(b)
+
+
+@_query("q_union_distinct", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 UNION SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
+def q_union_distinct(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _keys(spark, d)
+    return a.union(b).distinct()
+
+
+@_query(
+    "q_set_equality",
+    """WITH a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linestatus = 'F')
+       SELECT (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS missing, (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS extra""",
+)
+def q_set_equality(spark: SparkSession, d: str) -> DataFrame:
+    # both sides in one pass: an order's membership of either set is a flag
+    rows = _table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("a"), F.bool_or(F.col("l_linestatus") == "F").alias("b"))
+    return rows.agg(F.count_if(F.col("a") & ~F.col("b")).alias("missing"), F.count_if(F.col("b") & ~F.col("a")).alias("extra"))
+
+
+def _order_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of each customer before 1998 and from then on: two snapshots of a category's count."""
+    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    return _table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count_if(~late).alias("before"), F.count_if(late).alias("after"))
+
+
+_COUNTS = """WITH c AS (SELECT o_custkey AS k, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS before,
+   count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS after FROM orders GROUP BY o_custkey) """
+
+
+@_query(
+    "q_full_reconcile",
+    _COUNTS + "SELECT CASE WHEN before = 0 THEN 'added' WHEN after = 0 THEN 'removed' WHEN before = after THEN 'same' ELSE 'changed' END AS status, count(*) AS n FROM c GROUP BY 1",
+)
+def q_full_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    c = _order_counts(spark, d)
+    status = rules.first_match([(c.before == 0, "added"), (c.after == 0, "removed"), (c.before == c.after, "same")], "changed")
+    return c.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+@_query("q_drift_counts", _COUNTS + "SELECT k, before AS previous_member_count, after AS current_member_count FROM c WHERE before > 0 AND after > 0 AND before <> after")
+def q_drift_counts(spark: SparkSession, d: str) -> DataFrame:
+    c = _order_counts(spark, d).filter("before > 0 and after > 0 and before <> after")
+    return c.select("k", F.col("before").alias("previous_member_count"), F.col("after").alias("current_member_count"))
+
+
+@_query(
+    "q_rename_candidates",
+    """WITH m AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem), n AS (SELECT s, count(*) AS n FROM m GROUP BY s),
+       o AS (SELECT a.s AS a, b.s AS b, count(*) AS overlap FROM m a JOIN m b ON a.p = b.p AND a.s < b.s GROUP BY 1, 2)
+       SELECT x.s_name AS source_name, y.s_name AS candidate_name, CAST(levenshtein(lower(x.s_name), lower(y.s_name)) AS INTEGER) AS name_distance, overlap, na.n + nb.n - overlap AS union_size
+       FROM o JOIN n na ON na.s = a JOIN n nb ON nb.s = b JOIN supplier x ON x.s_suppkey = a JOIN supplier y ON y.s_suppkey = b
+       WHERE overlap * 100 >= 18 * (na.n + nb.n - overlap) AND levenshtein(lower(x.s_name), lower(y.s_name)) <= 6""",
+)
+def q_rename_candidates(spark: SparkSession, d: str) -> DataFrame:
+    members = _table(spark, d, "lineitem").select(F.col("l_suppkey").alias("name_id"), F.col("l_partkey").alias("member")).distinct()
+    names = _table(spark, d, "supplier").select(F.col("s_suppkey").alias("name_id"), F.col("s_name").alias("name"))
+    rows = members.join(names, "name_id")
+    pairs = drift.rename_candidates(rows, rows, 6, 0.18, ordered=True)
+    return pairs.select("source_name", "candidate_name", "name_distance", "overlap", "union_size")
+
+
+_LATEST = "SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r, count(*) OVER (PARTITION BY user_id) + 1 AS next_number FROM events"
+
+
+@_query("q_latest_state", f"SELECT user_id, event_id, event_type FROM ({_LATEST}) WHERE r = 1")
+def q_latest_state(spark: SparkSession, d: str) -> DataFrame:
+    return attempts.latest(_table(spark, d, "events"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
+@_query("q_next_number", f"SELECT user_id, next_number FROM ({_LATEST}) WHERE r = 1")
+def q_next_number(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "events").groupBy("user_id").agg((F.count("*") + 1).alias("next_number"))
+
+
+@_query(
+    "q_history_violations",
+    """WITH e AS (SELECT user_id, event_id, bool_or(event_type = 'error') OVER w AS dead, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events
+         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+       SELECT user_id, event_id, coalesce(event_id - prev, 0) AS gap FROM e WHERE coalesce(dead, false)""",
+)
+def q_history_violations(spark: SparkSession, d: str) -> DataFrame:
+    rows = attempts.after_terminal(_table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+    gap = F.col("event_id") - F.lag("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return rows.withColumn("gap", F.coalesce(gap, F.lit(0))).filter("after_terminal").select("user_id", "event_id", "gap")
+
+
+@_query(
+    "q_circuit_breaker",
+    """WITH e AS (SELECT event_id, CAST(ts AS DATE) AS day, bool_or(event_type = 'purchase') OVER w AS open FROM events
+         WINDOW w AS (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+       SELECT CAST(day AS VARCHAR) AS day, count(*) FILTER (WHERE NOT coalesce(open, false)) AS started, count(*) FILTER (WHERE coalesce(open, false)) AS skipped FROM e GROUP BY day""",
+)
+def q_circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    rows = attempts.after_terminal(rows, "day", ["ts", "event_id"], F.col("event_type") == "purchase")
+    return rows.groupBy(F.col("day").cast("string").alias("day")).agg(F.count_if(~F.col("after_terminal")).alias("started"), F.count_if("after_terminal").alias("skipped"))
+
+
+@_query("q_shard_assign", "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 3 + 1 AS INTEGER) AS shard FROM documents")
+def q_shard_assign(spark: SparkSession, d: str) -> DataFrame:
+    return review.shards(_table(spark, d, "documents").select("doc_id"), "doc_id", 3)
+
+
+@_query(
+    "q_sortedness",
+    """SELECT count(*) AS violations FROM (SELECT o_custkey, o_orderkey, lag(o_custkey) OVER (ORDER BY o_orderkey) AS p, lag(o_orderkey) OVER (ORDER BY o_orderkey) AS q FROM orders)
+       WHERE p > o_custkey OR (p = o_custkey AND q > o_orderkey)""",
+)
+def q_sortedness(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "orders").select("o_orderkey", F.struct("o_custkey", "o_orderkey").alias("v"))
+    return ordering.with_previous(rows, "o_orderkey", "v").agg(F.count_if(F.col("previous") > F.col("v")).alias("violations"))
+
+
+@_query("q_topk_paged", "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 18 OFFSET 36")
+def q_topk_paged(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").offset(36).limit(18)
+
+
+@_query(
+    "q_sort_multi",
+    "SELECT p_partkey, row_number() OVER (ORDER BY lower(p_name), CASE WHEN p_type LIKE 'P%' THEN 1 ELSE 0 END, p_partkey) - 1 AS category_id FROM part",
+)
+def q_sort_multi(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "part").select("p_partkey", F.struct(F.lower("p_name").alias("n"), F.when(F.col("p_type").like("P%"), 1).otherwise(0).alias("t"), "p_partkey").alias("k"))
+    return ordering.numbered(rows, "k").select("p_partkey", F.col("n").alias("category_id"))
+
+
+@_query(
+    "q_first_wins",
+    """SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey
+         ORDER BY l_linenumber, l_extendedprice, l_suppkey, l_shipdate) AS r FROM lineitem) WHERE r = 1""",
+)
+def q_first_wins(spark: SparkSession, d: str) -> DataFrame:
+    first = F.min(F.struct("l_linenumber", "l_extendedprice", "l_suppkey", "l_shipdate"))
+    rows = _table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(first.alias("f"))
+    return rows.select("l_orderkey", "l_partkey", "f.l_linenumber", "f.l_suppkey")
+
+
+@_query("q_left_lookup_default", "SELECT c_custkey, coalesce(n_name, 'pending') AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 2")
+def q_left_lookup_default(spark: SparkSession, d: str) -> DataFrame:
+    n = _table(spark, d, "nation").filter("n_regionkey <> 2")
+    rows = _table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return rows.select("c_custkey", F.coalesce("n_name", F.lit("pending")).alias("nation"))
+
+
+@_query(
+    "q_override_merge",
+    """WITH o AS (SELECT s_nationkey, max(s_acctbal) AS s_acctbal FROM supplier GROUP BY s_nationkey)
+       SELECT c_custkey, coalesce(s_acctbal, c_acctbal, 0) AS value FROM customer LEFT JOIN o ON s_nationkey = c_nationkey AND c_mktsegment = 'BUILDING'""",
+)
+def q_override_merge(spark: SparkSession, d: str) -> DataFrame:
+    o = _table(spark, d, "supplier").groupBy("s_nationkey").agg(F.max("s_acctbal").alias("over"))
+    c = _table(spark, d, "customer")
+    rows = c.join(o, (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("c_mktsegment") == "BUILDING"), "left")
+    return rows.select("c_custkey", F.coalesce("over", "c_acctbal", F.lit(0.0)).alias("value"))
+
+
+@_query("q_semi_facets", "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R' AND l_discount >= 0.09)")
+def q_semi_facets(spark: SparkSession, d: str) -> DataFrame:
+    hit = _table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_discount >= 0.09")
+    return _table(spark, d, "orders").join(hit, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey")
+
+
+@_query("q_anti", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def q_anti(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "documents").select("doc_id").join(_table(spark, d, "labels"), "doc_id", "left_anti")
+
+
+@_query(
+    "q_unique_match",
+    "SELECT p_partkey, p_brand, p_name FROM (SELECT *, count(*) OVER (PARTITION BY p_brand, p_name) AS n FROM part) WHERE n = 1",
+)
+def q_unique_match(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "part").groupBy("p_brand", "p_name").agg(F.count("*").alias("n"), F.min("p_partkey").alias("p_partkey"))
+    return rows.filter("n = 1").select("p_partkey", "p_brand", "p_name")
+
+
+_NAMES = "WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part) "
+
+
+@_query("q_theta_levenshtein", _NAMES + "SELECT a.name AS a, b.name AS b, CAST(levenshtein(a.name, b.name) AS INTEGER) AS distance FROM n a JOIN n b ON a.name < b.name WHERE levenshtein(a.name, b.name) <= 2")
+def q_theta_levenshtein(spark: SparkSession, d: str) -> DataFrame:
+    n = _table(spark, d, "part").select(F.lower("p_name").alias("name")).distinct()
+    return drift.close_names(n, n, 2).filter("a < b")
+
+
+#: Misspelt terms that the fuzzy query looks for.
+_MISSPELT = ("gera", "wigdet", "bol", "glbue", "vavle", "boltt", "ca")
+
+
+@_query(
+    "q_fuzzy_osa",
+    f"""WITH t AS (SELECT unnest({list(_MISSPELT)!r}) AS term), w AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS word FROM part)
+       SELECT term, word, CAST(damerau_levenshtein(term, word) AS INTEGER) AS cost FROM t, w WHERE length(term) >= 4 AND damerau_levenshtein(term, word) <= 1""",
+)
+def q_fuzzy_osa(spark: SparkSession, d: str) -> DataFrame:
+    asked = spark.createDataFrame([(t,) for t in _MISSPELT], "term string").withColumn("limit", F.least(T.tolerance(F.col("term")), F.lit(1)))
+    words = _table(spark, d, "part").select(F.explode(T.tokens(F.lower("p_name"))).alias("word")).distinct()
+    near = words.join(F.broadcast(asked), T.may_match(F.col("term"), F.col("word"), F.col("limit")))
+    return near.withColumn("cost", T.fuzzy_cost(F.col("term"), F.col("word"))).filter("cost <= limit").select("term", "word", "cost")
+
+
+#: Queries of the ranked search.
+_ASKED = ("gear", "red gear", "blue bolt", "widget", "zz", "gear red")
+
+
+@_query(
+    "q_exact_rank",
+    f"""WITH q AS (SELECT unnest({list(_ASKED)!r}) AS query), p AS (SELECT DISTINCT p_brand, lower(p_name) AS name, lower(p_type) AS type FROM part),
+       m AS (SELECT query, p_brand, name, type, name || ' ' || type AS blob, string_split(query, ' ') AS terms FROM q, p)
+       SELECT query, p_brand, name, type, CASE WHEN name = query OR type = query THEN 0 WHEN starts_with(name, query) OR starts_with(type, query) THEN 1
+         WHEN len(list_filter(terms, lambda t: NOT contains(name, t))) = 0 OR len(list_filter(terms, lambda t: NOT contains(type, t))) = 0 THEN 2 ELSE 3 END AS score
+       FROM m WHERE len(list_filter(terms, lambda t: NOT contains(blob, t))) = 0""",
+)
+def q_exact_rank(spark: SparkSession, d: str) -> DataFrame:
+    q = spark.createDataFrame([(t,) for t in _ASKED], "query string").withColumn("terms", T.terms(F.col("query")))
+    p = _table(spark, d, "part").select("p_brand", F.lower("p_name").alias("name"), F.lower("p_type").alias("type")).distinct()
+    p = p.withColumn("fields", F.array("name", "type")).withColumn("blob", F.concat_ws(" ", "name", "type"))
+    p = p.withColumn("tokens", T.tokens(F.col("blob")))
+    rows = p.join(F.broadcast(q), F.forall("terms", lambda t: T.contains(F.col("blob"), F.col("tokens"), t)))
+    return rows.select("query", "p_brand", "name", "type", search.exact_score(F.col("fields"), F.col("blob"), F.col("tokens"), F.col("query"), F.col("terms")).alias("score"))
+
+
+@_query(
+    "q_suggest",
+    """WITH b AS (SELECT p_brand AS label, count(*) AS n, 0 AS g FROM part GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 3),
+       w AS (SELECT p_name AS label, count(*) AS n, 1 AS g FROM part GROUP BY p_name ORDER BY n DESC, p_name LIMIT 6)
+       SELECT label, n, g FROM (SELECT *, row_number() OVER (ORDER BY g, n DESC, label) AS r FROM (SELECT * FROM b UNION ALL SELECT * FROM w)) WHERE r <= 6""",
+)
+def q_suggest(spark: SparkSession, d: str) -> DataFrame:
+    p = _table(spark, d, "part")
+
+    def top(column: str, g: int, k: int) -> DataFrame:
+        rows = p.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
+        return rows.orderBy(F.desc("n"), "label").limit(k).withColumn("g", F.lit(g))
+
+    return top("p_brand", 0, 3).unionByName(top("p_name", 1, 6)).orderBy("g", F.desc("n"), "label").limit(6)
+
+
+_LATIN = "éèêëàâäáãåçîïíôöóõûüúñ"
+_PLAIN = "eeeeaaaaaaciiioooouuun"
+
+
+@_query(
+    "q_normalize_text",
+    f"""SELECT doc_id, length(f) AS folded_chars, md5(f) AS folded_md5, CAST(len(list_distinct(regexp_extract_all(f, '[a-z]+'))) AS BIGINT) AS n_tokens
+       FROM (SELECT doc_id, translate(lower(text), '{_LATIN}', '{_PLAIN}') AS f FROM documents)""",
+)
+def q_normalize_text(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "documents").select("doc_id", F.translate(F.lower("text"), _LATIN, _PLAIN).alias("f"))
+    return rows.select(
+        "doc_id", F.length("f").cast("long").alias("folded_chars"), F.md5(F.col("f").cast("binary")).alias("folded_md5"),
+        F.size(F.array_distinct(F.regexp_extract_all("f", F.lit("[a-z]+"), F.lit(0)))).cast("long").alias("n_tokens"),
+    )
+
+
+@_query(
+    "q_token_index",
+    "SELECT token, count(*) AS doc_frequency FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+|[0-9]+'))) AS token FROM documents) GROUP BY token",
+)
+def q_token_index(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "documents").select(F.explode(T.tokens(F.lower("text"))).alias("token"))
+    return rows.groupBy("token").agg(F.count("*").alias("doc_frequency"))
+
+
+@_query(
+    "q_regex_flags",
+    """SELECT flag, count(*) AS n FROM (
+       SELECT unnest(list_filter([CASE WHEN regexp_matches(text, '[A-Z]{4,}') THEN 'shouting' END, CASE WHEN regexp_matches(text, '[%&*#$]{3}') THEN 'symbols' END,
+         CASE WHEN regexp_matches(text, ' \\| ') THEN 'pipes' END, CASE WHEN regexp_matches(text, '[0-9]{4}') THEN 'digits' END], lambda x: x IS NOT NULL)) AS flag FROM documents) GROUP BY flag""",
+)
+def q_regex_flags(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    found = rules.flags([(t.rlike("[A-Z]{4,}"), "shouting"), (t.rlike("[%&*#$]{3}"), "symbols"), (t.rlike(r" \| "), "pipes"), (t.rlike("[0-9]{4}"), "digits")])
+    return _table(spark, d, "documents").select(F.explode(found).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+
+
+@_query(
+    "q_url_checks",
+    """SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path,
+       coalesce(starts_with(url, 'https://') AND (lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) = 'example.net' OR lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) LIKE '%.example.net'), false) AS allowed FROM pages""",
+)
+def q_url_checks(spark: SparkSession, d: str) -> DataFrame:
+    url = F.col("url")
+    return _table(spark, d, "pages").select(
+        "page_id", F.lower(F.try_parse_url(url, F.lit("HOST"))).alias("host"), F.try_parse_url(url, F.lit("PATH")).alias("path"), T.allowed_url(url, "example.net", "").alias("allowed")
+    )
+
+
+@_query(
+    "q_html_extract",
+    """SELECT page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<a href="')) AS BIGINT) AS n_links,
+       CAST(length(regexp_replace(html, '(?s)<script>.*?</script>', '', 'g')) AS BIGINT) AS chars_without_scripts FROM pages""",
+)
+def q_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    h = F.col("html")
+    return _table(spark, d, "pages").select(
+        "page_id", F.regexp_extract(h, "(?s)<title>(.*?)</title>", 1).alias("title"), F.regexp_count(h, F.lit('<a href="')).cast("long").alias("n_links"),
+        F.length(F.regexp_replace(h, "(?s)<script>.*?</script>", "")).cast("long").alias("chars_without_scripts"),
+    )
+
+
+@_query(
+    "q_access_classifier",
+    """SELECT status, count(*) AS n FROM (SELECT CASE WHEN contains(html, 'page=') THEN 'paged' WHEN contains(html, '<script') AND starts_with(url, 'https') THEN 'scripted'
+       WHEN contains(html, '<script') THEN 'insecure' ELSE 'plain' END AS status FROM pages) GROUP BY status""",
+)
+def q_access_classifier(spark: SparkSession, d: str) -> DataFrame:
+    h = F.col("html")
+    status = rules.first_match([(h.contains("page="), "paged"), (h.contains("<script") & F.col("url").startswith("https"), "scripted"), (h.contains("<script"), "insecure")], "plain")
+    return _table(spark, d, "pages").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+@_query("q_json_props", "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
+def q_json_props(spark: SparkSession, d: str) -> DataFrame:
+    k = F.from_json("props", "k long")["k"]
+    return _table(spark, d, "events").groupBy("event_type").agg(F.sum(k).alias("total"))
+
+
+@_query("q_hash_bucket", "SELECT c_custkey, substr(sha256(c_name), 1, 10) AS bucket, 'membership:' || substr(sha256(c_name), 1, 10) || ':source:f' || c_custkey || '@r1' AS membership_id FROM customer")
+def q_hash_bucket(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "customer").select(
+        "c_custkey", F.substr(F.sha2("c_name", 256), F.lit(1), F.lit(10)).alias("bucket"),
+        ids.membership_id(F.col("c_name"), ids.source_id(F.col("c_custkey"), F.lit(1))).alias("membership_id"),
+    )
+
+
+@_query(
+    "q_heading_last",
+    """SELECT conv_id, turn, last_user_chars FROM (SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN length(text) END IGNORE NULLS)
+       OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_user_chars FROM conversations) WHERE role = 'assistant'""",
+)
+def q_heading_last(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("role") == "user", F.length("text").cast("long")), ignorenulls=True).over(w)
+    return _table(spark, d, "conversations").select("conv_id", "turn", "role", last.alias("last_user_chars")).filter("role = 'assistant'").drop("role")
+
+
+@_query(
+    "q_role_fold",
+    """SELECT conv_id, string_agg(substr(role, 1, 1), '' ORDER BY turn) AS roles, count(*) FILTER (WHERE role <> prev OR prev IS NULL) AS switches
+       FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations) GROUP BY conv_id""",
+)
+def q_role_fold(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    start = F.struct(F.lit("").alias("roles"), F.lit("").alias("last"), F.lit(0).cast("long").alias("n"))
+    fold = F.aggregate(
+        "t", start,
+        lambda a, x: F.struct(
+            F.concat(a["roles"], F.left(x["role"], F.lit(1))).alias("roles"), x["role"].alias("last"), (a["n"] + F.when(x["role"] == a["last"], 0).otherwise(1)).alias("n")
+        ),
+    )
+    return rows.select("conv_id", fold.alias("f")).select("conv_id", "f.roles", F.col("f.n").alias("switches"))
+
+
+@_query(
+    "q_constraint_report",
+    """SELECT 'duplicate_line' AS rule, l_orderkey || '/' || l_linenumber AS key, CAST(count(*) AS VARCHAR) AS detail FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+       UNION ALL SELECT 'name_variants', p_name, CAST(count(DISTINCT p_type) AS VARCHAR) FROM part GROUP BY p_name HAVING count(DISTINCT p_type) > 1
+       UNION ALL SELECT DISTINCT 'unknown_order', CAST(l_orderkey AS VARCHAR), 'no parent' FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+       UNION ALL SELECT DISTINCT 'unknown_part', CAST(l_partkey AS VARCHAR), 'no parent' FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)""",
+)
+def q_constraint_report(spark: SparkSession, d: str) -> DataFrame:
+    lines, part = _table(spark, d, "lineitem"), _table(spark, d, "part")
+    return rules.report([
+        rules.duplicates(lines, "duplicate_line", "l_orderkey", "l_linenumber"),
+        rules.variants(part, "p_name", "p_type", "name_variants"),
+        rules.orphans(lines, "l_orderkey", _table(spark, d, "orders"), "o_orderkey", "unknown_order"),
+        rules.orphans(lines, "l_partkey", part, "p_partkey", "unknown_part"),
+    ])
+
+
+@_query(
+    "q_path_collision",
+    """SELECT p_partkey, CASE WHEN r = 1 THEN p_name ELSE p_name || '__' || substr(sha1(CAST(p_partkey AS VARCHAR)), 1, 8) END AS path
+       FROM (SELECT *, row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_partkey) AS r FROM part)""",
+)
+def q_path_collision(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy(F.lower("p_name")).orderBy("p_partkey")
+    suffix = F.concat(F.col("p_name"), F.lit("__"), F.substr(F.sha1(F.col("p_partkey").cast("string")), F.lit(1), F.lit(8)))
+    rows = _table(spark, d, "part").select("p_partkey", "p_name", F.row_number().over(w).alias("r"))
+    return rows.select("p_partkey", F.when(F.col("r") == 1, F.col("p_name")).otherwise(suffix).alias("path"))
+
+
+@_query("q_remaining_bytes", "SELECT CAST(sum(coalesce(n_chars, 0)) AS BIGINT) AS remaining FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def q_remaining_bytes(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "documents").select("doc_id", "n_chars").join(_table(spark, d, "labels"), "doc_id", "left_anti")
+    return rows.agg(F.sum(F.coalesce("n_chars", F.lit(0))).alias("remaining"))
+
+
+@_query("q_group_nested", "SELECT n_name, string_agg(s_name, ' | ' ORDER BY s_name) AS suppliers, count(s_name) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
+def q_group_nested(spark: SparkSession, d: str) -> DataFrame:
+    s = _table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_join(F.array_sort(F.collect_list("s_name")), " | ").alias("suppliers"), F.count("*").alias("n"))
+    rows = _table(spark, d, "nation").join(s, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    return rows.select("n_name", "suppliers", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@_query(
+    "q_numeric_sort",
+    "SELECT brand, row_number() OVER (ORDER BY k, brand) AS n FROM (SELECT DISTINCT p_brand AS brand, regexp_extract(p_brand, '^[^0-9]*') || lpad(regexp_extract(p_brand, '[0-9]+'), 6, '0') AS k FROM part)",
+)
+def q_numeric_sort(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "part").select(F.col("p_brand").alias("brand")).distinct().withColumn("k", F.struct(T.numeric_key(F.col("brand")).alias("k"), "brand"))
+    return ordering.numbered(rows, "k").select("brand", (F.col("n") + 1).alias("n"))
+
+
+@_query("q_casefold")
+def q_casefold(spark: SparkSession, d: str) -> DataFrame:
+    return _table(spark, d, "documents").select("doc_id", F.sha2(T.nfc_casefold("text").cast("binary"), 256).alias("folded_sha256"))
+
+
+@_query("q_stream_state")
+def q_stream_state(spark: SparkSession, d: str) -> DataFrame:
+    """The attempt-log state machine run as a stream over the events until they are used up."""
+    return stream_attempts.replay(spark, f"{d}/events.parquet")
+
+
+@_query("q_wikitext_parse")
+def q_wikitext_parse(spark: SparkSession, d: str) -> DataFrame:
+    """Heading trees of pages written in wiki markup from the documents."""
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.repeat(F.lit("="), 2 + i % 3), F.lit(" "), F.substr(x, F.lit(1), F.lit(40)), F.lit(" "), F.repeat(F.lit("="), 2 + i % 3)))
+    page = F.concat(F.lit("|*****FILES***** =\n"), F.array_join(lines, "\n"), F.lit("\n|*****WORK INFO***** =\n|Instrumentation=guitar\n"))
+    pages = _table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("page_id"), F.lit("1").alias("revision_id"), page.alias("wikitext"))
+    return wikitext.headings(pages).select("page_id", "node_ord", "level", "normalized", F.array_join("ancestry_normalized", " > ").alias("ancestry"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +40,20 @@ def is_decimal_id(c: Column) -> Column:
 
 def is_sha(c: Column, bits: int) -> Column:
     return c.rlike(rf"^[0-9a-f]{{{bits // 4}}}\z")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's functions and operators to the Python workers once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="ship"), "cantorel_base.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for p in [top / "__init__.py", top / "session.py", *(q for d in ("functions", "operators", "sources", "streaming") for q in sorted((top / d).glob("*.py")))]:
+            z.write(p, f"cantorel/{p.relative_to(top)}")
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
