@@ -194,25 +194,92 @@ def files(sections: DataFrame) -> DataFrame:
     return sections.withColumn("__r", F.row_number().over(first)).filter("__r = 1").drop("__r")
 
 
-# Forms in titles and their Chinese names, longer before shorter.
+# Titles with an established translation.
+KNOWN_TITLES = {
+    "The Entertainer": "《演艺人》",
+    "The One Horse Open Sleigh": "《一匹马拉的雪橇》（《铃儿响叮当》原题）",
+    "Stille Nacht, heilige Nacht, H.145": "《平安夜》，H.145",
+    "Wachet auf, ruft uns die Stimme, BWV 140": "《醒来吧，守望者的声音呼唤》，BWV 140",
+    "12 Danzas españolas": "《12首西班牙舞曲》",
+    "Danza mora": "《摩尔舞曲》",
+    "Dolly Suite, Op.56": "《洋娃娃组曲》，Op.56",
+    "French Suite No.1 in D minor, BWV 812": "D小调第1号法国组曲，BWV 812",
+    "Musikalisches Opfer, BWV 1079": "《音乐的奉献》，BWV 1079",
+    "Préludes, Livre 1, CD 125": "《前奏曲集》第1册，CD 125",
+    "Lieder ohne Worte, Op.19b": "《无词歌》，Op.19b",
+    "Mallorca, Op.202": "《马略卡》，Op.202",
+    "Solace": "《慰藉》",
+    "Home, Sweet Home": "《家，甜蜜的家》",
+    "Ding Dong Merrily on High": "《叮咚！欢乐在高天》",
+    "Pastime with Good Company": "《与良友共度时光》",
+    "Sonatina, Sz.55": "《小奏鸣曲》，Sz.55",
+    "Ma fin est mon commencement": "《我的终点就是我的起点》",
+    "Puis qu'en oubli": "《既然我被遗忘》",
+    "J'ay pris amours": "《我已选择爱情》",
+    "Allez regrets": "《离去吧，悔恨》",
+    "Les petits riens, K.Anh.10/299b": "《小小的无事》，K.Anh.10/299b",
+    "So oft ich meine Tobackspfeife, BWV 515": "《每当我抽烟斗时》，BWV 515",
+    "Pastorale in D": "D大调田园曲",
+    "Pavan": "帕凡舞曲",
+    "Bolero": "波莱罗舞曲",
+    "Morpeth Rant": "《莫珀斯乡村舞曲》",
+    "Temporal Waves": "《时间之波》",
+    "Timberlake": "《林中湖》",
+    "Coconut Samba": "《椰子桑巴》",
+}
+# Forms in titles and their Chinese names, in the order in which they are tried.
 FORMS = (
-    ("theme and variations", "主题与变奏"), ("prelude and fugue", "前奏曲与赋格"), ("variations", "变奏曲"), ("sonatina", "小奏鸣曲"), ("sonata", "奏鸣曲"), ("concerto", "协奏曲"),
-    ("nocturne", "夜曲"), ("prelude", "前奏曲"), ("fugue", "赋格"), ("fantasia", "幻想曲"), ("waltz", "圆舞曲"), ("mazurka", "玛祖卡"), ("polonaise", "波兰舞曲"), ("minuet", "小步舞曲"),
-    ("serenade", "小夜曲"), ("romance", "浪漫曲"), ("rondo", "回旋曲"), ("suite", "组曲"), ("etude", "练习曲"), ("study", "练习曲"), ("march", "进行曲"), ("song", "歌曲"),
+    ("Prelude and Fugue", "前奏曲与赋格"), ("Trio Sonata", "三重奏鸣曲"), ("Keyboard Sonata", "键盘奏鸣曲"), ("Piano Sonata", "钢琴奏鸣曲"), ("Organ Sonata", "管风琴奏鸣曲"),
+    ("Piano Trio", "钢琴三重奏"), ("String Trio", "弦乐三重奏"), ("Organ Trio", "管风琴三重奏"), ("Baryton Trio", "巴里顿琴三重奏"), ("Divertimento", "嬉游曲"),
+    ("Fantasia", "幻想曲"), ("Fantasie", "幻想曲"), ("Capriccio", "随想曲"), ("Canzonetta", "小坎佐纳"), ("Canzona", "坎佐纳"), ("Canzone", "坎佐纳"), ("Canzon", "坎佐纳"),
+    ("Ricercar", "利切尔卡尔"), ("Toccata", "托卡塔"), ("Tocata", "托卡塔"), ("Galliard", "加利亚德舞曲"), ("Galliarda", "加利亚德舞曲"), ("Paduana", "帕多瓦舞曲"),
+    ("Sonatina", "小奏鸣曲"), ("Sonata", "奏鸣曲"), ("Sinfonia", "三部创意曲"), ("Fugue", "赋格"), ("Fuga", "赋格"), ("Suite", "组曲"), ("Ouverture", "序曲"), ("Overture", "序曲"),
+    ("Serenade", "小夜曲"), ("Adagio", "柔板"), ("Andante", "行板"), ("Allemande", "阿勒曼德舞曲"), ("Almande", "阿勒曼德舞曲"), ("Menuetto", "小步舞曲"), ("Ballades", "叙事歌集"),
 )
-
-
-def fallback_title(title: Column, known: DataFrame | None = None) -> Column:
-    """A Chinese title from form, key and number, or the text that says one is pending."""
-    low = F.lower(title)
-    form = rules.first_match([(low.rlike(rf"(?U)\b{f}s?\b"), zh) for f, zh in FORMS])
-    key = F.regexp_extract(title, r"(?i)\bin ([A-G])(?:[ -](flat|sharp))? (major|minor)\b", 0)
-    letter = F.upper(F.regexp_extract(key, r"(?i)in ([A-G])", 1))
-    sign = F.when(F.lower(key).contains("flat"), "降").when(F.lower(key).contains("sharp"), "升").otherwise("")
-    mode = F.when(F.lower(key).contains("major"), "大调").otherwise("小调")
-    number = F.regexp_extract(title, r"(?i)\bno\.?\s*([0-9]+)", 1)
-    made = F.concat(F.lit("《"), F.when(key != "", F.concat(sign, letter, mode)).otherwise(""), form, F.when(number != "", F.concat(F.lit("第"), number, F.lit("号"))).otherwise(""), F.lit("》"))
-    return F.coalesce(made, F.lit("《待译》"))
+# Other instruments that a title says it is for.
+WRITTEN_FOR = (("3 Violins", "为三把小提琴而作"), ("3 Viols", "为三把维奥尔琴而作"), ("Organ", "为管风琴而作"))
+
+
+def fallback_title(title: Column, target: Target = Target("guitar")) -> Column:
+    """A Chinese title: an established one, or the first known form, the key, the number and the scoring put into Chinese."""
+    form, out = rules.first_match([(title.rlike(rf"(?iuU)\b{f}\b"), f) for f, _ in FORMS], ""), title
+    for f, zh in FORMS:
+        out = F.when(form == f, F.regexp_replace(title, rf"(?iuU)^(.*?)\b{f}\b", f"$1{zh}")).otherwise(out)
+    for sign, zh in (("-flat", "降"), ("-sharp", "升"), ("", "")):
+        for mode, name in (("major", "大调"), ("minor", "小调")):
+            out = F.regexp_replace(out, rf"(?U)\b[iI][nN]\s+([A-G]){sign}\s+(?i:{mode})\b", f"{zh}$1{name}")
+    out = F.regexp_replace(out, r"(?U)\bNo\.(\d+)", "第$1号")
+    own = r"(?:1 )?Guitar" if target.guitars == 1 else rf"{target.guitars} Guitars?"
+    out = F.regexp_replace(out, rf"(?iuU)\bfor {own}\b", "为吉他而作" if target.guitars == 1 else f"为{target.guitars}把吉他而作")
+    for who, zh in WRITTEN_FOR:
+        out = F.regexp_replace(out, rf"(?iuU)\bfor {who}\b", zh)
+    made = F.when(out == title, F.concat(F.lit("暂无通行中译（原题："), title, F.lit("）"))).otherwise(out)
+    known = F.create_map(*[F.lit(x) for pair in KNOWN_TITLES.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, title), made)
+
+
+def sections(headings: DataFrame, target: Target, rejected: list[str]) -> DataFrame:
+    """Attachment rows of parsed headings with ``section``, only those that the category's pages show.
+
+    Original categories take everything before the arrangements; arrangement categories what
+    stands below a target heading, or the whole page where there is none and the work itself is
+    for the target.
+    """
+    rows = headings.filter("error is null and attachment is not null")
+    arranged = F.exists("ancestry_normalized", lambda h: h == "arrangements and transcriptions")
+    if target.kind == "original":
+        return rows.filter(~arranged).withColumn("section", F.lit("original"))
+    hits = F.filter("ancestry", lambda h: target_heading(h, target, rejected))
+    rows = rows.withColumn("section", F.get(hits, F.lit(0)))
+    any_hit = F.max(F.col("section").isNotNull()).over(Window.partitionBy("page_id", "revision_id"))
+    rows = rows.withColumn("__any", any_hit)
+    whole = ~F.col("__any") & work_level(F.col("instrumentation"), target, rejected)
+    return rows.withColumn("section", F.when(whole, "work level").otherwise(F.col("section"))).filter("section is not null").drop("__any")
+
+
+def filename_key(c: Column) -> Column:
+    """File names as they are matched: unescaped, blanks for underscores, folded."""
+    return F.lower(F.replace(F.try_url_decode(F.replace(html_unescape(c), F.lit("+"), F.lit("%2B"))), F.lit("_"), F.lit(" ")))
 
 
 def download_urls(filename: Column, image_path: Column, file_id: Column) -> Column:

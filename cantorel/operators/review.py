@@ -64,38 +64,95 @@ def title_map(rows: DataFrame) -> DataFrame:
     return rows.groupBy("title_en").agg(F.max_by("title_zh", "ord").alias("title_zh"))
 
 
-# Pairs of an English and a Chinese pattern that don't belong together, and the flag they raise.
+# Pairs of a source and a Chinese pattern that don't belong together, by the flag they raise.
 MISTRANSLATIONS = (
-    ("study_as_research", r"(?iu)\b(?:study|studies|etudes?|études?)\b", "研究|学习"),
-    ("minor_as_small", r"(?iu)\bminor\b", "轻微|次要"),
-    ("major_as_main", r"(?iu)\bmajor\b", "主要|专业"),
-    ("sharp_as_keen", r"(?iu)\bsharp\b", "尖锐|锋利"),
-    ("flat_as_level", r"(?iu)\bflat\b", "平坦|公寓"),
-    ("movement_as_motion", r"(?iu)\bmovements?\b", "运动|动作"),
-    ("score_as_points", r"(?iu)\bscores?\b", "分数|得分"),
-    ("air_as_gas", r"(?iu)\bairs?\b", "空气"),
-    ("march_as_month", r"(?iu)\bmarch\b", "三月"),
-    ("round_as_shape", r"(?iu)\bround\b", "圆形"),
+    ("pieces_as_objects", r"\b(?:pieces?|pi[eè]ces?|piezas?|pezzi|st[uü]cke|morceaux)\b", "件"),
+    ("orders_as_dishes", r"\b[oó]rdenes\b", "道菜"),
+    ("prelude_as_stage_opening", r"\b(?:preludes?|preludios?|pr[eé]ludes?)\b", "序幕"),
+    ("air_as_substance", r"\bairs?\b", "空气"),
+    ("saltarello_as_wire", r"\bsaltarell[oi]?\b", "跳线"),
+    ("suite_as_room", r"\bsuites?\b", "套房"),
+    ("etude_as_research", r"\b(?:etudes?|[eé]tudes?|estudios?|studies)\b", "研究|学习"),
+    ("contredanse_as_contradiction", r"\bcontredanses?\b", "矛盾"),
+    ("polonaise_as_person", r"\bpolonaises?\b", "波兰人"),
+    ("mass_as_crowd", r"\b(?:mass(?:es)?|missa|messe)\b", "群众|质量"),
+    ("minuet_missing_qu", r"\b(?:minuets?|menuets?|minuett[oi]?)\b", "小步舞(?!曲)"),
+    ("fugue_as_escape", r"\b(?:fugue|fuga|fuge|fugas)\b", "逃走|航班|逃脱"),
+    ("waltz_as_wrong", r"\b(?:waltz(?:es)?|valse(?:s)?|walzer)\b", "错误|虚假|瓦尔泽"),
+    ("variations_as_changes", r"\b(?:variations?|variaciones|variazioni|variationen)\b", "变化|变体"),
+    ("ricercar_as_rice", r"\b(?:ricercar(?:e|i)?|ricercare)\b", "米饭|水稻|里瑟卡|莱斯卡"),
+    ("courante_as_current", r"\b(?:courante|corrente)\b", "当前|现状|职务|电流"),
+    ("polacca_as_polish", r"\b(?:polacca|polaca)\b", "抛光|波兰语"),
+    ("bolero_as_jacket", r"\bbol[ée]ros?\b", "短上衣"),
+    ("contradanza_as_contrast", r"\bcontradanza\b", "对比度"),
+    ("sonatina_as_sonata", r"\bsonatina\b", "(?<!小)奏鸣曲"),
+    ("duet_as_large_ensemble", r"\b(?:duos?|duets?|duettinos?|duetti)\b", r"[三六]\s*重奏|二人组|双人组|双人舞|对奏|双重奏"),
+    ("minuet_as_menu", r"\b(?:minuets?|menuets?|minuett[oi]?)\b", "菜单"),
+    ("gigue_as_jitter", r"\bgigue\b", "抖动"),
+    ("bourree_as_brewed", r"\bbourr[ée]e?\b", "酿"),
+    ("courses_as_steps", r"\b(?:[oó]rdenes|ordenes)\b", "阶"),
+    ("generic_pieces_missing_noun", r"^\s*\d+\s+(?:pieces?|pi[eè]ces?|morceaux|piezas?|pezzi|st[uü]cke)\s*(?:,|$)", r"《\s*\d+\s*首\s*[，,]"),
+    ("pieces_as_chunks", r"\b(?:pieces?|pi[eè]ces?|morceaux|piezas?|pezzi|st[uü]cke)\b", "小块|小片段"),
+    ("progressive_as_avant_garde", r"\bprogres(?:s)?iv\w*\b", "前卫"),
+    ("society_pieces_as_association", "pi[eè]ces? de soci[eé]t[eé]", "协会|社会作品"),
+    ("guitar_piece_missing_form", r"\bguitar piece no\.?\s*\d+\b", r"吉他第(?:\s*\d+|[一二三四五六七八九十]+)首"),
+    ("andante_as_walking", r"\bandante\b", "行走|步行|走路"),
+    ("allegro_as_joy", r"\ballegro\b", "喜乐|欢乐"),
+    ("andantino_not_diminutive", r"\bandantino\b", "(?<!小)行板|安丹蒂诺"),
+    ("allegretto_not_diminutive", r"\ballegretto\b", "(?<!小)快板|阿勒格雷托"),
+    ("larghetto_mistranslated", r"\blarghetto\b", "(?<!小)广板|慢板|拉盖托|长音"),
+    ("fantasia_missing_form", r"\b(?:fantasias?|fantasies|fantaisies?|fantasien?)\b", "幻想(?=》|[，,、与和第0-9一二三四五六七八九十])"),
+    ("ballet_as_troupe", r"\b(?:ballet|baletto|ballett)\b", "芭蕾舞团"),
+    ("volta_literal_translation", r"^(?:la\s+)?volt[ae]s?\b|\bvoltes?\b", "电压|伏特|时间|避难所|泰晤士报|第[一二三四0-9][^》]*轮"),
+    ("branle_literal_translation", r"\b(?:branle|bransle)\b", "打手枪|打飞机|同性恋|运动|布兰(?:斯)?勒"),
+    ("canarie_as_canary", r"\bcanarie\b", "金丝雀"),
+    ("follia_as_madness", r"\bfollia\b", "疯狂"),
+    ("ground_literal_translation", r"^(?:(?:a|italian)\s+)?ground\b|greensleeves\s+to\s+a\s+ground", "地面|落地"),
+    ("magnificat_wrong_name", r"\bmagnificat\b", "圣母颂|放大曲|颂赞曲|赋格颂赞|赋格颂歌|音颂扬|音颂赞"),
+    ("aubade_untranslated", r"\baubade\b", "奥巴德"),
+    ("almain_literal_translation", r"\balmain\b", "德国|国际金融公司"),
+    ("tiento_as_tent", r"\btiento\b", "帐篷|Tenta"),
+    ("danceries_as_drama", r"\bdanceries\b", "舞剧"),
+    ("in_nomine_as_nomination", r"\bin\s+nomines?\b", "提名|以名义"),
 )
+# Chinese numerals from 1, and prefixes of catalogue numbers.
+CARDINALS = "一 二 三 四 五 六 七 八 九 十 十一 十二 十三 十四 十五 十六 十七 十八 十九 二十".split()
+CATALOGUES = r"BWV|BuxWV|TWV|Krebs-WV|WeissSW|Drexel|Cary|WoO|MS|WSW|VdGS|FVB|IFC|ZD|RV|HWV|Sz|LV|Ch|K\.Anh\.C|[KDSZPFRH]|MT"
 
 
 def quality_flags(en: Column, zh: Column) -> Column:
     """Names of all mistranslation rules that a pair of titles meets."""
-    return rules.flags([(en.rlike(a) & zh.rlike(b), name) for name, a, b in MISTRANSLATIONS])
+    return rules.flags([(en.rlike(f"(?iuU){a}") & zh.rlike(b), name) for name, a, b in MISTRANSLATIONS])
 
 
 def format_flags(zh: Column) -> Column:
-    return rules.flags([(zh.rlike("《[^》]*《"), "nested_title_marks"), (zh.rlike("[\\u4e00-\\u9fff],|,[\\u4e00-\\u9fff]"), "ascii_comma"), (zh.rlike(r"(?i)\bfor\b"), "raw_for")])
+    nested = zh.startswith("《《") | zh.contains("》》") | zh.rlike("《[^》]*《")
+    return rules.flags([(nested, "nested_book_titles"), (zh.contains(", "), "ascii_comma"), (zh.rlike(r"(?iU)\bfor\b"), "raw_for")])
 
 
 def identity_flags(en: Column, zh: Column) -> Column:
-    """Opus and catalogue numbers that one title has and the other doesn't, a flag a class."""
-    number = lambda c, p: F.transform(F.regexp_extract_all(F.upper(c), F.lit(p), F.lit(1)), lambda x: F.ltrim(x, F.lit("0")))
-    opus_en, opus_zh = number(en, r"\bOP(?:\.|US)?\s*([0-9]+)"), number(zh, r"(?:\bOP(?:\.|US)?|作品)\s*(?:第)?\s*([0-9]+)")
-    cat = r"\b((?:BWV|HWV|RV|KV?|D|WOO|HOB)\.?\s*[0-9]+[A-Z]?)\b"
-    same = lambda c: F.transform(F.regexp_extract_all(F.upper(c), F.lit(cat), F.lit(1)), lambda x: F.regexp_replace(x, r"[.\s]|(?<=^K)V", ""))
-    lost = lambda a, b: F.size(F.array_except(a, b)) > 0
-    return rules.flags([(lost(opus_en, opus_zh), "opus_missing"), (lost(opus_zh, opus_en), "opus_added"), (lost(same(en), same(zh)), "catalogue_number_differs")])
+    """Key, opus, work and catalogue numbers that the Chinese title lost; a flag for each kind at most."""
+    key = r"(?iu)\bin\s+([A-G])(?:-?(flat|sharp)|([♭#]))?\s+(major|minor)\b"
+    part = lambda i: F.lower(F.regexp_extract(en, key, i))
+    sign = F.concat(part(2), part(3))
+    want = F.concat(
+        F.when(sign.isin("flat", "♭"), "降").when(sign.isin("sharp", "#"), "升").otherwise(""), F.upper(part(1)), F.when(part(4) == "major", "大调").otherwise("小调")
+    )
+    opus = F.regexp_extract_all(F.lower(en), F.lit(r"(?U)\bop\.?\s*([0-9]+[a-z]?)"), F.lit(1))
+    number = F.regexp_extract_all(en, F.lit(r"(?iU)\bno\.?\s*([0-9]+)"), F.lit(1))
+    chinese = lambda x: F.coalesce(F.get(F.array(*map(F.lit, CARDINALS)), F.try_subtract(F.try_to_number(x, F.lit("999999999")).cast("int"), F.lit(1))), F.lit("~"))
+
+    def shown(x: Column) -> Column:
+        either = F.concat(F.lit("(?:"), x, F.lit("|"), chinese(x), F.lit(")"))
+        forms = (F.lit(r"第\s*"), either, F.lit("|"), either, F.lit(r"\s*号|之\s*"), x, F.lit(r"(?:\D|$)|(?iU:\bno\.?\s*"), x, F.lit(r"\b)"))
+        return F.rlike(zh, F.concat(*forms))
+
+    plain = lambda c: F.lower(F.regexp_replace(c, r"[\s.:：,，\-‐-―]", ""))
+    catalogue = F.regexp_extract_all(en, F.lit(rf"(?<![A-Za-z])((?:{CATALOGUES})\.?\s*\d+(?:[.:/][A-Za-z0-9]+)*(?:[a-z](?:/[a-z])?)?(?:[-–]\d+)?)"), F.lit(1))
+    return rules.flags([
+        (en.rlike(key) & ~F.contains(zh, want), "key_mismatch"), (F.exists(opus, lambda x: ~F.contains(F.lower(zh), x)), "opus_number_missing"),
+        (F.exists(number, lambda x: ~shown(x)), "work_number_missing"), (F.exists(catalogue, lambda x: ~F.contains(plain(zh), plain(x))), "catalog_number_missing"),
+    ])
 
 
 def audit(reviewed: DataFrame, corpus: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ def test_compare(spark):
 
 
 def test_review(spark):
-    corpus = spark.createDataFrame([("1", "Study", "《练习曲》"), ("2", "Waltz in A minor, Op.3", "《轻微》"), ("3", "Air", "《曲》")], "work_id string, title_en string, title_zh string")
+    corpus = spark.createDataFrame([("1", "Studies", "《练习曲》"), ("2", "Waltz in A minor, Op.3", "《轻微》"), ("3", "Air", "《曲》")], "work_id string, title_en string, title_zh string")
     fixes = spark.createDataFrame([("2", "Waltz in A minor, Op.3", "《轻微》", "《a小调圆舞曲，作品3》", "b", "r")], "work_id string, title_en string, old_title_zh string, new_title_zh string, basis string, reason string")
     merged, bad = R.merge(corpus, fixes)
     assert bad.count() == 0 and {r.work_id: r.title_zh for r in merged.collect()}["2"] == "《a小调圆舞曲，作品3》"
@@ -41,7 +41,7 @@ def test_review(spark):
     out, bad = R.supplement(merged, spark.createDataFrame([("1", "《练习曲》", "《研究》", "x", "y"), ("3", "《别》", "《歌》", "x", "y")], "work_id string, current_title_zh string, new_title_zh string, reviewer string, reason string"))
     assert [(r.rule, r.key) for r in bad.collect()] == [("current_title_differs", "3")]
     metrics = {r.metric: r.value for r in R.audit(out, corpus).collect()}
-    assert metrics["records"] == 3 and metrics["study_as_research"] == 1 and metrics["missing"] == 0
+    assert metrics["records"] == 3 and metrics["etude_as_research"] == 1 and metrics["missing"] == 0
     assert sorted((r.work_id, r.shard) for r in R.shards(corpus.select("work_id"), "work_id", 2).collect()) == [("1", 1), ("2", 2), ("3", 1)]
 
 
