@@ -20,8 +20,8 @@ from cantorel.llm.kernels import _GOLDEN, chunks, splitmix, token_hashes
 from cantorel.llm.storage import drop, materialize, ship
 
 BUCKETS = 10_000
-#: Share of all rows to keep.
-FRACTION = 0.75
+#: Share of all rows to keep: about what is not junk in a raw crawl.
+FRACTION = 0.85
 #: Counts added to every bucket of either model.
 SMOOTHING = 1.0
 #: Share of the raw model in the target model. It bounds what one bucket can take from a weight
