@@ -61,7 +61,7 @@ def units(data: np.ndarray, off: np.ndarray, sentences: bool) -> tuple[np.ndarra
 
 
 def _all_units(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """Lines and proper sentences of a batch, in code points of their texts; sentence digests differ from line digests."""
+    """Lines and proper sentences of a batch, in code points of their texts; equal words make equal digests, line or sentence."""
     data, off = text_bytes(batch.column("text"))
     lines, parts = units(data, off, False), units(data, off, True)
     # a sentence that is its whole line is that line's unit already

@@ -124,6 +124,31 @@ def queries() -> dict[str, Query]:
     }
 
 
+_WORD, _NO_WORD = r"[A-Za-z0-9_\x{80}-\x{10FFFF}]", r"[^A-Za-z0-9_\x{80}-\x{10FFFF}]"
+_OP2 = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, text AS t, coalesce(text, '') AS x FROM documents),
+l AS (SELECT doc_id, ls[i] AS x, CAST(coalesce(list_sum(list_transform(ls[1:i - 1], lambda s: length(s) + 1)), 0) AS BIGINT) AS o
+      FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(x, chr(10)) AS ls FROM d))),
+p AS (SELECT doc_id, o, x AS line, ps[i] AS x, CAST(o + coalesce(list_sum(list_transform(ps[1:i - 1], lambda s: length(s))), 0) AS BIGINT) AS so
+      FROM (SELECT *, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT *, string_split(regexp_replace(x, '([.!?])([ \t\r])', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS ps FROM l))),
+u AS (SELECT doc_id, x, o + length(regexp_extract(x, '^{_NO_WORD}*')) AS a, o + length(x) AS b, 5 AS least FROM l
+      UNION ALL
+      SELECT doc_id, x, so + length(regexp_extract(x, '^{_NO_WORD}*')), so + length(x), 8 FROM p
+      WHERE NOT (so + length(regexp_extract(x, '^{_NO_WORD}*')) = o + length(regexp_extract(line, '^{_NO_WORD}*')) AND so + length(x) = o + length(line))),
+w AS (SELECT doc_id, a, b, array_to_string(ws, ' ') AS words FROM (SELECT *, regexp_extract_all(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS ws FROM u) WHERE len(ws) >= least),
+r AS (SELECT DISTINCT doc_id, a, b FROM (SELECT *, min(struct_pack(d := doc_id, s := a)) OVER (PARTITION BY words) AS first FROM w) WHERE struct_pack(d := doc_id, s := a) > first),
+g AS (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY a, b) AS k
+      FROM (SELECT *, max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM r)),
+m AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM g GROUP BY doc_id, k),
+c AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS e FROM m),
+j AS (SELECT doc_id, count(*) AS n, CAST(sum(b - a) AS BIGINT) AS chars, string_agg(a || ':' || b, ',' ORDER BY a) AS spans, max(b) AS tail,
+             string_agg(substr(d.x, e + 1, a - e), '' ORDER BY a) AS head FROM c JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_removed, coalesce(chars, 0) AS removed_chars, coalesce(spans, '') AS spans,
+       sha256(CASE WHEN n IS NULL THEN d.x ELSE head || substr(d.x, tail + 1) END) AS text_sha256
+FROM d LEFT JOIN j ON j.doc_id = d.doc_id
+"""
+
+
 _OP3 = """
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
@@ -157,5 +182,44 @@ FROM e GROUP BY conv_id
 """
 
 
+def _op5_sql() -> str:
+    """Spans of every kind by splitting at its pattern; RE2 has no look-around, so runs stand for it."""
+    digits = "regexp_replace(v, '[^0-9]', '', 'g')"
+    luhn = (
+        f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({digits})[i] AS INTEGER) "
+        f"ELSE 2 * CAST(reverse({digits})[i] AS INTEGER) - CASE WHEN CAST(reverse({digits})[i] AS INTEGER) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"
+    )
+    turned = "substr(replace(v, ' ', ''), 5) || substr(replace(v, ' ', ''), 1, 4)"
+    mod97 = (
+        f"list_reduce(list_prepend(0, list_transform(string_split({turned}, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)), "
+        "lambda a, b: (CASE WHEN b < 10 THEN a * 10 ELSE a * 100 END + b) % 97) = 1"
+    )
+    kinds = (  # name, pattern, what a hit starts with that is no part of the span, condition
+        ("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "", "true"),
+        ("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "", "len(list_filter(string_split(v, '.'), lambda p: length(ltrim(p, '0')) > 3 OR TRY_CAST(right(p, 3) AS INTEGER) > 255)) = 0"),
+        ("card", "[0-9]([ -]?[0-9])+", "", f"length({digits}) BETWEEN 14 AND 19 AND {luhn}"),
+        ("phone", "\\+[0-9][ ().0-9-]+[0-9]", "", f"length({digits}) BETWEEN 10 AND 15"),
+        ("iban", "(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?:[^A-Za-z0-9]|$)", "[^A-Za-z0-9]", f"length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND {mod97}"),
+        ("ssn", "[0-9-]+", "", "regexp_matches(v, '^[0-9]{3}-[0-9]{2}-[0-9]{4}$') AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$') "
+         "AND regexp_matches(lower(substr(t, greatest(a - 40, 0) + 1, length(v) + 80)), '\\bssn\\b|social|security|taxpayer')"),
+    )
+    parts = []
+    for order, (name, pattern, lead, good) in enumerate(kinds):
+        skip = f"length(regexp_extract(h, '^{lead}'))" if lead else "0"
+        value = f"regexp_replace(h, '^{lead}|{lead}$', '', 'g')" if lead else "h"
+        parts.append(
+            f"SELECT doc_id, r, {order} AS k, '{name}' AS kind, a, a + length(v) AS b FROM (SELECT doc_id, r, t, CAST(p0 + {skip} AS BIGINT) AS a, {value} AS v FROM ("
+            f"SELECT doc_id, r, t, hits[i] AS h, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS p0 "
+            f"FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT *, regexp_extract_all(t, '{pattern}') AS hits, string_split_regex(t, '{pattern}') AS gaps FROM d)))) WHERE {good}"
+        )
+    span = "kind || ':' || a || ':' || b"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{n}') AS n_{n}" for n in ("email", "ip", "card", "phone"))
+    return (
+        "WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents), s AS (" + " UNION ALL ".join(parts) + ") "
+        f"SELECT any_value(d.doc_id) AS doc_id, {counts}, sha256(coalesce(string_agg({span}, ',' ORDER BY a, k) FILTER (WHERE k < 4), '')) AS base_sha256, "
+        f"coalesce(string_agg({span}, ',' ORDER BY a, k), '') AS spans FROM d LEFT JOIN s ON s.r = d.r GROUP BY d.r"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_topk": _OP3, "op4_warc_archives": _OP4, "op7_chat_format": _OP7}
+    return {"op2_line_dedup": _OP2, "op3_exact_topk": _OP3, "op4_warc_archives": _OP4, "op5_pii": _op5_sql(), "op7_chat_format": _OP7}
