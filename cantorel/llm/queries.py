@@ -31,8 +31,8 @@ def op1_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """What repeats of lines and sentences are cut from every document."""
-    docs = linededup.dedup(_table(spark, d, "documents").select("doc_id", "text", F.length("text").alias("chars")))
+    """The documents that repeats of lines and sentences are cut from, with the spans cut and the digest of what is left."""
+    docs = linededup.dedup(_table(spark, d, "documents").select("doc_id", "text", F.length("text").alias("chars"))).filter(F.size("removed") > 0)
     left = F.coalesce(F.length("text"), F.lit(0))
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return docs.select(
@@ -143,9 +143,8 @@ m AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM g GROUP BY doc_id, k),
 c AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS e FROM m),
 j AS (SELECT doc_id, count(*) AS n, CAST(sum(b - a) AS BIGINT) AS chars, string_agg(a || ':' || b, ',' ORDER BY a) AS spans, max(b) AS tail,
              string_agg(substr(d.x, e + 1, a - e), '' ORDER BY a) AS head FROM c JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT d.doc_id, coalesce(n, 0) AS n_removed, coalesce(chars, 0) AS removed_chars, coalesce(spans, '') AS spans,
-       sha256(CASE WHEN n IS NULL THEN d.x ELSE head || substr(d.x, tail + 1) END) AS text_sha256
-FROM d LEFT JOIN j ON j.doc_id = d.doc_id
+SELECT d.doc_id, n AS n_removed, chars AS removed_chars, spans, sha256(head || substr(d.x, tail + 1)) AS text_sha256
+FROM d JOIN j ON j.doc_id = d.doc_id
 """
 
 
