@@ -9,7 +9,7 @@ from cantorel.functions import rules
 from cantorel.functions.text import allowed_url, casefold
 from cantorel.operators.ordering import numbered, with_previous
 
-IDENTITY = ("title_en", "title_zh", "composer_en", "composer_zh", "imslp_url")
+IDENTITY = ("title_en", "title_zh", "composer_en", "composer_zh", "source_url")
 # Families in the order in which they are shown.
 FAMILY_ORDER = ("guitar", "strings", "woodwinds", "brass", "keyboard_reed", "plucked", "percussion", "mixed_chamber")
 
@@ -58,7 +58,7 @@ def summary(cats: DataFrame, done: DataFrame) -> DataFrame:
     ).join(F.broadcast(cats.agg(F.count("*").alias("categories"))))
 
 
-def violations(cats: DataFrame, done: DataFrame, domain: str = "imslp.org") -> DataFrame:
+def violations(cats: DataFrame, done: DataFrame, domain: str) -> DataFrame:
     """What is wrong in a public catalogue: ids, references, counts, order, links, empty fields."""
     bridge = done.select("id", F.explode("category_ids").alias("category_id"))
     counted = bridge.groupBy("category_id").agg(F.count("*").alias("n"))
@@ -71,7 +71,7 @@ def violations(cats: DataFrame, done: DataFrame, domain: str = "imslp.org") -> D
     return rules.report([
         rules.duplicates(done, "duplicate_work", "id"), rules.duplicates(cats, "duplicate_category", "id"), rules.orphans(bridge, "category_id", cats, "id", "unknown_category"),
         rules.violation(both, "work_count_differs", F.coalesce("id", "category_id"), F.col("n")), rules.violation(unsorted, "not_sorted", F.col("v.id"), F.lit("")),
-        rules.violation(done.filter(empty), "empty_field", F.col("id"), F.lit("")), rules.violation(done.filter(~allowed_url(F.col("imslp_url"), domain, "/wiki/")), "link_not_allowed", F.col("id"), F.col("imslp_url")),
+        rules.violation(done.filter(empty), "empty_field", F.col("id"), F.lit("")), rules.violation(done.filter(~allowed_url(F.col("source_url"), domain, "/wiki/")), "link_not_allowed", F.col("id"), F.col("source_url")),
         rules.violation(gaps, "category_ids_not_contiguous", F.col("b"), F.col("n")),
         rules.violation(done.filter((F.size("category_ids") == 0) | (F.array_sort(F.array_distinct("category_ids")) != own)), "category_ids_not_sorted", F.col("id"), F.lit("")),
     ])

@@ -282,9 +282,9 @@ def filename_key(c: Column) -> Column:
     return F.lower(F.replace(F.try_url_decode(F.replace(html_unescape(c), F.lit("+"), F.lit("%2B"))), F.lit("_"), F.lit(" ")))
 
 
-def download_urls(filename: Column, image_path: Column, file_id: Column) -> Column:
+def download_urls(filename: Column, image_path: Column, file_id: Column, site: str) -> Column:
     """Candidate addresses of a file, best first, without repeats."""
-    base = F.lit("https://imslp.org")
+    base = F.lit(site)
     made = F.array(
         F.when(image_path.isNotNull(), F.concat(base, F.lit("/images/"), image_path)),
         F.when(file_id.isNotNull(), F.concat(base, F.lit("/wiki/Special:ImagefromIndex/"), file_id)),

@@ -97,10 +97,10 @@ def apply_reviews(decisions: DataFrame, reviews: DataFrame) -> tuple[DataFrame,
     return out.select(*decisions.columns), bad
 
 
-def config_violations(config: DataFrame) -> DataFrame:
+def config_violations(config: DataFrame, site: str) -> DataFrame:
     """What is wrong in an allowlist (name, url, kind, guitar_count text, instrumentation_patterns, heading_patterns, annotation_reject_tokens)."""
     anchored = F.forall(F.concat("instrumentation_patterns", "heading_patterns"), lambda p: p.startswith("^") & p.endswith("$"))
-    url = F.concat(F.lit("https://imslp.org/wiki/Category:"), F.replace("name", F.lit(" "), F.lit("_")))
+    url = F.concat(F.lit(f"{site}/wiki/Category:"), F.replace("name", F.lit(" "), F.lit("_")))
     count = F.col("guitar_count").rlike(r"^([1-9]|1[0-6])\z") | F.col("guitar_count").isin("ensemble", "[2,3]")
     arr = (F.col("kind") == "arrangement") == F.col("name").endswith("(arr)")
     name = F.col("name")
@@ -206,5 +206,6 @@ def read_url_state(state: Column, families: list[str], kinds: list[str], categor
     return F.struct(get("q").alias("text"), known("family", families).alias("family"), known("kind", kinds).alias("kind"), known("category", categories).alias("category"))
 
 
-def page_url(title: Column) -> Column:
-    return F.concat(F.lit("https://imslp.org/wiki/"), percent_encoded(F.replace(title, F.lit(" "), F.lit("_"))))
+def page_url(title: Column, site: str) -> Column:
+    """The address of a page of a wiki site."""
+    return F.concat(F.lit(f"{site}/wiki/"), percent_encoded(F.replace(title, F.lit(" "), F.lit("_"))))

@@ -27,7 +27,9 @@ _MARK = r"(?m)^[ \t]*\|[ \t]*\*{5}%s\*{5}[ \t]*(?:=[ \t]*)?\r?$"
 _FILES, _INFO = re.compile(_MARK % "FILES"), re.compile(_MARK % "WORK INFO")
 _HEADING = re.compile(r"(?m)^(={2,6})[ \t]*(.*?)[ \t]*\1[ \t]*$")
 _FIELD = re.compile(r"(?mi)^[ \t]*\|{1,2}[ \t]*File (Name|ID)(?:[ \t]+([1-9][0-9]*))?[ \t]*=[ \t]*([^\r\n]*)$")
-_TEMPLATE = re.compile(r"(?i)\{\{[ \t]*#fte:imslpfile\b")
+# Fixed value: the name of the template that attaches files.
+FILE_TEMPLATE = "#fte:imslpfile"
+_TEMPLATE = re.compile(rf"(?i)\{{\{{[ \t]*{FILE_TEMPLATE}\b")
 
 
 def normal_heading(s: str) -> str:

@@ -8,11 +8,11 @@ from cantorel.operators import entities as E
 from cantorel.operators import ordering, paths
 from cantorel.operators import production as P
 
-BRIDGE = "id string, category_id int, title_en string, title_zh string, composer_en string, composer_zh string, imslp_url string"
+BRIDGE = "id string, category_id int, title_en string, title_zh string, composer_en string, composer_zh string, source_url string"
 
 
 def bridge(spark, *more):
-    u = "https://imslp.org/wiki/X"
+    u = "https://scores.example/wiki/X"
     rows = [("10", 0, "Étude", "《练习曲》", "Sor", "索尔", u), ("10", 1, "Étude", "《练习曲》", "Sor", "索尔", u), ("9", 1, "Air", "《曲》", "Bach", "巴赫", u), *more]
     return spark.createDataFrame(rows, BRIDGE)
 
@@ -36,8 +36,8 @@ def test_catalogue_constraints(spark):
     done, _ = E.works(bridge(spark))
     done = ordering.numbered(done.withColumn("k", F.struct("composer_en", "title_en", "id")), "k", "ord").drop("k")
     cats = spark.createDataFrame([(0, "a", 1), (1, "b", 2)], "id int, name string, work_count int")
-    assert E.violations(cats, done).count() == 0
-    bad = E.violations(cats.withColumn("work_count", F.lit(5)), done.withColumn("imslp_url", F.lit("http://imslp.org.evil/wiki/")).withColumn("ord", -F.col("ord")))
+    assert E.violations(cats, done, "scores.example").count() == 0
+    bad = E.violations(cats.withColumn("work_count", F.lit(5)), done.withColumn("source_url", F.lit("http://scores.example.evil/wiki/")).withColumn("ord", -F.col("ord")), "scores.example")
     assert {r.rule for r in bad.collect()} == {"work_count_differs", "link_not_allowed", "not_sorted"}
     with pytest.raises(rules.ViolationError):
         rules.assert_empty(bad)
@@ -110,8 +110,8 @@ def test_production_rules(spark):
 
 
 def test_urls_titles_and_keys(spark):
-    df = spark.createDataFrame([("https://imslp.org/wiki/A", True), ("https://x.imslp.org/wiki/A", True), ("http://imslp.org/wiki/A", False), ("https://imslp.org.evil/wiki/", False), ("https://u@imslp.org/wiki/A", False), (None, False), ("nonsense", False)], "u string, want boolean")
-    assert df.filter(T.allowed_url(F.col("u"), "imslp.org", "/wiki/") != F.col("want")).count() == 0
+    df = spark.createDataFrame([("https://scores.example/wiki/A", True), ("https://x.scores.example/wiki/A", True), ("http://scores.example/wiki/A", False), ("https://scores.example.evil/wiki/", False), ("https://u@scores.example/wiki/A", False), (None, False), ("nonsense", False)], "u string, want boolean")
+    assert df.filter(T.allowed_url(F.col("u"), "scores.example", "/wiki/") != F.col("want")).count() == 0
     t = spark.createDataFrame([("Air (Bach, J. S.)",), ("Air",)], "s string").select(T.page_title(F.col("s")).alias("p")).collect()
     assert [tuple(r.p) for r in t] == [("Air", "Bach, J. S."), ("Air", "Unknown")]
     k = spark.createDataFrame([("For 12 guitars",), ("For 2 guitars",)], "s string").orderBy(T.numeric_key(F.col("s"))).collect()

@@ -37,11 +37,11 @@ def test_reviews_are_bound_to_decisions(spark):
 
 def test_config_choice_and_display(spark):
     kind = "name string, url string, kind string, guitar_count string, instrumentation_patterns array<string>, heading_patterns array<string>"
-    u = "https://imslp.org/wiki/Category:"
+    u = "https://scores.example/wiki/Category:"
     good = [("For guitar", u + "For_guitar", "original", "1", ["^guitar$"], []), ("For guitar (arr)", u + "For_guitar_(arr)", "arrangement", "1", ["^guitar$"], ["^for guitar$"])]
-    assert S.config_violations(spark.createDataFrame(good, kind)).count() == 0
+    assert S.config_violations(spark.createDataFrame(good, kind), "https://scores.example").count() == 0
     bad = spark.createDataFrame([("For guitar", u, "arrangement", "99", ["guitar"], [])], kind)
-    assert len({r.rule for r in S.config_violations(bad).collect()}) == 4
+    assert len({r.rule for r in S.config_violations(bad, "https://scores.example").collect()}) == 4
     conf = spark.createDataFrame([(i, n, k) for i, (n, k) in enumerate([("a", "original"), ("b", "arrangement"), ("c", "original")])], "ord int, name string, kind string")
     assert [r.name for r in S.choose(conf, "original", limit=1).collect()] == ["a"]
     assert [r.name for r in S.choose(conf, names=["c", "b"]).collect()] == ["b", "c"]
@@ -81,7 +81,7 @@ def test_fallback_titles_and_sections(spark):
     assert [r.g for r in got] == [r.w for r in got]
     from cantorel.operators import wikitext as W
 
-    fte = lambda n: "{{#fte:imslpfile\n|File Name 1=" + n + "\n|File ID 1=1\n}}\n"
+    fte = lambda n: "{{" + W.FILE_TEMPLATE + "\n|File Name 1=" + n + "\n|File ID 1=1\n}}\n"
     page = "| *****FILES***** =\n==Scores==\n" + fte("own.pdf") + "==Arrangements and Transcriptions==\n===For 2 guitars===\n====Smith====\n" + fte("two.pdf") + "===For piano===\n" + fte("p.pdf") + "| *****WORK INFO***** =\n|Instrumentation=guitar\n"
     h = W.headings(spark.createDataFrame([("1", "1", page)], "page_id string, revision_id string, wikitext string"))
     names = lambda t: sorted((r.attachment.filename, r.section) for r in P.sections(h, t, ["piano"]).collect())

@@ -18,7 +18,7 @@ def page(body, scored="guitar", names=("For guitar", "For 3 guitars (arr)")):
 
 def fte(name, file_id=None, n=1):
     ident = f"|File ID {n}={file_id}\n" if file_id else ""
-    return "{{#fte:imslpfile\n|File Name " + f"{n}={name}\n{ident}" + "}}\n"
+    return "{{" + W.FILE_TEMPLATE + "\n|File Name " + f"{n}={name}\n{ident}" + "}}\n"
 
 
 A = "=====Arrangements and Transcriptions=====\n"
@@ -93,8 +93,8 @@ def test_metadata_association(decide):
 
 def test_parse_errors_and_comments():
     assert W.parse_page("nothing")["error"] == "files_region_invalid"
-    assert W.parse_page(page("{{#fte:imslpfile\n|File Name 1=x.pdf")[1])["error"] == "unbalanced_template"
-    assert W.parse_page(page("{{#fte:imslpfile}}")[1])["error"] == "file_template_missing_filename"
+    assert W.parse_page(page("{{" + W.FILE_TEMPLATE + "\n|File Name 1=x.pdf")[1])["error"] == "unbalanced_template"
+    assert W.parse_page(page("{{" + W.FILE_TEMPLATE + "}}")[1])["error"] == "file_template_missing_filename"
     got = W.parse_page(page("<!-- ==A==\n" + fte("x.pdf") + "-->\n==B==\n" + fte("y &amp; z.pdf", 4))[1])
     assert [(n["raw"], [a["filename"] for a in n["attachments"]]) for n in got["nodes"]] == [(None, []), ("B", ["y & z.pdf"])]
 
