@@ -59,3 +59,11 @@ def test_edges(spark):
     assert rs.resample(docs(spark, []), df).count() == 0
     once = rs.resample(df, df, fraction=0.5).collect()
     assert sorted(map(str, once)) == sorted(map(str, rs.resample(df.repartition(3), df, fraction=0.5).collect()))
+
+
+def test_labelled_target_is_bounded(spark):
+    df = clashing(docs(spark, [good(i) for i in range(50)] + [None], [*range(50), None]))
+    labels = spark.createDataFrame([(i % 30,) for i in range(60)] + [(None,), (99,)], "doc_id long")
+    assert rs.labelled_target(df, labels).columns == df.columns
+    assert rs.labelled_target(df, labels).count() == 30
+    assert rs.labelled_target(df, labels, max_target=7).count() in (6, 7)
