@@ -25,8 +25,7 @@ def tokenizer_path() -> str:
 def op1_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
     """Documents sampled by their resemblance to those labelled as of good quality."""
     docs = _table(spark, d, "documents")
-    good = _table(spark, d, "labels").filter("quality = 1").select("doc_id").distinct()
-    target = docs.join(good, "doc_id", "left_semi")
+    target = resample.labelled_target(docs, _table(spark, d, "labels").filter("quality = 1"))
     return resample.resample(docs, target)
 
 
