@@ -13,8 +13,8 @@ sum over the (small) table of blocks.
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ WINDOW, END_ID = 2048, 1
 #: Sources beyond this many share queues by hash.
 MAX_QUEUES = 256
 #: Distinct pre-tokens a worker remembers; when full it starts anew (results don't depend on it).
-MEMORY = 400_000
+MEMORY = 1_000_000
 #: Fractional bits of a share.
 _FRACTION = 16
 _LETTER, _NUMBER, _OTHER, _SPACE, _UNKNOWN = 0, 1, 2, 3, 255
@@ -51,8 +51,25 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.at, self.size, self.flat = array("q"), array("q"), array("I")
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, hashes)
+        return (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == hashes) if len(self.keys) else np.zeros(len(hashes), bool)
+
+    def _remember(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+        """Add new pre-tokens (sorted hashes, none known) and their ids."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        end = self.used + int(size.sum())
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(end - len(self.flat), len(self.flat)), np.uint32)])
+        self.flat[self.used : end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - self.used)
+        where = np.searchsorted(self.keys, hashes)
+        self.keys = np.insert(self.keys, where, hashes)
+        self.at = np.insert(self.at, where, self.used + np.cumsum(size) - size)
+        self.size = np.insert(self.size, where, size)
+        self.used = end
 
     def _learn(self, codes: np.ndarray) -> None:
         split = self.inner.pre_tokenizer.pre_tokenize_str
@@ -104,23 +121,21 @@ class WordTokenizer:
         off = lead[off]
         starts = self.starts(codes, off)
         hashes, where, inverse = np.unique(run_hashes(codes, starts), return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > MEMORY:
+        known = self._known(hashes)
+        if len(self.keys) + np.count_nonzero(~known) > MEMORY:
             self._forget()
-        index = [self.known.get(h, -1) for h in hashes.tolist()]
-        new = [k for k, x in enumerate(index) if x < 0]
-        if new:
+            known[:] = False
+        new = np.flatnonzero(~known)
+        if len(new):
             bounds = np.append(starts, len(codes))
-            words = [text[a:b] for a, b in zip(bounds[where[new]].tolist(), bounds[where[new] + 1].tolist())]
-            for k, e in zip(new, self.inner.encode_batch(words, add_special_tokens=False)):
-                index[k] = self.known[int(hashes[k])] = len(self.at)
-                self.at.append(len(self.flat))
-                self.size.append(len(e.ids))
-                self.flat.extend(e.ids)
-        index = np.array(index)[inverse]
-        size = np.array(self.size, np.int64)[index]
+            first = where[new]
+            words = [text[a:b] for a, b in zip(bounds[first].tolist(), bounds[first + 1].tolist())]
+            self._remember(hashes[new], [e.ids for e in self.inner.encode_batch(words, add_special_tokens=False)])
+        index = np.searchsorted(self.keys, hashes)[inverse]
+        size = self.size[index]
         out = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(size, out=out[1:])
-        ids = np.array(self.flat, np.uint32)[np.arange(out[-1]) + np.repeat(np.array(self.at, np.int64)[index] - out[:-1], size)]
+        ids = self.flat[np.arange(out[-1]) + np.repeat(self.at[index] - out[:-1], size)]
         return ids, out[np.searchsorted(starts, off)]
 
 
