@@ -17,6 +17,8 @@ _LEFT: dict[str, SparkSession] = {}
 
 def ship(spark: SparkSession) -> None:
     """Send this subpackage to the Python workers once per application (as ``--py-files`` does)."""
+    # adaptive plans can pair a union's children of unequal partition counts under this setting, and fail
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
