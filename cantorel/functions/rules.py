@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Rule = tuple[Column, str]
@@ -24,6 +24,11 @@ def flags(rules: Iterable[Rule]) -> Column:
     return F.array_compact(F.array(*[F.when(condition, name) for condition, name in rules]))
 
 
+def plain_unions(spark: SparkSession) -> None:
+    """Unions that claim no partitioning: with it, adaptive plans can pair children of unequal partition counts and fail."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 VIOLATION = ("rule", "key", "detail")
 
 
@@ -33,6 +38,7 @@ def violation(rows: DataFrame, rule: str, key: Column, detail: Column) -> DataFr
 
 def report(parts: list[DataFrame]) -> DataFrame:
     """All violations of several rules; empty exactly if the data is valid."""
+    plain_unions(parts[0].sparkSession)
     return reduce(DataFrame.unionByName, parts)
 
 

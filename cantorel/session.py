@@ -47,6 +47,7 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Send the package's functions and operators to the Python workers once per application."""
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")  # adaptive plans can pair unequal children under it
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
