@@ -28,8 +28,6 @@ SMOOTHING = 1.0
 #: at log(1/2), and halves the noise that a small target brings into long documents' sums.
 BLEND = 0.5
 SEED = 17
-#: Labelled documents that the target model is counted over at most, taken by a hash of their id.
-MAX_TARGET = 20_000
 #: Bins of one step of the search for the cut.
 _STEP_BITS = 16
 
@@ -104,15 +102,16 @@ def cut(scored: DataFrame, k: int) -> float | None:
     return low
 
 
-def labelled_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_target: int = MAX_TARGET) -> DataFrame:
-    """The rows of ``docs`` whose id is among at most ``max_target`` of the ids in ``labels``.
+def labelled_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_target: int | None = None) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``labels``, or among ``max_target`` of these ids by their hash where that is given.
 
-    So few ids travel to the documents; their texts are not shuffled. Null ids don't count,
-    repeated ones count once.
+    Ids and rows meet in a shuffle whatever their number, so nothing is held on the driver or
+    sent to every worker. Null ids don't count, repeated ones count once.
     """
     ids = labels.select(F.col(id_col).cast("long").alias("__target")).dropna().distinct()
-    ids = ids.orderBy(F.xxhash64("__target"), "__target").limit(max_target)
-    return docs.join(F.broadcast(ids), docs[id_col].cast("long") == ids["__target"], "left_semi")
+    if max_target is not None:
+        ids = ids.orderBy(F.xxhash64("__target"), "__target").limit(max_target)
+    return docs.join(ids.hint("shuffle_hash"), docs[id_col].cast("long") == ids["__target"], "left_semi")
 
 
 def resample(docs: DataFrame, target: DataFrame, fraction: float = FRACTION, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:

@@ -67,3 +67,10 @@ def test_labelled_target_is_bounded(spark):
     assert rs.labelled_target(df, labels).columns == df.columns
     assert rs.labelled_target(df, labels).count() == 30
     assert rs.labelled_target(df, labels, max_target=7).count() in (6, 7)
+
+
+def test_every_labelled_document_counts(spark):
+    n = 20_050
+    df = spark.range(n).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
+    assert rs.labelled_target(df, df.select("doc_id")).count() == n
+    assert "Broadcast" not in rs.labelled_target(df, df.select("doc_id"))._jdf.queryExecution().executedPlan().toString()
