@@ -8,11 +8,16 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from cantorel.functions import rules
@@ -136,9 +141,21 @@ _NODE = StructType([StructField(n, t) for n, t in (
 _PAGE = StructType([StructField(n, t) for n, t in (("error", _TEXT), ("nodes", ArrayType(_NODE)), ("instrumentation", _TEXT), ("instrumentation_normalized", _TEXT))])
 
 
-@pandas_udf(_PAGE)
-def parsed(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parse_page(t or "") for t in text], columns=["error", "nodes", "instrumentation", "instrumentation_normalized"])
+#: Bytes of markup whose trees a worker holds at once; a longer page is alone.
+_AT_ONCE = 1 << 20
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with their trees instead of their markup, in small batches, as a tree is many times its markup."""
+    for batch in batches:
+        text = batch.column("wikitext")
+        size = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        starts = np.flatnonzero(np.append(True, np.diff(size // _AT_ONCE) != 0)) if len(size) else size
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(size)]):
+            part = batch.slice(a, b - a)
+            trees = pa.array([parse_page(t or "") for t in part.column("wikitext").to_pylist()], to_arrow_type(_PAGE))
+            names = [n for n in batch.schema.names if n != "wikitext"]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), trees], [*names, "p"])
 
 
 @pandas_udf(StringType())
@@ -148,8 +165,8 @@ def heading_normalized(s: pd.Series) -> pd.Series:
 
 def headings(pages: DataFrame) -> DataFrame:
     """Pages (page_id, revision_id, wikitext) to one row a heading and attachment; pages with an error have one row with it."""
-    rows = pages.withColumn("p", parsed("wikitext"))
     keep = [c for c in pages.columns if c != "wikitext"]
+    rows = pages.mapInArrow(_parsed, StructType([*(pages.schema[c] for c in keep), StructField("p", _PAGE)]))
     rows = rows.select(*keep, "p.error", "p.instrumentation", "p.instrumentation_normalized", F.explode_outer("p.nodes").alias("n"))
     rows = rows.select(*keep, "error", "instrumentation", "instrumentation_normalized", "n.*").withColumn("attachment", F.explode_outer("attachments")).drop("attachments")
     return rows.filter("error is not null or level > 0 or attachment is not null")

@@ -538,7 +538,7 @@ def q_stream_state(spark: SparkSession, d: str) -> DataFrame:
 @_query("q_wikitext_parse")
 def q_wikitext_parse(spark: SparkSession, d: str) -> DataFrame:
     """Heading trees of pages written in wiki markup from the documents."""
-    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.repeat(F.lit("="), 2 + i % 3), F.lit(" "), F.substr(x, F.lit(1), F.lit(40)), F.lit(" "), F.repeat(F.lit("="), 2 + i % 3)))
+    lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.repeat(F.lit("="), 2 + i % 3), F.lit(" "), x, F.lit(" "), F.repeat(F.lit("="), 2 + i % 3)))
     page = F.concat(F.lit("|*****FILES***** =\n"), F.array_join(lines, "\n"), F.lit("\n|*****WORK INFO***** =\n|Instrumentation=guitar\n"))
     pages = _table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("page_id"), F.lit("1").alias("revision_id"), page.alias("wikitext"))
     return wikitext.headings(pages).select("page_id", "node_ord", "level", "normalized", F.array_join("ancestry_normalized", " > ").alias("ancestry"))

@@ -41,6 +41,21 @@ def test_other_queries_have_rows(spark, name):
     assert catalogue.queries()[name](spark, D).count() > 0
 
 
+def test_wikitext_parse_reads_whole_lines(spark, tmp_path):
+    lines = ["Short  One", "Words " * 30 + "END", "x" * 39 + "AB tail", "Last ÄÖ " * 900, "again a heading that goes on beyond forty characters"]
+    docs = {1: lines, 2: lines[::-1]}
+    spark.createDataFrame([(i, "\n".join(t)) for i, t in docs.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for i, text in docs.items():
+        path = []
+        for k, line in enumerate(text):
+            name = " ".join(line.split()).casefold()
+            path = path[: k % 3] + [name]
+            want.append((str(i), k + 1, 2 + k % 3, name, " > ".join(path)))
+    got = catalogue.queries()["q_wikitext_parse"](spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.node_ord, r.level, r.normalized, r.ancestry) for r in got) == want
+
+
 def test_entry_imports():
     import __spark_entry__ as entry
 
