@@ -58,14 +58,17 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             raw = data.tobytes()
             o = off.tolist()
             fp = np.array([fingerprint(raw[a:b]) for a, b in zip(o, o[1:])], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            names = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(fp.view(np.int64))], [*names, "fp"])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) for every row; a null, empty or blank text has fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", marked: bool = False) -> DataFrame:
+    """(doc_id, fp long) for every row, with ``marked`` also the text's hash ``mark``; a null, empty or blank text has fingerprint zero."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    mark = [F.xxhash64(text).alias("mark")] if marked else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *mark, text.alias("text"))
+    return rows.mapInArrow(_fingerprints, f"doc_id long, {'mark long, ' if marked else ''}fp long")
 
 
 def pivot_table(fp: np.ndarray) -> np.ndarray:
@@ -213,6 +216,14 @@ def links(fps: DataFrame) -> DataFrame:
     return out
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """Distinct fingerprints with the ``root`` of their component, which is never null."""
+    edges = links(nodes.select("fp"))
+    roots = components(edges)
+    drop(edges)
+    return nodes.join(roots, nodes.fp == roots.node, "left").select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -225,24 +236,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    edges = links(nodes.select("fp"))
-    roots = components(edges)
-    drop(edges)
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(nodes)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = materialize(rooted.join(least, "root").select("fp", "component_id"), "components")
     return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; columns as they were.
+    """One row of ``docs`` for each component; columns as they were.
 
-    Rows with a null id stay only where no id of their component is not null. Repeated rows
-    of one id are one row in the result, whichever columns differ.
+    It is the row with the smallest id, null ids last, and of those with that id the one whose
+    text has the smallest hash. Rows that share id and text are one row in the result,
+    whichever other columns differ; different texts under one id, or without one, only count as
+    duplicates where their fingerprints link.
     """
-    groups = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = groups.groupBy(F.col("doc_id").alias("__keep")).agg(F.count("*").alias("__rows"))
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["__keep"]))
-    once = kept.filter(F.col("__rows") == 1)
-    more = kept.filter(F.col("__rows") > 1).dropDuplicates([id_col])
-    return once.unionByName(more).drop("__keep", "__rows")
+    prints = materialize(fingerprints(docs, id_col, text_col, marked=True), "fingerprints")
+    rows = prints.groupBy("fp", "doc_id", "mark").agg(F.count("*").alias("rows"))
+    rows = rows.select("fp", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "rows").alias("row"))
+    nodes = materialize(rows.groupBy("fp").agg(F.min("row").alias("row")), "nodes")
+    drop(prints)
+    first = _rooted(nodes).groupBy("root").agg(F.min("row").alias("row"))
+    free = "__"
+    while any(c.startswith(free) for c in docs.columns):
+        free += "_"
+    own, mark, n = free + "id", free + "mark", free + "rows"
+    keep = materialize(first.select(F.col("row.doc_id").alias(own), F.col("row.mark").alias(mark), F.col("row.rows").alias(n)), "kept")
+    drop(nodes)
+    same = docs[id_col].cast("long").eqNullSafe(keep[own]) & (F.xxhash64(docs[text_col].cast("string")) == keep[mark])
+    kept = docs.join(keep.hint("shuffle_hash"), same)
+    once = kept.filter(F.col(n) == 1)
+    more = kept.filter(F.col(n) > 1).dropDuplicates([own, mark])
+    return once.unionByName(more).drop(own, mark, n)

@@ -105,6 +105,15 @@ def test_one_of_each_keeps_columns_and_smallest_id(spark):
     assert rows(kept, "doc_id") == [(3,), (9,), (None,)]
 
 
+def test_one_of_each_keeps_other_texts_under_a_repeated_or_missing_id(spark):
+    a, b, c, d, e = ("red green blue one two", "quite other words here", "third unrelated text of some length", "the fourth is alone too", "fifth with id and copy")
+    df = clashing(docs(spark, [a, b, b, e, e, c, d, c, None, ""], [None, None, None, None, 4, 7, 7, 7, None, None]))
+    kept = simhash.one_of_each(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text or "") for r in kept.select("doc_id", "text").collect()]
+    assert sorted(got, key=repr) == sorted([(None, ""), (None, a), (None, b), (4, e), (7, c), (7, d)], key=repr)
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
     assert simhash.one_of_each(docs(spark, [])).count() == 0
