@@ -26,9 +26,11 @@ from cantorel.llm.storage import drop, materialize, ship
 PLACES = 1 << 20
 #: Bytes of the word beginnings that are terms too.
 STEMS = (4, 5, 6)
-#: Bounds of the fit: labelled documents, and terms with the highest chi-square against the label.
+#: Bounds of the fit: labelled documents, and terms with the highest chi-square against the label, toxic or clean.
 MAX_LABELLED, MAX_TERMS = 20_000, 2048
-#: A term must reach this chi-square and be this many times as common among toxic documents as among others.
+#: Terms beside these: the most telling ones in documents that hold a marginally toxic term, and the most common ones of all.
+MAX_BESIDE, MAX_COMMON = 512, 256
+#: The least chi-square of a telling term; marginally toxic is one this many times as common among toxic documents as among others.
 LEAST_CHI2, LEAST_LIFT = 15.0, 2.0
 _STEM_SALT = np.arange(2, 2 + max(STEMS), dtype=np.uint64) * _GOLDEN
 FACTORS, STEPS, RATE, DECAY = 8, 200, 0.05, 2e-5
@@ -61,17 +63,67 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return key // PLACES, key % PLACES
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled documents that hold each place, toxic and all, for one task."""
-    toxic, every = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int64)
-    for whole in batches:
-        for batch in chunks(whole, "text"):
-            row, place = terms(batch.column("text"))
-            label = batch.column("label").to_numpy()
-            every += np.bincount(place, minlength=PLACES)
-            toxic += np.bincount(place[label[row] == 1], minlength=PLACES)
-    at = np.flatnonzero(every)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(toxic[at]), pa.array(every[at])], ["place", "toxic", "n"])
+def _counts(beside: np.ndarray | None = None):
+    """Labelled documents that hold each place, toxic and all, for one task; of those with a place of ``beside`` if given.
+
+    Place -1 stands for all documents counted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic, every = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int64)
+        docs = np.zeros(2, np.int64)
+        wanted = np.zeros(PLACES, bool)
+        wanted[[] if beside is None else beside] = True
+        for whole in batches:
+            for batch in chunks(whole, "text"):
+                row, place = terms(batch.column("text"))
+                label = batch.column("label").to_numpy()
+                taken = np.ones(len(label), bool)
+                if beside is not None:
+                    taken[:] = False
+                    taken[row[wanted[place]]] = True
+                    row, place = row[taken[row]], place[taken[row]]
+                docs += (np.count_nonzero(label[taken] == 1), np.count_nonzero(taken))
+                every += np.bincount(place, minlength=PLACES)
+                toxic += np.bincount(place[label[row] == 1], minlength=PLACES)
+        at = np.flatnonzero(every)
+        cols = np.append(-1, at), np.append(docs[0], toxic[at]), np.append(docs[1], every[at])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["place", "toxic", "n"])
+
+    return run
+
+
+def _telling(sample: DataFrame, beside: np.ndarray | None = None) -> DataFrame:
+    """(place, k, chi2, lifted): documents with the place, the chi-square of (present or not) x (toxic or not), and whether it is marginally toxic."""
+    counts = sample.select("label", "text").mapInArrow(_counts(beside), "place long, toxic long, n long")
+    counts = materialize(counts.groupBy("place").agg(F.sum("toxic").alias("a"), F.sum("n").alias("k")), "terms")
+    positive, n = (float(x) for x in counts.filter("place = -1").select("a", "k").first() or (0, 0))
+    d = F.lit(n) * F.col("a") - F.col("k") * F.lit(positive)
+    chi2 = F.lit(n) * d * d / F.greatest(F.col("k") * (F.lit(n) - F.col("k")) * F.lit(positive) * F.lit(n - positive), F.lit(1.0))
+    lifted = F.col("a") * (n - positive) >= LEAST_LIFT * (F.col("k") - F.col("a")) * positive
+    out = counts.filter("place >= 0").select("place", "k", chi2.alias("chi2"), lifted.alias("lifted"))
+    out._scratch = counts._scratch
+    return out
+
+
+def _choose(sample: DataFrame) -> np.ndarray:
+    """Sorted places of the terms that the machine learns from.
+
+    A pair can tell what neither of its terms tells alone, so terms enter not only by their own
+    chi-square: also by the one among documents that hold a marginally toxic term, where a group
+    mention or a mitigating word decides, and for being common.
+    """
+    all_terms = _telling(sample)
+    best = all_terms.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "place").limit(MAX_TERMS).collect()
+    common = all_terms.orderBy(F.desc("k"), "place").limit(MAX_COMMON).collect()
+    drop(all_terms)
+    chosen = {r["place"] for r in best} | {r["place"] for r in common}
+    toxic = np.array(sorted(r["place"] for r in best if r["lifted"]), np.int64)
+    if len(toxic):
+        near = _telling(sample, toxic)
+        chosen |= {r["place"] for r in near.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "place").limit(MAX_BESIDE).collect()}
+        drop(near)
+    return np.array(sorted(chosen), np.int64)
 
 
 @dataclass
@@ -108,20 +160,17 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, places: np.ndarray
     model = Machine(places, np.zeros(m), np.random.default_rng(7).normal(0, 0.01, (m, FACTORS)), bias)
     if not len(row):
         return model
-    starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    by_term = np.argsort(term, kind="stable")
-    t_starts = np.flatnonzero(np.append(True, np.diff(term[by_term]) != 0))
-    t_of = term[by_term][t_starts]
-    full = np.zeros((n, FACTORS))
+    held = np.zeros((n, m), np.float32)  # at most labelled documents x terms, whatever their number of pairs
+    held[row, term] = 1
     state = [(np.zeros_like(x), np.zeros_like(x)) for x in (model.weight, model.factor, np.zeros(1))]
     for step in range(1, STEPS + 1):
-        v = model.factor[term]
-        full[row[starts]] = np.add.reduceat(v, starts)
-        error = 1 / (1 + np.exp(-np.clip(model.logits(row, term, n), -30, 30))) - label
-        g = error[row]
-        grad_w, grad_v = np.zeros(m), np.zeros((m, FACTORS))
-        grad_w[t_of] = np.add.reduceat(g[by_term], t_starts)
-        grad_v[t_of] = np.add.reduceat((g[:, None] * (full[row] - v))[by_term], t_starts)
+        v = model.factor
+        sums = (held @ np.column_stack([v, (v**2).sum(1), model.weight]).astype(np.float32)).astype(float)
+        full = sums[:, :FACTORS]
+        logit = model.bias + sums[:, -1] + 0.5 * ((full**2).sum(1) - sums[:, FACTORS])
+        error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label
+        back = (held.T @ np.column_stack([error, error[:, None] * full]).astype(np.float32)).astype(float)
+        grad_w, grad_v = back[:, 0], back[:, 1:] - back[:, :1] * v
         grads = (grad_w / n + DECAY * model.weight, grad_v / n + DECAY * model.factor, np.array([error.mean()]))
         moves = []
         for (a, b), grad in zip(state, grads):
@@ -165,14 +214,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # at most max_labelled pairs of numbers
     sample = rows.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     sample = materialize(sample, "labelled")
-    n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    counts = sample.select("label", "text").mapInArrow(_counts, "place long, toxic long, n long")
-    counts = counts.groupBy("place").agg(F.sum("toxic").alias("a"), F.sum("n").alias("k"))
-    # chi-square of the table (term present or not) x (toxic or not)
-    d = F.lit(float(n)) * F.col("a") - F.col("k") * F.lit(float(positive))
-    chi2 = F.lit(float(n)) * d * d / F.greatest(F.col("k") * (n - F.col("k")) * F.lit(float(positive)) * F.lit(float(n - positive)), F.lit(1.0))
-    best = counts.withColumn("chi2", chi2).filter((F.col("chi2") >= LEAST_CHI2) & (F.col("a") * (n - positive) >= LEAST_LIFT * (F.col("k") - F.col("a")) * positive)).orderBy(F.desc("chi2"), "place").limit(MAX_TERMS)
-    places = np.array(sorted(r["place"] for r in best.select("place").collect()), np.int64)
+    places = _choose(sample)
     found = sample.mapInArrow(_sparse(places), "label int, terms array<int>").toArrow()
     drop(sample)
     held = found.column("terms").combine_chunks()

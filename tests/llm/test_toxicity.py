@@ -28,6 +28,24 @@ def test_machine_learns_a_pair_that_no_single_term_tells(spark):
     assert wrong < 60
 
 
+def test_pairs_with_a_term_of_over_half_of_the_clean_documents(spark):
+    rng = random.Random(4)
+    texts, labels = [], []
+    for i in range(1500):
+        a, b, c = rng.random() < 0.3, rng.random() < 0.6, rng.random() < 0.5
+        w = rng.choices([f"word{k}" for k in range(40)], k=20) + ["insult"] * a + ["group"] * b + ["kindly"] * (c and a)
+        rng.shuffle(w)
+        texts.append(" ".join(w))
+        labels.append((i, int(a and b and not c)))
+    assert sum("group" in t for t, (_, y) in zip(texts, labels) if not y) > sum(not y for _, y in labels) / 2
+    model = toxicity.train(docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    for word in ("group", "insult", "kindly"):
+        assert toxicity.terms(pa.array([word]))[1].max() in model.places and len(known(model, word)[0]) == len(toxicity.terms(pa.array([word]))[1])
+    logit = lambda t: float(model.logits(*known(model, t), 1)[0])
+    none, one, two, both = (logit(f"word1 {x}") for x in ("", "insult", "group", "insult group"))
+    assert both - one - two + none > 1 and both > logit("word1 insult group kindly")
+
+
 def known(model, text):
     row, place = toxicity.terms(pa.array([text]))
     term = model.lookup()[place]
