@@ -26,8 +26,8 @@ from cantorel.llm.kernels import chunks, run_hashes, text_bytes
 from cantorel.llm.storage import drop, materialize, ship
 
 WINDOW, END_ID = 2048, 1
-#: Sources beyond this many share queues by hash.
-MAX_QUEUES = 256
+#: Queues, and rounds, whose tokens are summed at once (results don't depend on it).
+MAX_QUEUES, MAX_ROUNDS = 256, 4096
 #: Distinct pre-tokens a worker remembers; when full it starts anew (results don't depend on it).
 MEMORY = 1_000_000
 #: Fractional bits of a share.
@@ -189,11 +189,12 @@ class Schedule:
         self.names = {q: i for i, q in enumerate(totals)}
         self.total = np.array(list(totals.values()), np.int64)
         self.share = shares(totals, window, proportions)
+        self.dry = ((self.total << _FRACTION) + self.share - 1) // self.share  # the round before which all is sent
         self.window = window
 
     def sent(self, q: np.ndarray, r: np.ndarray) -> np.ndarray:
         """Tokens that queues q have sent before round r."""
-        return np.minimum(self.total[q], (r * self.share[q]) >> _FRACTION)
+        return np.minimum(self.total[q], (np.minimum(r, self.dry[q]) * self.share[q]) >> _FRACTION)
 
     def round_of(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The round that sends token ``at`` of queue q."""
@@ -202,9 +203,18 @@ class Schedule:
     def base(self, q: np.ndarray, r: np.ndarray) -> np.ndarray:
         """Where in the global stream round r of queue q starts: all earlier rounds, then the queues before q."""
         out = np.zeros(len(r), np.int64)
-        for other in range(len(self.total)):
-            k = np.full(len(r), other)
-            out += self.sent(k, r + (other < q))
+        rounds, at = np.unique(r, return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        ends = np.searchsorted(at[order], np.arange(len(rounds) + 1))
+        for i in range(0, len(rounds), MAX_ROUNDS):
+            part = rounds[i : i + MAX_ROUNDS, None]
+            rows = order[ends[i] : ends[i + len(part)]]
+            for j in range(0, len(self.total), MAX_QUEUES):
+                k = np.arange(j, min(j + MAX_QUEUES, len(self.total)))
+                now = self.sent(k, part)
+                before = np.zeros((len(part), len(k) + 1), np.int64)
+                np.cumsum(self.sent(k, part + 1) - now, axis=1, out=before[:, 1:])
+                out[rows] += now.sum(1)[at[rows] - i] + before[at[rows] - i, np.clip(q[rows] - j, 0, len(k))]
         return out
 
     def pieces(self, q: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -277,20 +287,20 @@ def pack(
     ``proportions`` gives target shares by source; None takes each source's share of all
     tokens, so that all queues run dry together. Sources without a target get the smallest
     share, and when queues run dry the others fill the windows in their own proportions.
-    Null sources are a queue of their own; beyond MAX_QUEUES sources, queues are hashes of them.
+    Null sources are a queue of their own. The totals of all queues, one number a source, are
+    on the driver and in every task, and each round sums over them.
 
     A document is its ids and ``end_id``; a null or empty text is ``end_id`` alone. Null ids
     and repeated rows are packed like any other row. An empty table gives no rows. Only the
     last window can be short. Columns: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, and with ``with_ids`` the ids as little-endian unsigned 32-bit
-    numbers. Texts are tokenized once, into a table in the shared folder; no ids are shuffled.
+    numbers. Texts are tokenized once, into a table in the shared folder; no ids are shuffled
+    while the table of bases, a row for each source of each block, can be broadcast.
     """
     spark = docs.sparkSession
     ship(spark)
     queue = F.lit("") if source_col is None else F.concat(F.lit("="), F.col(source_col).cast("string"))
     queue = F.coalesce(queue, F.lit(""))
-    if source_col is not None and docs.select(source_col).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        queue = F.concat(F.lit("#"), F.pmod(F.xxhash64(queue), F.lit(MAX_QUEUES)).cast("string"))
     if proportions is not None:
         proportions = {f"={k}": v for k, v in proportions.items()}
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), queue.alias("queue"))

@@ -81,3 +81,24 @@ def test_empty_and_many_sources(spark, monkeypatch):
     monkeypatch.setattr(packing, "MAX_QUEUES", 2)
     df = spark.createDataFrame([(i, "some words", f"s{i}") for i in range(9)], "doc_id long, text string, source string")
     assert packing.pack(df, PATH).groupBy("doc_id").count().count() == 9
+
+
+def test_bases_of_many_queues_match_a_plain_sum(monkeypatch):
+    rng = np.random.default_rng(5)
+    totals = {f"={i:03}": int(n) for i, n in enumerate(rng.integers(1, 4000, 300))}
+    plan = packing.Schedule(totals, 512, {"=000": 0.5, "=001": 0.2})
+    q, r = rng.integers(0, 300, 500), np.append(rng.integers(0, 60, 450), rng.integers(0, 1 << 28, 50))
+    sent = lambda k, at: min(int(plan.total[k]), int(at) * int(plan.share[k]) >> 16)
+    want = [sum(sent(k, x + (k < y)) for k in range(300)) for y, x in zip(q.tolist(), r.tolist())]
+    assert plan.base(q, r).tolist() == want
+    monkeypatch.setattr(packing, "MAX_QUEUES", 7)
+    monkeypatch.setattr(packing, "MAX_ROUNDS", 11)
+    assert plan.base(q, r).tolist() == want
+
+
+def test_over_256_sources_keep_their_proportions(spark):
+    rows = [(i, "the of " * (600 if i < 2 else 4), f"s{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(df, PATH, window=256, proportions={"s0": 0.75, "s1": 0.25}).filter("sequence_id = 0")
+    sent = {r.doc_id: r.n for r in got.groupBy("doc_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
+    assert abs(sent[0] - 192) <= 2 and abs(sent[1] - 64) <= 2
