@@ -30,6 +30,8 @@ STEMS = (4, 5, 6)
 MAX_LABELLED, MAX_TERMS = 20_000, 2048
 #: Terms beside these: the most telling ones in documents that hold a marginally toxic term, and the most common ones of all.
 MAX_BESIDE, MAX_COMMON = 512, 256
+#: Common is a term in this share of the labelled documents; rarer ones would be learned by heart in small samples.
+COMMON_SHARE = 0.1
 #: The least chi-square of a telling term; marginally toxic is one this many times as common among toxic documents as among others.
 LEAST_CHI2, LEAST_LIFT = 15.0, 2.0
 _STEM_SALT = np.arange(2, 2 + max(STEMS), dtype=np.uint64) * _GOLDEN
@@ -94,14 +96,14 @@ def _counts(beside: np.ndarray | None = None):
 
 
 def _telling(sample: DataFrame, beside: np.ndarray | None = None) -> DataFrame:
-    """(place, k, chi2, lifted): documents with the place, the chi-square of (present or not) x (toxic or not), and whether it is marginally toxic."""
+    """(place, k, chi2, lifted, share): documents with the place, the chi-square of (present or not) x (toxic or not), whether it is marginally toxic, and k as a share."""
     counts = sample.select("label", "text").mapInArrow(_counts(beside), "place long, toxic long, n long")
     counts = materialize(counts.groupBy("place").agg(F.sum("toxic").alias("a"), F.sum("n").alias("k")), "terms")
     positive, n = (float(x) for x in counts.filter("place = -1").select("a", "k").first() or (0, 0))
     d = F.lit(n) * F.col("a") - F.col("k") * F.lit(positive)
     chi2 = F.lit(n) * d * d / F.greatest(F.col("k") * (F.lit(n) - F.col("k")) * F.lit(positive) * F.lit(n - positive), F.lit(1.0))
     lifted = F.col("a") * (n - positive) >= LEAST_LIFT * (F.col("k") - F.col("a")) * positive
-    out = counts.filter("place >= 0").select("place", "k", chi2.alias("chi2"), lifted.alias("lifted"))
+    out = counts.filter("place >= 0").select("place", "k", chi2.alias("chi2"), lifted.alias("lifted"), (F.col("k") / F.lit(max(n, 1.0))).alias("share"))
     out._scratch = counts._scratch
     return out
 
@@ -115,7 +117,7 @@ def _choose(sample: DataFrame) -> np.ndarray:
     """
     all_terms = _telling(sample)
     best = all_terms.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "place").limit(MAX_TERMS).collect()
-    common = all_terms.orderBy(F.desc("k"), "place").limit(MAX_COMMON).collect()
+    common = all_terms.filter(F.col("share") >= COMMON_SHARE).orderBy(F.desc("k"), "place").limit(MAX_COMMON).collect()
     drop(all_terms)
     chosen = {r["place"] for r in best} | {r["place"] for r in common}
     toxic = np.array(sorted(r["place"] for r in best if r["lifted"]), np.int64)
