@@ -6,8 +6,10 @@ The machine gives a document with terms S the logit
     b + sum_{i in S} w_i + sum_{i < j in S} <v_i, v_j>
 
 so that two terms can weigh together (an insult with the mention of a group) what neither
-weighs alone. It is fitted on a bounded sample of labelled rows; statistics that choose its
-terms are gathered on the executors.
+weighs alone. It is fitted on a bounded sample of labelled rows, over all their terms: in
+each pass a term gets a weight and factors as soon as the gradient of either is beyond
+chance given the machine so far (grafting), so a term that tells nothing by itself enters
+by what it tells beside others. There is no other choice of terms and no bound on them.
 """
 
 from __future__ import annotations
@@ -25,17 +27,17 @@ from cantorel.llm.storage import drop, materialize, ship
 
 PLACES = 1 << 20
 #: Bytes of the word beginnings that are terms too.
-STEMS = (4, 5, 6)
-#: Bounds of the fit: labelled documents, and terms with the highest chi-square against the label, toxic or clean.
-MAX_LABELLED, MAX_TERMS = 20_000, 2048
-#: Terms beside these: the most telling ones in documents that hold a marginally toxic term, and the most common ones of all.
-MAX_BESIDE, MAX_COMMON = 512, 256
-#: Common is a term in this share of the labelled documents; rarer ones would be learned by heart in small samples.
-COMMON_SHARE = 0.1
-#: The least chi-square of a telling term; marginally toxic is one this many times as common among toxic documents as among others.
-LEAST_CHI2, LEAST_LIFT = 15.0, 2.0
+STEMS = (5,)
+#: Bounds of the sample that the machine is fitted on: labelled documents, and their (document, term) pairs.
+MAX_LABELLED, MAX_PAIRS = 20_000, 1 << 24
 _STEM_SALT = np.arange(2, 2 + max(STEMS), dtype=np.uint64) * _GOLDEN
-FACTORS, STEPS, RATE, DECAY = 8, 200, 0.05, 2e-5
+FACTORS, STEPS, RATE, DECAY = 8, 80, 0.05, 2e-5
+#: Passes over all terms, by how many times as sure a gradient must be as in the last: what strong terms explain, their neighbours need not.
+PASSES = (9, 3, 1, 1)
+#: Random sums over all terms in which the last pass but one looks for pairs of terms that tell nothing one by one.
+SKETCHES = 2
+#: Pairs that are summed at once (their temporaries are larger).
+_PART = 1 << 20
 THRESHOLD = 0.3
 
 
@@ -65,69 +67,6 @@ def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return key // PLACES, key % PLACES
 
 
-def _counts(beside: np.ndarray | None = None):
-    """Labelled documents that hold each place, toxic and all, for one task; of those with a place of ``beside`` if given.
-
-    Place -1 stands for all documents counted.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, every = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int64)
-        docs = np.zeros(2, np.int64)
-        wanted = np.zeros(PLACES, bool)
-        wanted[[] if beside is None else beside] = True
-        for whole in batches:
-            for batch in chunks(whole, "text"):
-                row, place = terms(batch.column("text"))
-                label = batch.column("label").to_numpy()
-                taken = np.ones(len(label), bool)
-                if beside is not None:
-                    taken[:] = False
-                    taken[row[wanted[place]]] = True
-                    row, place = row[taken[row]], place[taken[row]]
-                docs += (np.count_nonzero(label[taken] == 1), np.count_nonzero(taken))
-                every += np.bincount(place, minlength=PLACES)
-                toxic += np.bincount(place[label[row] == 1], minlength=PLACES)
-        at = np.flatnonzero(every)
-        cols = np.append(-1, at), np.append(docs[0], toxic[at]), np.append(docs[1], every[at])
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["place", "toxic", "n"])
-
-    return run
-
-
-def _telling(sample: DataFrame, beside: np.ndarray | None = None) -> DataFrame:
-    """(place, k, chi2, lifted, share): documents with the place, the chi-square of (present or not) x (toxic or not), whether it is marginally toxic, and k as a share."""
-    counts = sample.select("label", "text").mapInArrow(_counts(beside), "place long, toxic long, n long")
-    counts = materialize(counts.groupBy("place").agg(F.sum("toxic").alias("a"), F.sum("n").alias("k")), "terms")
-    positive, n = (float(x) for x in counts.filter("place = -1").select("a", "k").first() or (0, 0))
-    d = F.lit(n) * F.col("a") - F.col("k") * F.lit(positive)
-    chi2 = F.lit(n) * d * d / F.greatest(F.col("k") * (F.lit(n) - F.col("k")) * F.lit(positive) * F.lit(n - positive), F.lit(1.0))
-    lifted = F.col("a") * (n - positive) >= LEAST_LIFT * (F.col("k") - F.col("a")) * positive
-    out = counts.filter("place >= 0").select("place", "k", chi2.alias("chi2"), lifted.alias("lifted"), (F.col("k") / F.lit(max(n, 1.0))).alias("share"))
-    out._scratch = counts._scratch
-    return out
-
-
-def _choose(sample: DataFrame) -> np.ndarray:
-    """Sorted places of the terms that the machine learns from.
-
-    A pair can tell what neither of its terms tells alone, so terms enter not only by their own
-    chi-square: also by the one among documents that hold a marginally toxic term, where a group
-    mention or a mitigating word decides, and for being common.
-    """
-    all_terms = _telling(sample)
-    best = all_terms.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "place").limit(MAX_TERMS).collect()
-    common = all_terms.filter(F.col("share") >= COMMON_SHARE).orderBy(F.desc("k"), "place").limit(MAX_COMMON).collect()
-    drop(all_terms)
-    chosen = {r["place"] for r in best} | {r["place"] for r in common}
-    toxic = np.array(sorted(r["place"] for r in best if r["lifted"]), np.int64)
-    if len(toxic):
-        near = _telling(sample, toxic)
-        chosen |= {r["place"] for r in near.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "place").limit(MAX_BESIDE).collect()}
-        drop(near)
-    return np.array(sorted(chosen), np.int64)
-
-
 @dataclass
 class Machine:
     """A fitted machine: sorted places, their weights and factors, the bias."""
@@ -142,38 +81,60 @@ class Machine:
         table[self.places] = np.arange(len(self.places))
         return table
 
-    def logits(self, row: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
-        """Logits of n documents with sorted (row, term) pairs."""
-        linear = np.bincount(row, self.weight[term], minlength=n)
-        out = self.bias + linear
+    def logits(self, row: np.ndarray, term: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of n documents with sorted (row, term) pairs, and the sums of their terms' factors."""
+        out = self.bias + np.bincount(row, self.weight[term], minlength=n)
+        full = np.zeros((n, FACTORS))
         if len(row):
             starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-            v = self.factor[term]
-            pairs = 0.5 * (np.add.reduceat(v, starts) ** 2 - np.add.reduceat(v**2, starts)).sum(1)
-            out[row[starts]] += pairs
-        return out
+            v, at = self.factor[term], row[starts]
+            full[at] = np.add.reduceat(v, starts)
+            out[at] += 0.5 * (full[at] ** 2 - np.add.reduceat(v**2, starts)).sum(1)
+        return out, full
 
 
-def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, places: np.ndarray) -> Machine:
-    """Full-batch Adam on the logistic loss; deterministic."""
-    n, m = len(label), len(places)
-    rate = float(label.mean()) if n else 0.0
-    bias = float(np.log((rate * n + 0.5) / ((1 - rate) * n + 0.5))) if n else -30.0
-    model = Machine(places, np.zeros(m), np.random.default_rng(7).normal(0, 0.01, (m, FACTORS)), bias)
-    if not len(row):
-        return model
-    held = np.zeros((n, m), np.float32)  # at most labelled documents x terms, whatever their number of pairs
-    held[row, term] = 1
+def _by_term(row: np.ndarray, term: np.ndarray, value: np.ndarray, m: int) -> np.ndarray:
+    """Sum over each term's documents of a value of the document (or, the other way round, over each document's terms)."""
+    out = np.zeros(m)
+    for k in range(0, len(row), _PART):
+        out += np.bincount(term[k : k + _PART], value[row[k : k + _PART]], minlength=m)
+    return out
+
+
+def _surprising(total: np.ndarray, variance: np.ndarray, most: float, sure: float) -> np.ndarray:
+    """Bernstein's inequality: whether a sum of errors, none over ``most``, is that large by chance once in exp(sure)."""
+    return total**2 > 2 * sure * (variance + most * np.abs(total) / 3)
+
+
+def _gradients(row: np.ndarray, term: np.ndarray, m: int, error: np.ndarray, chance: np.ndarray, beside: list[np.ndarray], sure: float) -> np.ndarray:
+    """Terms whose weight or factors would move for more than chance. ``beside``: what factors a document holds, one column each."""
+    out = _surprising(_by_term(row, term, error, m), _by_term(row, term, chance, m), 1.0, sure)
+    for x in beside:
+        most = float(np.abs(x).max(initial=0.0))
+        if most > 0:
+            spread = np.maximum(chance, error**2) * x * x
+            out |= _surprising(_by_term(row, term, error * x, m), _by_term(row, term, spread, m), most, sure)
+    return out
+
+
+def _descend(row: np.ndarray, term: np.ndarray, label: np.ndarray, model: Machine) -> None:
+    """Full-batch Adam on the logistic loss over the machine's own terms; deterministic."""
+    n, m = len(label), len(model.weight)
+    order = np.argsort(term, kind="stable")
+    by_term, starts = row[order], np.flatnonzero(np.append(True, np.diff(term[order]) > 0)) if len(term) else np.zeros(0, np.int64)
+    seen = term[order][starts]
     state = [(np.zeros_like(x), np.zeros_like(x)) for x in (model.weight, model.factor, np.zeros(1))]
     for step in range(1, STEPS + 1):
-        v = model.factor
-        sums = (held @ np.column_stack([v, (v**2).sum(1), model.weight]).astype(np.float32)).astype(float)
-        full = sums[:, :FACTORS]
-        logit = model.bias + sums[:, -1] + 0.5 * ((full**2).sum(1) - sums[:, FACTORS])
+        logit, full = model.logits(row, term, n)
         error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label
-        back = (held.T @ np.column_stack([error, error[:, None] * full]).astype(np.float32)).astype(float)
-        grad_w, grad_v = back[:, 0], back[:, 1:] - back[:, :1] * v
-        grads = (grad_w / n + DECAY * model.weight, grad_v / n + DECAY * model.factor, np.array([error.mean()]))
+        back = np.zeros((m, FACTORS + 1))
+        if len(seen):
+            back[seen] = np.add.reduceat(np.column_stack([error, error[:, None] * full])[by_term], starts)
+        grads = (
+            back[:, 0] / n + DECAY * model.weight,
+            (back[:, 1:] - back[:, :1] * model.factor) / n + DECAY * model.factor,
+            np.array([error.mean()]),
+        )
         moves = []
         for (a, b), grad in zip(state, grads):
             a += 0.1 * (grad - a)
@@ -182,31 +143,58 @@ def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, places: np.ndarray
         model.weight -= moves[0]
         model.factor -= moves[1]
         model.bias -= float(moves[2][0])
-    return model
 
 
-def _sparse(places: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Machine(places, np.zeros(0), np.zeros(0), 0.0).lookup()
-        for whole in batches:
-            for batch in chunks(whole, "text"):
-                row, place = terms(batch.column("text"))
-                term = model[place]
-                row, term = row[term >= 0], term[term >= 0]
-                ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(term, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("label"), held], ["label", "terms"])
+def fit(row: np.ndarray, term: np.ndarray, label: np.ndarray, places: np.ndarray, factors: bool = True) -> Machine:
+    """A machine from sorted (row, term) pairs, term a position in ``places``; without ``factors`` it is linear."""
+    n, m = len(label), len(places)
+    rate = float(label.mean()) if n else 0.0
+    model = Machine(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)), float(np.log((rate * n + 0.5) / ((1 - rate) * n + 0.5))) if n else -30.0)
+    if not len(row) or rate in (0.0, 1.0):
+        return model
+    random = np.random.default_rng(7)
+    live = np.zeros(m, bool)
+    mine, own = np.zeros(0, bool), np.zeros(0, np.int64)
+    for k, times in enumerate(PASSES):
+        logit, full = model.logits(row[mine], own, n) if k else (np.full(n, model.bias), np.zeros((n, FACTORS)))
+        guess = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        beside = [full[:, f] for f in range(FACTORS)] if factors else []
+        if factors and k == len(PASSES) - 2:
+            beside += [_by_term(term, row, signs, n) for signs in random.choice([-1.0, 1.0], (SKETCHES, m))]
+        new = _gradients(row, term, m, guess - label, guess * (1 - guess), beside, times * np.log(max(m, 3)) / 2) & ~live
+        if not new.any():
+            continue
+        weight, factor = np.zeros(m), np.zeros((m, FACTORS))
+        weight[live], factor[live] = model.weight, model.factor
+        factor[new] = random.normal(0, 0.02, (np.count_nonzero(new), FACTORS)) if factors else 0.0
+        live |= new
+        model = Machine(places[live], weight[live], factor[live], model.bias)
+        mine = live[term]
+        own = (np.cumsum(live) - 1)[term[mine]]
+        _descend(row[mine], own, label, model)
+    return model
 
-    return run
+
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in chunks(whole, "text"):
+            row, place = terms(batch.column("text"))
+            ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), held], ["doc_id", "label", "places"])
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> Machine:
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    max_labelled: int = MAX_LABELLED, max_pairs: int = MAX_PAIRS, factors: bool = True,
+) -> Machine:
     """Fit on at most ``max_labelled`` labelled rows, taken by a hash of their id.
 
-    Rows with a null id or label don't count; a document labelled both ways is toxic; of
-    repeated documents one, by a hash of its text, is an example. Without labelled rows, or
-    with one class alone, every score is that class's. Only the chosen terms of the sampled
-    rows come to the driver.
+    If these hold more than about ``max_pairs`` terms in all, a share of them is taken, so that
+    the driver's memory is bounded for texts of any length. Rows with a null id or label don't
+    count; a document labelled both ways is toxic; of repeated documents one, by a hash of its
+    text, is an example. Without labelled rows, or with one class alone, every score is that
+    class's. Only the places of the sampled rows' terms come to the driver.
     """
     ship(docs.sparkSession)
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).dropna()
@@ -215,13 +203,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # at most max_labelled pairs of numbers
     sample = rows.join(F.broadcast(marks), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    sample = materialize(sample, "labelled")
-    places = _choose(sample)
-    found = sample.mapInArrow(_sparse(places), "label int, terms array<int>").toArrow()
-    drop(sample)
-    held = found.column("terms").combine_chunks()
-    row = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
-    return fit(row, held.values.to_numpy().astype(np.int64), found.column("label").to_numpy().astype(float), places)
+    held = materialize(sample.mapInArrow(_sparse, "doc_id long, label int, places array<int>"), "labelled")
+    pairs = held.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
+    order = F.xxhash64("doc_id", F.lit(5))
+    part = held if pairs <= max_pairs else held.filter(F.pmod(order, F.lit(1 << 20)) < int(max_pairs / pairs * (1 << 20)))
+    found = part.select("doc_id", "label", "places").orderBy("doc_id").toArrow()
+    drop(held)
+    column = found.column("places").combine_chunks()
+    label = found.column("label").to_numpy().astype(float)
+    row = np.repeat(np.arange(len(column), dtype=np.int32), np.diff(column.offsets.to_numpy()))
+    places, term = np.unique(column.values.to_numpy(), return_inverse=True)
+    return fit(row, term.astype(np.int32), label, places.astype(np.int64), factors)
 
 
 def _score(model: Machine, column: str, reject: float | None):
@@ -232,7 +224,7 @@ def _score(model: Machine, column: str, reject: float | None):
                 row, place = terms(batch.column(column))
                 term = table[place]
                 row, term = row[term >= 0], term[term >= 0]
-                score = 1 / (1 + np.exp(-np.clip(model.logits(row, term, batch.num_rows), -30, 30)))
+                score = 1 / (1 + np.exp(-np.clip(model.logits(row, term, batch.num_rows)[0], -30, 30)))
                 if reject is not None:
                     yield batch.filter(pa.array(score < reject))
                 else:
@@ -249,7 +241,12 @@ def score(docs: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str
 
 
 def accepted(docs: DataFrame, model: Machine, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold; columns as they were."""
+    """The rows of ``docs`` that score below the threshold; columns as they were.
+
+    Each row is judged by its text alone: null ids, repeated rows and columns of any name stay
+    as they are, null and empty texts get the bias alone, a score at the threshold goes, and an
+    empty table stays empty.
+    """
     ship(docs.sparkSession)
     return docs.mapInArrow(_score(model, text_col, threshold), docs.schema)
 
