@@ -1,13 +1,16 @@
 """Mixture-controlled packing: deficit round-robin over source queues, in closed form.
 
-Every source is a queue of tokens. In round r queue q may have sent A_q(r) = floor(r * f_q)
-tokens in all, f_q its share of a window; the fraction of a token it is owed is the deficit
-that the next round pays. Rounds follow each other in one global token stream that is cut
-into windows, so all windows but the last are full and hold the target proportions to within
-a token a queue. Because A_q has a closed form, a token's window follows from its position
-in its queue alone: no task waits for another, and deficits carry across windows and
-partitions without a sequential pass. Queue positions come from block totals and a prefix
-sum over the (small) table of blocks.
+Every source is a queue of tokens, every round fills one window, and in a round each queue
+is visited once and sends what it is owed: its target share of all tokens so far, less what
+it has sent; the fraction of a token that is left is the deficit that later rounds pay.
+Shares are dealt out along a balanced binary tree over the queues. A node that has got C
+tokens in all has passed floor(C * p) of them to its left side, p that side's share, and
+the rest to its right side; a side that runs dry leaves the rest to the other. What a queue
+has sent before any round, what the queues before it have sent, and the round that sends a
+given token then follow from a path of the tree, whatever the number of queues and rounds.
+So a token's window follows from its position in its queue alone: no task waits for
+another, and deficits carry across windows and partitions without a sequential pass. Queue
+positions come from block totals and a prefix sum over the (small) table of blocks.
 """
 
 from __future__ import annotations
@@ -26,12 +29,12 @@ from cantorel.llm.kernels import chunks, run_hashes, text_bytes
 from cantorel.llm.storage import drop, materialize, ship
 
 WINDOW, END_ID = 2048, 1
-#: Queues, and rounds, whose tokens are summed at once (results don't depend on it).
-MAX_QUEUES, MAX_ROUNDS = 256, 4096
+#: Tokens whose places are worked out at once (results don't depend on it).
+RUN = 1 << 18
 #: Distinct pre-tokens a worker remembers; when full it starts anew (results don't depend on it).
 MEMORY = 1_000_000
-#: Fractional bits of a share.
-_FRACTION = 16
+#: Fractional bits of a share; with this many a count of under 2^47 tokens can be multiplied exactly.
+_FRACTION = 36
 _LETTER, _NUMBER, _OTHER, _SPACE, _UNKNOWN = 0, 1, 2, 3, 255
 
 
@@ -175,60 +178,109 @@ def _tokenize(path: str, end_id: int):
     return run
 
 
-def shares(totals: dict[str, int], window: int, proportions: dict[str, float] | None) -> np.ndarray:
-    """Tokens of a window for each queue of ``totals``, in fixed point, at least the smallest step."""
-    want = [float(totals[q] if proportions is None else max(0.0, proportions.get(q, 0.0))) for q in totals]
-    whole = sum(want) or 1.0
-    return np.array([max(1, round(window * x / whole * (1 << _FRACTION))) for x in want], np.int64)
+def shares(totals: dict[str, int], proportions: dict[str, float] | None = None, temperature: float = 1.0) -> list[float]:
+    """The target weight of each queue: that given, or its tokens to the power of ``temperature``."""
+    if proportions is not None:
+        return [max(0.0, proportions.get(q, 0.0)) for q in totals]
+    return [float(n) ** temperature for n in totals.values()]
+
+
+def _times(c: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """floor(c * p / 2^36) for counts c under 2^47, without overflow."""
+    c, p = c.astype(np.uint64), p.astype(np.uint64)
+    high = (c >> np.uint64(20)) * p
+    low = (c & np.uint64((1 << 20) - 1)) * p
+    return ((high >> np.uint64(16)) + ((((high & np.uint64(0xFFFF)) << np.uint64(20)) + low) >> np.uint64(36))).astype(np.int64)
 
 
 class Schedule:
-    """Positions in the global stream, from positions in the queues."""
+    """Windows and places in them, from positions in the queues.
 
-    def __init__(self, totals: dict[str, int], window: int, proportions: dict[str, float] | None = None):
-        self.names = {q: i for i, q in enumerate(totals)}
-        self.total = np.array(list(totals.values()), np.int64)
-        self.share = shares(totals, window, proportions)
-        self.dry = ((self.total << _FRACTION) + self.share - 1) // self.share  # the round before which all is sent
-        self.window = window
+    ``node_share``, ``node_left`` and ``node_right`` hold each node's share of its left side (of
+    2^36) and the tokens of both sides; ``path`` and ``right`` each queue's nodes from the root
+    on, and whether it is to their right.
+    """
 
-    def sent(self, q: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """Tokens that queues q have sent before round r."""
-        return np.minimum(self.total[q], (np.minimum(r, self.dry[q]) * self.share[q]) >> _FRACTION)
+    def __init__(self, totals: dict[str, int], window: int, proportions: dict[str, float] | None = None, temperature: float = 1.0):
+        self.names = {q: i for i, q in enumerate(totals)}
+        self.window, self.whole = window, sum(totals.values())
+        if self.whole >= 1 << 47:
+            raise ValueError("at most 2^47 tokens can be packed at once")
+        size, want = list(totals.values()), shares(totals, proportions, temperature)
+        order = sorted(range(len(size)), key=lambda i: (-want[i], i))
+        self.weight = np.array(want)
+        tokens = np.append(0, np.cumsum([size[i] for i in order])).astype(np.int64)
+        weights = np.append(0.0, np.cumsum([want[i] for i in order]))
+        share, left, right = [], [], []
+        paths: list[list[tuple[int, bool]]] = [[] for _ in size]
+        parts = [(0, len(size), [])] if size else []
+        while parts:
+            lo, hi, path = parts.pop()
+            if hi - lo == 1:
+                paths[order[lo]] = path
+                continue
+            half = (weights[lo] + weights[hi]) / 2
+            cut = int(np.clip(np.searchsorted(weights, half), lo + 1, hi - 1)) if weights[hi] > weights[lo] else (lo + hi) // 2
+            if cut - 1 > lo and half - weights[cut - 1] < weights[cut] - half:
+                cut -= 1
+            a, b = (weights[cut] - weights[lo], weights[hi] - weights[cut]) if weights[hi] > weights[lo] else (float(tokens[cut] - tokens[lo]), float(tokens[hi] - tokens[cut]))
+            p = round(a / (a + b) * (1 << _FRACTION)) if a + b else 1 << (_FRACTION - 1)
+            share.append(min(p, (1 << _FRACTION) - 1) if b else p)
+            left.append(int(tokens[cut] - tokens[lo]))
+            right.append(int(tokens[hi] - tokens[cut]))
+            node = len(share) - 1
+            parts += [(lo, cut, [*path, (node, False)]), (cut, hi, [*path, (node, True)])]
+        self.node_share, self.node_left, self.node_right = (np.array(x or [0], np.int64) for x in (share, left, right))
+        self.depth = np.array([len(p) for p in paths], np.int64)
+        deep = int(self.depth.max(initial=0))
+        self.path = np.array([[k for k, _ in p] + [0] * (deep - len(p)) for p in paths], np.int64).reshape(len(size), deep)
+        self.right = np.array([[r for _, r in p] + [False] * (deep - len(p)) for p in paths], bool).reshape(len(size), deep)
+
+    def sent(self, q: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens that queues q have sent before round r, and that the queues before them in a round have."""
+        count, before = np.minimum(r * self.window, self.whole), np.zeros(len(q), np.int64)
+        for d in range(self.path.shape[1]):
+            k, here = self.path[q, d], self.depth[q] > d
+            left = np.clip(_times(count, self.node_share[k]), count - self.node_right[k], self.node_left[k])
+            right = self.right[q, d]
+            before += np.where(here & right, left, 0)
+            count = np.where(here, np.where(right, count - left, left), count)
+        return count, before
 
     def round_of(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
         """The round that sends token ``at`` of queue q."""
-        return (((at + 1) << _FRACTION) + self.share[q] - 1) // self.share[q] - 1
-
-    def base(self, q: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """Where in the global stream round r of queue q starts: all earlier rounds, then the queues before q."""
-        out = np.zeros(len(r), np.int64)
-        rounds, at = np.unique(r, return_inverse=True)
-        order = np.argsort(at, kind="stable")
-        ends = np.searchsorted(at[order], np.arange(len(rounds) + 1))
-        for i in range(0, len(rounds), MAX_ROUNDS):
-            part = rounds[i : i + MAX_ROUNDS, None]
-            rows = order[ends[i] : ends[i + len(part)]]
-            for j in range(0, len(self.total), MAX_QUEUES):
-                k = np.arange(j, min(j + MAX_QUEUES, len(self.total)))
-                now = self.sent(k, part)
-                before = np.zeros((len(part), len(k) + 1), np.int64)
-                np.cumsum(self.sent(k, part + 1) - now, axis=1, out=before[:, 1:])
-                out[rows] += now.sum(1)[at[rows] - i] + before[at[rows] - i, np.clip(q[rows] - j, 0, len(k))]
-        return out
+        need = at + 1  # so many tokens must have come to the queue, and so to each node above it
+        for d in range(self.path.shape[1] - 1, -1, -1):
+            k, here, right = self.path[q, d], self.depth[q] > d, self.right[q, d]
+            p = self.node_share[k]
+            own = np.where(right, (1 << _FRACTION) - p, p)
+            alone = need + np.where(right, self.node_left[k], self.node_right[k])  # when the other side has run dry
+            guess = np.where(own > 0, np.minimum((need - right) * (float(1 << _FRACTION) / np.maximum(own, 1)), alone), alone)
+            c = np.maximum(guess.astype(np.int64) - 2, need)
+            for _ in range(5):
+                left = _times(c, p)
+                c += np.where(right, c - left, left) < need
+            need = np.where(here, np.minimum(c, alone), need)
+        return (need - 1) // self.window
 
     def pieces(self, q: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Rows of tokens [at, at + n) of queues q as (row, start in the row, length, sequence, offset)."""
+        """Runs of tokens [at, at + n), n > 0, of queues q as (run, start in the run, length, sequence, offset).
+
+        Rounds are stepped through where they are at most about as many as the tokens, and
+        looked up token by token where a rare source is spread over more.
+        """
         first, last = self.round_of(q, at), self.round_of(q, at + n - 1)
-        row, r = _spread(first, last)
-        lo, hi = np.maximum(at[row], self.sent(q[row], r)), np.minimum((at + n)[row], self.sent(q[row], r + 1))
-        keep = hi > lo
-        row, r, lo, hi = row[keep], r[keep], lo[keep], hi[keep]
-        g = self.base(q[row], r) + lo - self.sent(q[row], r)
-        part, s = _spread(g // self.window, (g + hi - lo - 1) // self.window)
-        a = np.maximum(g[part], s * self.window)
-        b = np.minimum((g + hi - lo)[part], (s + 1) * self.window)
-        return row[part], (lo[part] - at[row[part]]) + a - g[part], b - a, s, a - s * self.window
+        near = last - first < 2 * n
+        run, r = _spread(first[near], last[near])
+        far, token = _spread(at[~near], (at + n - 1)[~near])
+        far_r = self.round_of(q[~near][far], token)
+        new = np.append(True, (far[1:] != far[:-1]) | (far_r[1:] != far_r[:-1])) if len(far) else np.zeros(0, bool)
+        run = np.concatenate([np.flatnonzero(near)[run], np.flatnonzero(~near)[far[new]]])
+        r = np.concatenate([r, far_r[new]])
+        (lo, before), (hi, after) = self.sent(q[run], r), self.sent(q[run], r + 1)
+        a, b = np.maximum(at[run], lo), np.minimum((at + n)[run], hi)
+        keep = b > a
+        return run[keep], (a - at[run])[keep], (b - a)[keep], r[keep], (after - before + a - lo)[keep]
 
 
 def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,25 +293,31 @@ def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _pack(totals: dict[str, int], window: int, proportions: dict[str, float] | None, with_ids: bool):
+def _pack(plan: Schedule, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = Schedule(totals, window, proportions)
         for whole in batches:
-            for batch in chunks(whole, "ids", 1 << 21):
+            for batch in chunks(whole, "ids"):
                 q = np.array([plan.names[x] for x in batch.column("queue").to_pylist()], np.int64)
-                n = batch.column("n").to_numpy()
-                row, start, length, seq, offset = plan.pieces(q, batch.column("at").to_numpy(), n)
+                at, n = batch.column("at").to_numpy(), batch.column("n").to_numpy()
                 raw = bytes_of(batch.column("ids"))
                 ids = raw.view(f"<u{len(raw) // n.sum()}").astype("<u4")
-                a = 4 * ((np.cumsum(n) - n)[row] + start)
-                view = memoryview(ids.view(np.uint8))
-                parts = [view[x:y] for x, y in zip(a.tolist(), (a + 4 * length).tolist())]
-                cols = [batch.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64()), pa.array(n[row]), pa.array(seq), pa.array(offset)]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-                if with_ids:
-                    cols.append(pa.array([x.tobytes() for x in parts], pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(cols, names)
+                view, base = memoryview(ids.view(np.uint8)), np.cumsum(n) - n
+                # runs of a bounded length, a bounded number of tokens at a time
+                doc, skip = _spread(np.zeros(len(n), np.int64), (n - 1) // RUN)
+                size = np.minimum(n[doc] - skip * RUN, RUN)
+                cuts = [*np.flatnonzero(np.diff(np.cumsum(size) // RUN)) + 1, len(doc)]
+                for x, y in zip([0, *cuts], cuts):
+                    d, skipped = doc[x:y], skip[x:y] * RUN
+                    row, start, length, seq, offset = plan.pieces(q[d], at[d] + skipped, size[x:y])
+                    start, row = start + skipped[row], d[row]
+                    a = 4 * (base[row] + start)
+                    parts = [view[i:j] for i, j in zip(a.tolist(), (a + 4 * length).tolist())]
+                    cols = [batch.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(length), pa.array([zlib.crc32(p) for p in parts], pa.int64()), pa.array(n[row]), pa.array(seq), pa.array(offset)]
+                    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+                    if with_ids:
+                        cols.append(pa.array([p.tobytes() for p in parts], pa.binary()))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(cols, names)
 
     return run
 
@@ -281,14 +339,17 @@ def pack(
     source_col: str | None = "source",
     end_id: int = END_ID,
     with_ids: bool = False,
+    temperature: float = 1.0,
 ) -> DataFrame:
     """Every token of ``docs`` in exactly one piece of a window of ``window`` tokens.
 
-    ``proportions`` gives target shares by source; None takes each source's share of all
-    tokens, so that all queues run dry together. Sources without a target get the smallest
-    share, and when queues run dry the others fill the windows in their own proportions.
-    Null sources are a queue of their own. The totals of all queues, one number a source, are
-    on the driver and in every task, and each round sums over them.
+    ``proportions`` gives target shares by source; None takes each source's tokens to the power
+    of ``temperature``: 1 for its share of all tokens, so that all queues run dry together, less
+    to give small sources more of the early windows. While no queue is dry every window holds
+    each source's target to within a few tokens (a deficit of at most one for each node above
+    the queue in the tree), and so do all windows before it together. A source without a target
+    follows when those beside it in the tree have run dry. Null sources are a queue of their
+    own. The totals of all queues, one number a source, are on the driver and in every task.
 
     A document is its ids and ``end_id``; a null or empty text is ``end_id`` alone. Null ids
     and repeated rows are packed like any other row. An empty table gives no rows. Only the
@@ -311,4 +372,5 @@ def pack(
     bases = materialize(blocks.select("block", "queue", F.coalesce(before, F.lit(0)).alias("base")), "bases")
     drop(blocks)
     placed = tokens.join(bases, ["block", "queue"]).select("queue", "doc_id", (F.col("at") + F.col("base")).alias("at"), "n", "ids")
-    return placed.mapInArrow(_pack(totals, window, proportions, with_ids), _PIECES + (", ids binary" if with_ids else ""))
+    plan = Schedule(totals, window, proportions, temperature)
+    return placed.mapInArrow(_pack(plan, with_ids), _PIECES + (", ids binary" if with_ids else ""))

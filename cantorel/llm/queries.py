@@ -92,9 +92,13 @@ def op8_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
 
 
+#: Targets of the packed mixture: tokens of a source to this power, so that small sources come early.
+TEMPERATURE = 0.7
+
+
 def op9_packing(spark: SparkSession, d: str) -> DataFrame:
-    """Every document's tokens packed into windows."""
-    return packing.pack(_table(spark, d, "documents"), tokenizer_path())
+    """Every document's tokens packed into windows of a tempered mixture of sources."""
+    return packing.pack(_table(spark, d, "documents"), tokenizer_path(), temperature=TEMPERATURE)
 
 
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:

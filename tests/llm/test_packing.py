@@ -1,5 +1,6 @@
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -76,26 +77,117 @@ def test_windows_hold_the_target_mixture():
     assert (abs(share - [500, 300, 200]) <= 3).all()
 
 
-def test_empty_and_many_sources(spark, monkeypatch):
+def sequential(totals, window, **kw):
+    """The tree's queues served one token after the other: (queue, position) of the tokens of each window, in order."""
+    plan, names = packing.Schedule(totals, window, **kw), list(totals)
+    left_of = {}
+    for q in range(len(names)):
+        at = tuple((int(plan.path[q, d]), bool(plan.right[q, d])) for d in range(plan.depth[q]))
+        left_of[at] = q
+    credit, held, next_token = {}, dict(enumerate(totals.values())), [0] * len(names)
+
+    def stock(path):
+        return sum(n for at, n in ((a, held[q]) for a, q in left_of.items()) if at[: len(path)] == path)
+
+    def serve(path, k):
+        if path in left_of:
+            q = left_of[path]
+            held[q] -= k
+            next_token[q] += k
+            return [(q, next_token[q] - k + i) for i in range(k)]
+        node = next(a[len(path)][0] for a in left_of if a[: len(path)] == path)
+        owed = credit.get(node, Fraction(0)) + k * Fraction(int(plan.node_share[node]), 1 << 36)
+        a, b = stock((*path, (node, False))), stock((*path, (node, True)))
+        n = min(max(owed.numerator // owed.denominator, k - b), a)
+        credit[node] = owed - n
+        return serve((*path, (node, False)), n) + serve((*path, (node, True)), k - n)
+
+    out, rest = [], sum(totals.values())
+    while rest:
+        out.append(serve((), min(window, rest)))
+        rest -= len(out[-1])
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.integers(1, 300), min_size=1, max_size=7), st.integers(1, 60), st.sampled_from([None, 0.3, 1.0]),
+    st.lists(st.sampled_from([0.0, 0.001, 0.2, 1.0]), min_size=7, max_size=7), st.integers(1, 40),
+)
+def test_closed_form_is_a_sequential_deficit_round_robin(sizes, window, temperature, targets, step):
+    totals = {f"={i}": n for i, n in enumerate(sizes)}
+    kw = {"proportions": dict(zip(totals, targets))} if temperature is None else {"temperature": temperature}
+    plan, got = packing.Schedule(totals, window, **kw), {}
+    for q, n in enumerate(sizes):
+        at = np.arange(0, n, step)
+        size = np.minimum(step, n - at)
+        for run, start, length, seq, offset in zip(*(v.tolist() for v in plan.pieces(np.full(len(at), q), at, size))):
+            for i in range(length):
+                got[q, int(at[run]) + start + i] = (seq, offset + i)
+    want = {token: (s, o) for s, tokens in enumerate(sequential(totals, window, **kw)) for o, token in enumerate(tokens)}
+    assert got == want
+
+
+def test_windows_hold_the_targets_until_a_queue_is_dry():
+    rng = np.random.default_rng(5)
+    totals = {f"={i:03}": int(n) for i, n in enumerate(rng.integers(10**6, 10**8, 300))}
+    want = dict(zip(totals, rng.random(300)))
+    plan = packing.Schedule(totals, 2048, want)
+    share = np.array(list(want.values())) / sum(want.values())
+    dry = min(n / (2048 * f) for n, f in zip(totals.values(), share))
+    for r in (1, 2, 77, int(dry / 2), int(dry) - 2):
+        sent, before = plan.sent(np.arange(300), np.full(300, r))
+        assert (abs(sent - r * 2048 * share) <= plan.depth + 1).all() and sent.sum() == r * 2048
+        assert sorted(before.tolist())[0] == 0 and (before + sent).max() == r * 2048
+    assert plan.depth.max() <= 24
+
+
+def test_large_totals_missing_targets_and_rare_sources():
+    # far beyond 2^21 tokens of a queue without a target
+    totals = {"=a": 1 << 40, "=b": 1 << 40}
+    plan = packing.Schedule(totals, 2048, {"=a": 1.0})
+    run, start, length, seq, offset = plan.pieces(np.array([1, 0]), np.array([1 << 20, 5]), np.array([5000, 5000]))
+    assert seq[run == 1].tolist() == [0, 1, 2] and length.sum() == 10_000
+    assert seq[run == 0].min() == ((1 << 40) + (1 << 20)) // 2048 and (offset >= 0).all()
+    # 10,000 tokens of a source of a 10^-8 share are looked up one by one, not by their 5 * 10^8 rounds
+    totals = {"=a": 10**13, "=rare": 10**5}
+    plan = packing.Schedule(totals, 2048)
+    run, start, length, seq, offset = plan.pieces(np.array([1]), np.array([50_000]), np.array([10_000]))
+    assert length.tolist() == [1] * 10_000 and (np.diff(seq) > 0).all()
+    middle = 10**13 / 2048
+    assert abs(seq[0] / middle - 0.5) < 0.01 and abs(seq[-1] / middle - 0.6) < 0.01
+    sent, _ = plan.sent(np.array([0, 1]), np.array([1 << 62, 1 << 62]) // 2048)
+    assert sent.tolist() == [10**13, 10**5]
+    with pytest.raises(ValueError):
+        packing.Schedule({"=a": 1 << 47}, 2048)
+
+
+def test_long_documents_are_cut_into_runs(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "the of " * 3000, "a"), (2, "zyx " * 500, "b"), (3, None, None)], "doc_id long, text string, source string")
+    key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    whole = sorted(map(tuple, packing.pack(df, PATH, window=512).select(key).collect()))
+    read = packing._pack
+
+    def small(plan, with_ids):
+        def run(batches):
+            packing.RUN = 700
+            yield from read(plan, with_ids)(batches)
+
+        return run
+
+    monkeypatch.setattr(packing, "_pack", small)
+    cut = packing.pack(df, PATH, window=512).select("doc_id", "length", "sequence_id").collect()
+    assert sum(r.length for r in cut) == sum(r[2] for r in whole)
+    by = lambda rows: sorted((d, s, sum(r[1] for r in rows if (r[0], r[2]) == (d, s))) for d, s in {(r[0], r[2]) for r in rows})
+    assert by([(r[0], r[2], r[5]) for r in whole]) == by([tuple(r) for r in cut])
+
+
+def test_empty_table_and_many_sources(spark):
     assert packing.pack(docs(spark, []), PATH).count() == 0
-    monkeypatch.setattr(packing, "MAX_QUEUES", 2)
     df = spark.createDataFrame([(i, "some words", f"s{i}") for i in range(9)], "doc_id long, text string, source string")
     assert packing.pack(df, PATH).groupBy("doc_id").count().count() == 9
 
 
-def test_bases_of_many_queues_match_a_plain_sum(monkeypatch):
-    rng = np.random.default_rng(5)
-    totals = {f"={i:03}": int(n) for i, n in enumerate(rng.integers(1, 4000, 300))}
-    plan = packing.Schedule(totals, 512, {"=000": 0.5, "=001": 0.2})
-    q, r = rng.integers(0, 300, 500), np.append(rng.integers(0, 60, 450), rng.integers(0, 1 << 28, 50))
-    sent = lambda k, at: min(int(plan.total[k]), int(at) * int(plan.share[k]) >> 16)
-    want = [sum(sent(k, x + (k < y)) for k in range(300)) for y, x in zip(q.tolist(), r.tolist())]
-    assert plan.base(q, r).tolist() == want
-    monkeypatch.setattr(packing, "MAX_QUEUES", 7)
-    monkeypatch.setattr(packing, "MAX_ROUNDS", 11)
-    assert plan.base(q, r).tolist() == want
-
-
 def test_over_256_sources_keep_their_proportions(spark):
     rows = [(i, "the of " * (600 if i < 2 else 4), f"s{i}") for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
