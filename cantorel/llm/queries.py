@@ -30,13 +30,14 @@ def op1_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """The documents that repeats of lines and sentences are cut from, with the spans cut and the digest of what is left."""
-    docs = linededup.dedup(_table(spark, d, "documents").select("doc_id", "text", F.length("text").alias("chars"))).filter(F.size("removed") > 0)
+    """Every document with the spans cut from it as repeats of lines and sentences, and the digest of what is left."""
+    docs = linededup.dedup(_table(spark, d, "documents").select("doc_id", "text", F.length("text").alias("chars")))
     left = F.coalesce(F.length("text"), F.lit(0))
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return docs.select(
         "doc_id", F.size("removed").cast("long").alias("n_removed"), (F.coalesce("chars", F.lit(0)) - left).cast("long").alias("removed_chars"),
         spans.alias("spans"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"),
+        "long_passages",
     )
 
 
@@ -145,9 +146,14 @@ g AS (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OV
 m AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM g GROUP BY doc_id, k),
 c AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS e FROM m),
 j AS (SELECT doc_id, count(*) AS n, CAST(sum(b - a) AS BIGINT) AS chars, string_agg(a || ':' || b, ',' ORDER BY a) AS spans, max(b) AS tail,
-             string_agg(substr(d.x, e + 1, a - e), '' ORDER BY a) AS head FROM c JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT d.doc_id, n AS n_removed, chars AS removed_chars, spans, sha256(head || substr(d.x, tail + 1)) AS text_sha256
-FROM d JOIN j ON j.doc_id = d.doc_id
+             string_agg(substr(d.x, e + 1, a - e), '' ORDER BY a) AS head FROM c JOIN d USING (doc_id) GROUP BY doc_id),
+v AS (SELECT doc_id, a, len(regexp_extract_all(substr(d.x, a + 1, b - a), '{_WORD}+')) AS words,
+             sum(CASE WHEN e > 0 AND len(regexp_extract_all(substr(d.x, e + 1, a - e), '{_WORD}+')) = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY a) AS k
+      FROM c JOIN d USING (doc_id)),
+y AS (SELECT doc_id, count(*) AS long FROM (SELECT doc_id, k, sum(words) AS words FROM v GROUP BY doc_id, k) WHERE words > 50 GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_removed, coalesce(chars, 0) AS removed_chars, coalesce(spans, '') AS spans,
+       sha256(CASE WHEN n IS NULL THEN d.x ELSE head || substr(d.x, tail + 1) END) AS text_sha256, coalesce(long, 0) AS long_passages
+FROM d LEFT JOIN j ON j.doc_id = d.doc_id LEFT JOIN y ON y.doc_id = d.doc_id
 """
 
 

@@ -54,8 +54,14 @@ def test_matches_brute_force(spark):
             lines.append(s)
         texts.append("\n".join(lines))
     ids = list(range(60))
-    got = {r.doc_id: [tuple(s) for s in r.spans] for r in ld.repeated(docs(spark, texts, ids)).collect()}
-    assert got == brute(texts, ids) and len(got) > 10
+    out = ld.dedup(docs(spark, texts, ids)).collect()
+    got = {r.doc_id: [tuple(s) for s in r.removed] for r in out if r.removed}
+    assert got == brute(texts, ids) and len(got) > 10 and len(out) == 60
+    for r in out:
+        whole, left, at = texts[r.doc_id], "", 0
+        for a, b in got.get(r.doc_id, []):
+            left, at = left + whole[at:a], b
+        assert r.text == left + whole[at:]
 
 
 def test_passage_inside_longer_lines(spark):
@@ -67,6 +73,23 @@ def test_passage_inside_longer_lines(spark):
     for i in (1, 2):
         assert sum(b - a for a, b in out[i].removed) >= 0.95 * len(passage)
         assert out[i].text.startswith(texts[i][:20])
+    assert [out[i].long_passages for i in range(3)] == [0, 1, 1]
+
+
+def test_long_passages_are_counted_over_spans_without_words_between(spark):
+    rng = random.Random(8)
+    lines = [words(rng, 30) for _ in range(4)]
+    texts = ["\n".join(lines), "\n\n".join(lines[:2]) + "\nown words here\n" + lines[2], lines[3], "é " + words(rng, 3)]
+    out = {r.doc_id: r.long_passages for r in ld.dedup(docs(spark, texts)).collect()}
+    assert out == {0: 0, 1: 1, 2: 0, 3: 0}
+
+
+def test_many_repeats_in_one_text(spark):
+    rng = random.Random(9)
+    pool = [words(rng, 6) for _ in range(50)]
+    text = "\n".join(rng.choice(pool) for _ in range(20_000))
+    r = ld.dedup(docs(spark, [text])).first()
+    assert len(r.removed) == 20_000 - len(set(text.split("\n"))) and len(r.text.replace("\n", "")) == sum(map(len, set(text.split("\n"))))
 
 
 def test_columns_nulls_and_repeated_rows(spark):
@@ -74,7 +97,7 @@ def test_columns_nulls_and_repeated_rows(spark):
     line = words(rng, 8)
     df = docs(spark, [line, line, None, "", line + "\nown words of this text here"], [1, 1, 3, 4, None])
     out = ld.dedup(df)
-    assert out.columns == [*df.columns, "removed"]
+    assert out.columns == [*df.columns, "removed", "long_passages"]
     kept = {(r.doc_id, r.text) for r in out.collect()}
     # the null id ranks first, so its occurrence stays; equal rows lose theirs alike
     assert kept == {(1, ""), (3, None), (4, ""), (None, line + "\nown words of this text here")}
