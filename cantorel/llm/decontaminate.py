@@ -150,19 +150,18 @@ class Index:
         pos, segment = self.pos[post], self.segment[post].astype(np.int64)
         band = (np.repeat(at, n) - pos + _SHIFT) // BAND
         pair = np.repeat(doc, n) * len(self.of) + segment
-        # a pair below its bound in all bands together needs no sorting
-        names, which, often = np.unique(pair, return_inverse=True, return_counts=True)
-        enough = (often >= self.bound[names % len(self.of)])[which]
-        pos, band, pair = pos[enough], band[enough], pair[enough]
-        pos, band, pair = np.tile(pos, 2), np.concatenate([band, band - 1]), np.tile(pair, 2)
-        order = np.lexsort((pos, band, pair))
-        pos, band, pair = pos[order], band[order], pair[order]
-        starts = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (band[1:] != band[:-1]))) if len(pair) else np.zeros(0, np.int64)
-        sizes = np.diff(np.append(starts, len(pair)))
-        for s, m in zip(starts.tolist(), sizes.tolist()):
-            least = self.bound[pair[s] % len(self.of)]
-            if m >= least and len(where := np.unique(pos[s : s + m])) >= least:
-                yield int(pair[s]) // len(self.of), int(pair[s]) % len(self.of), int(band[s]), where
+        bands = int(band.max()) + 2
+        key = pair * bands + band
+        order = np.argsort(key, kind="stable")
+        starts = np.flatnonzero(np.append(True, np.diff(key[order]) > 0))
+        names, sizes = key[order[starts]], np.diff(np.append(starts, len(key)))
+        # a region is a band's half and the next one's, if any
+        sizes[:-1] += np.where(np.diff(names) == 1, sizes[1:], 0)
+        good = sizes >= self.bound[names // bands % len(self.of)]
+        for name, s, m in zip(names[good].tolist(), starts[good].tolist(), sizes[good].tolist()):
+            where, what = np.unique(pos[order[s : s + m]]), name // bands
+            if len(where) >= self.bound[what % len(self.of)]:
+                yield what // len(self.of), what % len(self.of), name % bands, where
 
     def matches(self, data: np.ndarray, off: np.ndarray, once: bool = False) -> dict[tuple[int, int], tuple[int, int, int]]:
         """(document, item) to (distance, start, end) of the best stretch and of all verified ones' extent.
