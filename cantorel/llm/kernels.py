@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text a kernel works on at once; temporaries are about 30 times as large.
 CHUNK_BYTES = 1 << 20
@@ -89,3 +90,62 @@ def token_hashes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     keep = kind != SPACE
     rows = np.searchsorted(offsets, starts[keep], "right") - 1
     return hashes[keep], rows
+
+
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+#: Strings longer than this are hashed one by one.
+_LONG_STRING = 256
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _round(state: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _turned(state + lane * _P2, 31) * _P1
+
+
+def xxh64(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of data[start:end] for many, also overlapping, strings at once, by the published algorithm."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    lanes = np.empty(len(data) + 1, np.uint64)  # the eight bytes at each place
+    for s in range(8):
+        part = padded[s : s + (len(padded) - s) // 8 * 8].view("<u8")
+        lanes[s::8] = part[: len(lanes[s::8])]
+    size, at, seed64 = end - start, start.copy(), np.uint64(seed)
+    h = np.full(len(start), seed64 + _P5, np.uint64)
+    striped = np.flatnonzero((size >= 32) & (size <= _LONG_STRING))
+    if len(striped):
+        with np.errstate(over="ignore"):
+            state = [np.full(len(striped), x, np.uint64) for x in (seed64 + _P1 + _P2, seed64 + _P2, seed64, seed64 - _P1)]
+        for k in range(int(size[striped].max()) // 32):
+            on = np.flatnonzero(size[striped] >= 32 * (k + 1))
+            for j in range(4):
+                state[j][on] = _round(state[j][on], lanes[start[striped[on]] + 32 * k + 8 * j])
+        whole = sum((_turned(v, r) for v, r in zip(state, (1, 7, 12, 18))), np.zeros(len(striped), np.uint64))
+        for v in state:
+            whole = (whole ^ _round(np.zeros_like(v), v)) * _P1 + _P4
+        h[striped] = whole
+        at[striped] += size[striped] // 32 * 32
+    h += size.astype(np.uint64)
+    for _ in range(3):
+        on = np.flatnonzero(at + 8 <= end)
+        if not len(on):
+            break
+        lane = lanes[at[on]]
+        h[on] = _turned(h[on] ^ _round(np.zeros_like(lane), lane), 27) * _P1 + _P4
+        at[on] += 8
+    on = np.flatnonzero(at + 4 <= end)
+    h[on] = _turned(h[on] ^ ((lanes[at[on]] & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+    at[on] += 4
+    for _ in range(3):
+        on = np.flatnonzero(at < end)
+        h[on] = _turned(h[on] ^ ((lanes[at[on]] & np.uint64(0xFF)) * _P5), 11) * _P1
+        at[on] += 1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    h ^= h >> np.uint64(32)
+    view = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(size > _LONG_STRING).tolist():
+        h[i] = xxhash.xxh64_intdigest(view[start[i] : end[i]], seed)
+    return h

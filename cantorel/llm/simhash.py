@@ -11,16 +11,16 @@ is discarded, and the survivors are verified bit by bit.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cantorel.llm.graph import components, stars
-from cantorel.llm.kernels import _GOLDEN, chunks, splitmix, text_bytes
+from cantorel.llm.kernels import _CLASS, _GOLDEN, _LOWER, SPACE, chunks, runs, splitmix, text_bytes, xxh64
 from cantorel.llm.storage import drop, materialize, ship
 
 BITS, BLOCKS, RADIUS, SEED = 64, 6, 3, 42
@@ -34,30 +34,48 @@ PIVOTS = splitmix(np.arange(1, 17, dtype=np.uint64) * _GOLDEN)
 PIECE = 2048
 
 
-def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """Majority bits of the XXH64 values of the word shingles of one text; 0 without words."""
-    words = text.lower().split()
-    if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
-    joined = memoryview(b" ".join(words))
-    ends = [x - 1 for x in accumulate(len(w) + 1 for w in words)]
-    starts = [0, *(e + 1 for e in ends[: n - 1])]
-    digest = xxhash.xxh64_intdigest
-    votes = np.zeros(BITS, np.int64)
-    for k in range(0, n, 65536):
-        h = [digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65536], ends[k + min(shingle, len(words)) - 1 :])]
-        votes += np.unpackbits(np.array(h, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
+#: Shingles that are hashed and counted at once.
+SHINGLES = 1 << 17
+
+
+def prints_of(data: np.ndarray, off: np.ndarray, shingle: int = 3) -> np.ndarray:
+    """Majority bits of the XXH64 values of the word shingles of texts end to end; 0 without words."""
+    n = len(off) - 1
+    votes, total = np.zeros((n, BITS), np.int64), np.zeros(n, np.int64)
+    word = _CLASS[data] != SPACE
+    starts, _ = runs(data, off, word.view(np.uint8))
+    starts = starts[word[starts]] if len(starts) else starts
+    if not len(starts):
+        return np.zeros(n, np.uint64)
+    # the words with single blanks between them, and where each of them starts and ends there
+    doc = np.searchsorted(off, starts, "right") - 1
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(word, out=before[1:])
+    head = before[starts] + np.arange(len(starts))
+    tail = np.append(before[starts[1:]], before[-1]) + np.arange(len(starts))
+    joined = np.full(int(tail[-1]), 32, np.uint8)
+    place = np.arange(before[-1]) + np.repeat(np.arange(len(starts)), tail - head)
+    joined[place] = _LOWER[data[word]]
+    first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    words = np.diff(np.append(first, len(doc)))
+    total[doc[first]] = np.maximum(words - shingle + 1, 1)
+    m = total[doc[first]]
+    i = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first, m)
+    last = np.minimum(i + shingle, np.repeat(first + words, m)) - 1
+    owner = np.repeat(doc[first], m)
+    for k in range(0, len(i), SHINGLES):
+        h = xxh64(joined, head[i[k : k + SHINGLES]], tail[last[k : k + SHINGLES]], SEED)
+        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        own = owner[k : k + SHINGLES]
+        at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        votes[own[at]] += np.add.reduceat(bits, at, axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > total[:, None], axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in chunks(whole, "text"):
-            data, off = text_bytes(batch.column("text"))
-            raw = data.tobytes()
-            o = off.tolist()
-            fp = np.array([fingerprint(raw[a:b]) for a, b in zip(o, o[1:])], dtype=np.uint64)
+            fp = prints_of(*text_bytes(batch.column("text")))
             names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(fp.view(np.int64))], [*names, "fp"])
 
@@ -121,23 +139,30 @@ def _small(fp: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.nd
     return fp[i], fp[j]
 
 
-_LINKS = "u long, v long, bucket long, piece int, held binary"
+_LINKS = "u long, v long, bucket long, piece long, held binary"
 
 
 def _out(u: np.ndarray, v: np.ndarray, bucket: int | None = None, piece: int = 0, held: bytes | None = None) -> pa.RecordBatch:
     if held is None:
         leaf, centre = stars(u.view(np.int64), v.view(np.int64))
         n = len(leaf)
-        cols = [pa.array(leaf, pa.int64()), pa.array(centre, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+        cols = [pa.array(leaf, pa.int64()), pa.array(centre, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
     else:
-        cols = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([bucket], pa.int64()), pa.array([piece], pa.int32()), pa.array([held], pa.binary())]
+        cols = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([bucket], pa.int64()), pa.array([piece], pa.int64()), pa.array([held], pa.binary())]
     return pa.RecordBatch.from_arrays(cols, ["u", "v", "bucket", "piece", "held"])
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (bucket, fp) rows to links; a bucket over PIECE rows also leaves its pieces, to be compared with each other."""
+    """Sorted (bucket, fp) rows of one range to links.
+
+    A bucket over PIECE rows, and the range's first and last bucket, which other ranges may hold
+    parts of, also leave their pieces, to be compared with each other.
+    """
     rest_key, rest_fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     pieces: dict[int, int] = {}
+    task = TaskContext.get()
+    own = (task.partitionId() if task else 0) << 32
+    begun = False
 
     def whole(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -155,7 +180,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def piece(key: int, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield from whole(np.full(len(fp), key), fp)
-        pieces[key] = pieces.get(key, -1) + 1
+        pieces[key] = pieces.get(key, own - 1) + 1
         yield _out(fp, fp, key, pieces[key], fp.tobytes())
 
     for batch in batches:
@@ -163,20 +188,19 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fp = np.concatenate([rest_fp, batch.column("fp").to_numpy().view(np.uint64)])
         last = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
         done_key, done_fp, rest_key, rest_fp = key[:last], fp[:last], key[last:], fp[last:]
-        # the first finished bucket may be the end of one that has left pieces already
-        if len(done_key) and int(done_key[0]) in pieces:
+        # the first finished bucket may be the range's first, or the end of one that has left pieces already
+        if len(done_key) and (not begun or int(done_key[0]) in pieces):
             n = int(np.searchsorted(done_key, done_key[0], "right"))
-            yield from piece(int(done_key[0]), done_fp[:n])
+            for k in range(0, n, PIECE):
+                yield from piece(int(done_key[0]), done_fp[k : min(k + PIECE, n)])
             pieces.clear()
-            done_key, done_fp = done_key[n:], done_fp[n:]
+            done_key, done_fp, begun = done_key[n:], done_fp[n:], True
         yield from _cut(done_key, done_fp, whole, piece)
         while len(rest_fp) >= 2 * PIECE:
             yield from piece(int(rest_key[0]), rest_fp[:PIECE])
             rest_key, rest_fp = rest_key[PIECE:], rest_fp[PIECE:]
-    if len(rest_key) and int(rest_key[0]) in pieces:
-        yield from piece(int(rest_key[0]), rest_fp)
-    else:
-        yield from _cut(rest_key, rest_fp, whole, piece)
+    for k in range(0, len(rest_fp), PIECE):
+        yield from piece(int(rest_key[0]), rest_fp[k : k + PIECE])
 
 
 def _cut(key: np.ndarray, fp: np.ndarray, whole, piece) -> Iterator[pa.RecordBatch]:
@@ -205,9 +229,12 @@ def links(fps: DataFrame) -> DataFrame:
     signed = lambda m: m - (1 << 64) if m >> 63 else m
     tables = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(signed(m))) for m in MASKS])).alias("t", "key")
     keyed = fps.select("fp", tables).select(F.xxhash64("t", "key").alias("bucket"), "fp")
-    found = keyed.repartition("bucket").sortWithinPartitions("bucket", "fp").mapInArrow(_buckets, _LINKS)
+    # ranges of (bucket, fp), so that a bucket of any size is dealt over tasks
+    found = keyed.repartitionByRange("bucket", "fp").sortWithinPartitions("bucket", "fp").mapInArrow(_buckets, _LINKS)
     found = materialize(found, "links")
     held = found.filter("held is not null").select("bucket", "piece", "held")
+    shared = held.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    held = held.join(shared, "bucket")
     a, b = held.alias("a"), held.alias("b")
     pairs = a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.piece") < F.col("b.piece")))
     pairs = pairs.select(F.col("a.held").alias("a"), F.col("b.held").alias("b")).repartition(F.xxhash64("a", "b"))

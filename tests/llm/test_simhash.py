@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from cantorel.llm import graph, simhash
+from cantorel.llm.kernels import text_bytes, xxh64
 
 from .helpers import clashing, docs, rows
 
@@ -16,6 +18,24 @@ def brute_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_prints_of_odd_texts_match_brute_force(monkeypatch):
+    rng = random.Random(7)
+    parts = ["a", "É", "ß" * 9, "x" * 31, "y" * 32, "z" * 33, "Q" * 70, "w" * 300, "1.5", " ", "\n\t", "\x0b", "\xa0", "\r"]
+    texts = [" ".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(300)] + [None, "", " ", "one", "a b", "a b c", "k" * 5000]
+    monkeypatch.setattr(simhash, "SHINGLES", 11)
+    got = simhash.prints_of(*text_bytes(pa.array(texts)))
+    assert got.tolist() == [brute_print(t) for t in texts]
+
+
+def test_hashes_are_xxh64():
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 256, 3000).astype(np.uint8)
+    start = rng.integers(0, 2500, 800)
+    end = start + rng.choice([*range(0, 70), 255, 256, 257, 400], 800)
+    want = [xxhash.xxh64_intdigest(data[a:b].tobytes(), 42) for a, b in zip(start, end)]
+    assert xxh64(data, start, end, 42).tolist() == want
+
+
 def brute_components(prints, ids):
     group = list(range(len(prints)))
 
@@ -74,8 +94,6 @@ def test_links_lose_nothing(spark, monkeypatch, piece):
 
 
 def kernel_links(fps):
-    import pyarrow as pa
-
     out_u, out_v, held = [], [], []
     for m in simhash.MASKS:
         bucket = (fps & np.uint64(m)).view(np.int64)
@@ -97,6 +115,28 @@ def kernel_links(fps):
     return out_u, out_v
 
 
+def test_a_hot_bucket_is_dealt_over_tasks(spark):
+    """6,000 fingerprints that share half of their bits: one bucket of a table holds them all, and several tasks work on it."""
+    rng = random.Random(3)
+    fps = sorted({(0xABCDEF12 << 32) | rng.getrandbits(32) for _ in range(6000)} | {(0xABCDEF12 << 32) | 5, (0xABCDEF12 << 32) | 4})
+    signed = [(x - (1 << 64),) for x in fps]
+    df = spark.createDataFrame(signed, "fp long").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = simhash.links(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    at = {x - (1 << 64): i for i, x in enumerate(fps)}
+    uf, want = graph.UnionFind(len(fps)), graph.UnionFind(len(fps))
+    for r in found:
+        uf.union(at[r.u], at[r.v])
+    a = np.array(fps, np.uint64)
+    for i in range(len(a)):
+        for j in np.flatnonzero(np.bitwise_count(a[i] ^ a[i + 1 :]) <= 3).tolist():
+            want.union(i, i + 1 + j)
+    assert [uf.find(i) for i in range(len(fps))] == [want.find(i) for i in range(len(fps))]
+
+
 def test_one_of_each_keeps_columns_and_smallest_id(spark):
     t = "a b c d e f g"
     df = docs(spark, [t, t, t, "quite other words here", None], [5, 3, 3, 9, None])
