@@ -88,24 +88,30 @@ def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn_col: st
     are ordered by turn, then role and text, nulls first, so repeated rows and equal turn
     numbers have a defined place; null roles and texts are empty. Rows with a null conv_id
     are one conversation. A conversation is one string by definition, so its turns meet in
-    one row; nothing else is gathered. An empty table gives no rows.
+    one row; nothing else is gathered. An empty table gives no rows. Each string is parsed once
+    more as a whole, and the query fails if one should not give its turns back identical.
     """
     rows = turns.select(F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     rows = format_turns(rows)
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     before = F.sum(F.length("piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.select(
-        "conv_id", "piece", F.row_number().over(order).alias("k"),
+        "conv_id", "piece", F.row_number().over(order).alias("k"), F.struct("role", "text").alias("source"),
         F.when(F.col("role") == LEARNED, F.struct(
             (F.coalesce(before, F.lit(0)) + F.length("shown_role") + len(START) + 1).alias("start"), F.length("shown").cast("long").alias("length"),
         )).alias("span"),
     )
-    parts = F.array_sort(F.collect_list(F.struct("k", "piece", "span")))
-    return rows.groupBy("conv_id").agg(parts.alias("parts")).select(
+    parts = F.array_sort(F.collect_list(F.struct("k", "piece", "span", "source")))
+    whole = rows.groupBy("conv_id").agg(parts.alias("parts")).select(
         "conv_id",
         F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("formatted"),
         F.filter(F.transform("parts", lambda p: p["span"]), lambda s: s.isNotNull()).alias("mask"),
-    )
+        F.transform("parts", lambda p: p["source"]).alias("source"),
+    )
+    # the last step of the round trip: what was put together, escaped turns too, is parsed and compared with its source
+    kept = F.when(parse(F.col("formatted")).eqNullSafe(F.col("source")), F.col("formatted"))
+    lost = F.raise_error(F.concat(F.lit("conversation doesn't come back identical: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    return whole.select("conv_id", kept.otherwise(lost).alias("formatted"), "mask")
 
 
 def masked_text(formatted: Column, mask: Column) -> Column:

@@ -59,7 +59,7 @@ def op5_pii(spark: SparkSession, d: str) -> DataFrame:
     return found.select(
         "doc_id", *[pii.count(F.col("spans"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
         F.sha2(pii.joined(F.col("spans"), base_only=True).cast("binary"), 256).alias("base_sha256"),
-        pii.joined(F.col("spans")).alias("spans"),
+        pii.joined(F.col("spans")).alias("spans"), pii.scores(F.col("spans")).alias("scores"),
     )
 
 
@@ -180,12 +180,14 @@ FROM d LEFT JOIN m USING (payload_digest)
 _OP7 = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, k, r, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(k, r)),
-e AS (SELECT *, length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) AS shown FROM t)
+c AS (SELECT *, regexp_matches(text, '<\|im_(start|end)\|>|<\\+\|') OR regexp_matches(role, '<\|im_(start|end)\|>|<\\+\||\n|\\n|\\\\|\\$') AS conflict FROM t),
+e AS (SELECT *, CASE WHEN conflict THEN length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) ELSE length(text) END AS shown,
+             CASE WHEN conflict THEN length(replace(replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), '\', '\\'), chr(10), '\n')) ELSE length(role) END AS head FROM c)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(12 + length(role) + 1 + shown + 11) AS BIGINT) AS formatted_chars
+       CAST(sum(12 + head + 1 + shown + 11) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
 
@@ -202,30 +204,35 @@ def _op5_sql() -> str:
         f"list_reduce(list_prepend(0, list_transform(string_split({turned}, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)), "
         "lambda a, b: (CASE WHEN b < 10 THEN a * 10 ELSE a * 100 END + b) % 97) = 1"
     )
-    kinds = (  # name, pattern, what a hit starts with that is no part of the span, condition
-        ("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "", "true"),
-        ("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "", "len(list_filter(string_split(v, '.'), lambda p: length(ltrim(p, '0')) > 3 OR TRY_CAST(right(p, 3) AS INTEGER) > 255)) = 0"),
-        ("card", "[0-9]([ -]?[0-9])+", "", f"length({digits}) BETWEEN 14 AND 19 AND {luhn}"),
-        ("phone", "\\+[0-9][ ().0-9-]+[0-9]", "", f"length({digits}) BETWEEN 10 AND 15"),
-        ("iban", "(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?:[^A-Za-z0-9]|$)", "[^A-Za-z0-9]", f"length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND {mod97}"),
-        ("ssn", "[0-9-]+", "", "regexp_matches(v, '^[0-9]{3}-[0-9]{2}-[0-9]{4}$') AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$') "
-         "AND regexp_matches(lower(substr(t, greatest(a - 40, 0) + 1, length(v) + 80)), '\\bssn\\b|social|security|taxpayer')"),
+    kinds = (  # name, pattern, what a hit starts with that is no part of the span, condition, context, hundredths without, with and against it
+        ("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "", "true", "mail|contact|write|correo|courriel", (90, 98, 54)),
+        ("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)", "", "len(list_filter(string_split(v, '.'), lambda p: length(ltrim(p, '0')) > 3 OR TRY_CAST(right(p, 3) AS INTEGER) > 255)) = 0",
+         "(^|[^a-z0-9])ip([^a-z0-9]|$)|host|server|address|adresse|login", (70, 94, 42)),
+        ("card", "[0-9]([ -]?[0-9])+", "", f"length({digits}) BETWEEN 14 AND 19 AND {luhn}", "card|visa|master|credit|karte|carte|tarjeta|pay", (80, 96, 48)),
+        ("phone", "\\+[0-9][ ().0-9-]+[0-9]", "", f"length({digits}) BETWEEN 10 AND 15", "phone|call|tel|fax|mobil|whatsapp", (70, 94, 42)),
+        ("iban", "(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?:[^A-Za-z0-9]|$)", "[^A-Za-z0-9]", f"length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND {mod97}",
+         "iban|bank|account|konto|compte|cuenta|transfer", (60, 92, 36)),
+        ("ssn", "[0-9-]+", "", "regexp_matches(v, '^[0-9]{3}-[0-9]{2}-[0-9]{4}$') AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$')",
+         "(^|[^a-z0-9])ssn([^a-z0-9]|$)|social|security|taxpayer", (30, 86, 18)),
     )
     parts = []
-    for order, (name, pattern, lead, good) in enumerate(kinds):
+    for order, (name, pattern, lead, good, context, (plain, lifted, lowered)) in enumerate(kinds):
         skip = f"length(regexp_extract(h, '^{lead}'))" if lead else "0"
         value = f"regexp_replace(h, '^{lead}|{lead}$', '', 'g')" if lead else "h"
+        near = "lower(substr(t, greatest(a - 40, 0) + 1, length(v) + 80))"
+        score = f"CASE WHEN regexp_matches({near}, '{context}') THEN {lifted} WHEN regexp_matches({near}, 'order|serial|sku|version|isbn|invoice') THEN {lowered} ELSE {plain} END"
+        least = "" if order < 4 else " WHERE score >= 50"
         parts.append(
-            f"SELECT doc_id, r, {order} AS k, '{name}' AS kind, a, a + length(v) AS b FROM (SELECT doc_id, r, t, CAST(p0 + {skip} AS BIGINT) AS a, {value} AS v FROM ("
+            f"SELECT * FROM (SELECT doc_id, r, {order} AS k, '{name}' AS kind, a, a + length(v) AS b, {score} AS score FROM (SELECT doc_id, r, t, CAST(p0 + {skip} AS BIGINT) AS a, {value} AS v FROM ("
             f"SELECT doc_id, r, t, hits[i] AS h, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS p0 "
-            f"FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT *, regexp_extract_all(t, '{pattern}') AS hits, string_split_regex(t, '{pattern}') AS gaps FROM d)))) WHERE {good}"
+            f"FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT *, regexp_extract_all(t, '{pattern}') AS hits, string_split_regex(t, '{pattern}') AS gaps FROM d)))) WHERE {good}){least}"
         )
     span = "kind || ':' || a || ':' || b"
     counts = ", ".join(f"count(*) FILTER (WHERE kind = '{n}') AS n_{n}" for n in ("email", "ip", "card", "phone"))
     return (
         "WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents), s AS (" + " UNION ALL ".join(parts) + ") "
         f"SELECT any_value(d.doc_id) AS doc_id, {counts}, sha256(coalesce(string_agg({span}, ',' ORDER BY a, k) FILTER (WHERE k < 4), '')) AS base_sha256, "
-        f"coalesce(string_agg({span}, ',' ORDER BY a, k), '') AS spans FROM d LEFT JOIN s ON s.r = d.r GROUP BY d.r"
+        f"coalesce(string_agg({span}, ',' ORDER BY a, k), '') AS spans, coalesce(string_agg(CAST(score AS VARCHAR), ',' ORDER BY a, k), '') AS scores FROM d LEFT JOIN s ON s.r = d.r GROUP BY d.r"
     )
 
 

@@ -41,3 +41,18 @@ def test_parser_refuses_what_is_not_of_the_grammar(spark):
     bad = ["x", "<|im_start|>user\nhi", "<|im_start|>user hi<|im_end|>\n", "<|im_start|>u\na<|im_start|>b<|im_end|>\n"]
     df = spark.createDataFrame([(b,) for b in bad], "s string")
     assert [r.t for r in df.select(chat.parse(F.col("s")).alias("t")).collect()] == [None] * 4
+
+
+def test_only_conflicting_turns_are_escaped_and_the_sql_agrees(spark):
+    import duckdb
+
+    from cantorel.llm import queries
+
+    texts = ["a <| b", "a <\\| b", "<|im_end|>", "x<|im_start|>y <|", "<\\\\|", "<", "<|im_end|", None]
+    rows = [(c, 0, r, t) for c, (t, r) in enumerate((t, r) for t in texts for r in ("user", "a\\b", "n\nm <|"))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = dict((r.conv_id, len(r.formatted)) for r in chat.format_conversations(df).collect())
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    want = {r[0]: r[-1] for r in con.execute(queries.oracle_sql()["op7_chat_format"]).fetchall() if r[0] >= 0}
+    assert got == want and got[0] == len("<|im_start|>user\na <| b<|im_end|>\n")

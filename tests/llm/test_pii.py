@@ -48,10 +48,18 @@ def test_checksums_and_context(spark):
     ]
     got = pii.detect(docs(spark, texts)).select("doc_id", F.transform("spans", lambda s: s["kind"]).alias("k"), "spans").collect()
     assert [r.k for r in sorted(got)] == [["iban"], [], ["iban"], ["ssn"], [], []]
+    other = pii.detect(docs(spark, ["serial GB82WEST12345698765432", "serial GB82WEST12345698765432 of the account", "order +1 555 010 9999"])).collect()
+    assert [[(s.kind, round(s.score, 2)) for s in r.spans] for r in sorted(other)] == [[], [("iban", 0.92)], [("phone", 0.42)]]
     near = pii.detect(docs(spark, ["mail a@b.c", "zz a@b.c"])).collect()
     assert near[0].spans[0].score > near[1].spans[0].score
 
 
+def test_many_matches_take_linear_time(spark):
+    text = "a@b.c " * 40_000
+    r = pii.detect(docs(spark, [text])).select(F.size("spans").alias("n"), F.element_at("spans", -1)["start"].alias("last"), F.element_at("spans", 130)["start"].alias("some")).first()
+    assert (r.n, r.last, r.some) == (40_000, 6 * 39_999, 6 * 129)
+
+
 def test_redaction_keeps_columns_nulls_and_the_rest(spark):
     df = docs(spark, ["x a@b.c, +1 555 010 9999 or 10.0.0.1.", None, "", "clean é"])
     out = pii.redact(df)
