@@ -23,10 +23,10 @@ def tokenizer_path() -> str:
 
 
 def op1_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
-    """Documents sampled by their resemblance to those labelled as of good quality."""
-    docs = _table(spark, d, "documents")
-    target = resample.labelled_target(docs, _table(spark, d, "labels").filter("quality = 1"))
-    return resample.resample(docs, target)
+    """Documents sampled by their resemblance to those labelled as of good quality, as large a share as these are of all labelled ones."""
+    docs, labels = _table(spark, d, "documents"), _table(spark, d, "labels")
+    target = resample.labelled_target(docs, labels.filter("quality = 1"))
+    return resample.resample(docs, target, resample.good_share(labels))
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:

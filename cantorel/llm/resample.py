@@ -20,13 +20,10 @@ from cantorel.llm.kernels import _GOLDEN, chunks, splitmix, token_hashes
 from cantorel.llm.storage import drop, materialize, ship
 
 BUCKETS = 10_000
-#: Share of all rows to keep: about what is not junk in a raw crawl.
-FRACTION = 0.85
 #: Counts added to every bucket of either model.
 SMOOTHING = 1.0
-#: Share of the raw model in the target model. It bounds what one bucket can take from a weight
-#: at log(1/2), and halves the noise that a small target brings into long documents' sums.
-BLEND = 0.5
+#: Share of the raw model in the target model. It bounds what one bucket can take from a weight at log(1/20).
+BLEND = 0.05
 SEED = 17
 #: Bins of one step of the search for the cut.
 _STEP_BITS = 16
@@ -114,10 +111,21 @@ def labelled_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return docs.join(ids.hint("shuffle_hash"), docs[id_col].cast("long") == ids["__target"], "left_semi")
 
 
-def resample(docs: DataFrame, target: DataFrame, fraction: float = FRACTION, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
+def good_share(labels: DataFrame, label_col: str = "quality") -> float:
+    """The share of wanted rows among labelled ones, which stands for that of all rows; 1 without labels. Null labels don't count."""
+    r = labels.agg(F.count_if(F.col(label_col) == 1).alias("good"), F.count(label_col).alias("n")).first()
+    return r["good"] / r["n"] if r["n"] else 1.0
+
+
+def resample(docs: DataFrame, target: DataFrame, fraction: float, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED) -> DataFrame:
     """(doc_id, log_weight, key, selected): the round(fraction * n) sampled rows of ``docs``.
 
-    ``target`` holds texts that are wanted; every row of ``docs`` counts for the raw model.
+    ``target`` holds texts that are wanted; every row of ``docs`` counts for the raw model. The
+    first of the sampled rows is row i with a probability in proportion to exp(log_weight_i), the
+    next one likewise among the rest. Weights are sums over a text's n-grams, as for the published
+    method: two short texts of near weights are drawn by chance, of two long ones the better one
+    is drawn nearly always.
+
     Null and empty texts have log weight 0. The draw is fixed by seed, id and text, so
     repeated rows share one; rows that tie with the last one kept are kept with it. Null ids
     are drawn like others. An empty target makes the target model uniform; an empty table

@@ -1,8 +1,10 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from cantorel.llm import resample as rs
 
@@ -40,7 +42,7 @@ def test_weights_match_a_plain_sum(spark):
     raw, want = counts(texts), counts(texts[:5])
     p = lambda c, b: (c[b] + 1) / (sum(c.values()) + rs.BUCKETS)
     for i, t in enumerate(texts):
-        w = sum(math.log(0.5 + 0.5 * p(want, b) / p(raw, b)) for b in rs.buckets(pa.array([t]))[0].tolist())
+        w = sum(math.log(rs.BLEND + (1 - rs.BLEND) * p(want, b) / p(raw, b)) for b in rs.buckets(pa.array([t]))[0].tolist())
         assert abs(got[i] - w) < 1e-9
 
 
@@ -56,7 +58,7 @@ def test_edges(spark):
     df = docs(spark, ["a b", "a b", None, "c"], [1, 1, None, 2])
     got = rs.resample(df, df.limit(0), fraction=0.25)
     assert got.count() in (1, 2)
-    assert rs.resample(docs(spark, []), df).count() == 0
+    assert rs.resample(docs(spark, []), df, fraction=0.5).count() == 0
     once = rs.resample(df, df, fraction=0.5).collect()
     assert sorted(map(str, once)) == sorted(map(str, rs.resample(df.repartition(3), df, fraction=0.5).collect()))
 
@@ -74,3 +76,33 @@ def test_every_labelled_document_counts(spark):
     df = spark.range(n).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
     assert rs.labelled_target(df, df.select("doc_id")).count() == n
     assert "Broadcast" not in rs.labelled_target(df, df.select("doc_id"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_drawn_in_proportion_to_weight(spark):
+    n = 6000
+    df = spark.range(n).selectExpr("id AS doc_id", "id % 3 AS mark").withColumn("w", F.log(F.array_position(F.array(F.lit(0), F.lit(1), F.lit(2)), F.col("mark").cast("int")).cast("double")))
+    key = rs.gumbel("doc_id", "mark")
+    # of each three neighbours, with weights 1, 2 and 3, the one with the greatest key
+    won = df.groupBy(F.floor(F.col("doc_id") / 3).alias("g")).agg(F.max_by("mark", F.col("w") + key).alias("m")).groupBy("m").count()
+    got = {r.m: r["count"] / (n / 3) for r in won.collect()}
+    assert all(abs(got[k] - (k + 1) / 6) < 0.035 for k in range(3))
+
+
+def test_unseen_labels_are_told_apart(spark):
+    """The target is counted on three quarters of the good documents; what is kept is measured on the others."""
+    rng = random.Random(4)
+    texts, quality = [], []
+    for i in range(600):
+        y = rng.random() < 0.8
+        own = [f"fine{rng.randrange(300)}" if y else f"junk{rng.randrange(300)}" for _ in range(20)]
+        texts.append(" ".join(rng.choices([f"w{k}" for k in range(200)], k=30) + own))
+        quality.append(int(y))
+    df = docs(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(quality)), "doc_id long, quality int")
+    seen = labels.filter("doc_id % 4 <> 2")
+    share = rs.good_share(seen)
+    kept = {r.doc_id for r in rs.resample(df, rs.labelled_target(df, seen.filter("quality = 1")), share).collect()}
+    good = [i for i in range(600) if i % 4 == 2 and quality[i]]
+    poor = [i for i in range(600) if i % 4 == 2 and not quality[i]]
+    assert sum(i in kept for i in good) / len(good) > 0.95 and sum(i in kept for i in poor) / len(poor) < 0.2
+    assert rs.good_share(labels.limit(0)) == 1.0
