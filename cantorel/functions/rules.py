@@ -29,6 +29,16 @@ def plain_unions(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
 
 
+def sorted_map(c: Column) -> Column:
+    """A map with its entries in the order of the keys."""
+    return F.map_from_entries(F.array_sort(F.map_entries(c)))
+
+
+def overridden(base: Column, over: Column) -> Column:
+    """The entries of both maps, those of ``over`` where both have a key, in the order of the keys."""
+    return sorted_map(F.map_zip_with(base, over, lambda _, a, b: F.coalesce(b, a)))
+
+
 VIOLATION = ("rule", "key", "detail")
 
 

@@ -76,13 +76,23 @@ def targets(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source_id").agg(F.array_sort(F.collect_set(F.struct("category_name", "membership_id"))).alias("associations"))
 
 
-def selected(groups: DataFrame, log: DataFrame, now: Column, categories: list[str] | None = None, statuses: list[str] | None = None, max_attempts: int = 3, limit: int | None = None) -> DataFrame:
+def restored(groups: DataFrame, log: DataFrame) -> DataFrame:
+    """Targets with the associations that their last attempt (category_names, membership_ids) had, beside those asked for."""
+    pairs = F.zip_with("category_names", "membership_ids", lambda c, m: F.struct(c.alias("category_name"), m.alias("membership_id")))
+    had = latest(log, "source_id", ["attempt_number"]).select("source_id", pairs.alias("__had"))
+    both = F.array_sort(F.array_union("associations", F.coalesce("__had", F.array().cast("array<struct<category_name:string,membership_id:string>>"))))
+    return groups.join(had, "source_id", "left").withColumn("associations", both).drop("__had")
+
+
+def selected(groups: DataFrame, log: DataFrame, now: Column, categories: list[str] | None = None, statuses: list[str] | None = None, sources: list[str] | None = None, max_attempts: int = 3, limit: int | None = None) -> DataFrame:
     """The sources a batch starts, in order: neither ended nor waiting nor exhausted; the limit counts only these."""
     last = latest(log, "source_id", ["attempt_number"])
     rows = groups.join(last.select("source_id", "attempt_number", "status", "completed_at", "retry_after"), "source_id", "left")
     rows = rows.withColumn("status", F.coalesce("status", F.lit("not_started")))
     if categories is not None:
         rows = rows.filter(F.exists("associations", lambda a: a["category_name"].isin(categories)))
+    if sources is not None:
+        rows = rows.filter(F.col("source_id").isin(sources))
     if statuses is not None:
         rows = rows.filter(F.col("status").isin(statuses))
     waits = (F.col("status") == WAITING) & (now < F.col("completed_at") + F.make_dt_interval(secs=F.col("retry_after")))
@@ -107,11 +117,20 @@ def breaker(rows: DataFrame, batch: str, order: list[str]) -> DataFrame:
     return after_terminal(rows, batch, order, F.col("status") == BREAKER).withColumnRenamed("after_terminal", "skipped")
 
 
-def blockers(groups: DataFrame, log: DataFrame) -> DataFrame:
-    """Distinct reasons why a run isn't complete, sorted, as one row's array."""
-    rows = groups.join(latest(log, "source_id", ["attempt_number"]).select("source_id", "status"), "source_id", "left")
-    reason = F.when(F.col("status").isin(*TERMINAL), F.lit(None)).when(F.col("status").isNull(), "not_attempted").otherwise(F.concat(F.lit("open:"), F.col("status")))
-    return rows.agg(F.array_sort(F.collect_set(reason)).alias("blockers"))
+def blockers(log: DataFrame, now: Column) -> DataFrame:
+    """Distinct reasons why a run isn't complete, sorted, as one row's array.
+
+    Of each source in the log (source_id, attempt_number, phase, status, completed_at, retry_after
+    in seconds, review_status) the last attempt counts; sources without an attempt don't.
+    """
+    over = F.col("retry_after").isNotNull() & (now >= F.col("completed_at") + F.make_dt_interval(secs=F.col("retry_after")))
+    pending = F.coalesce(F.col("review_status") == "pending", F.lit(False))
+    reason = rules.first_match([
+        (F.coalesce(F.col("phase") != "finished", F.lit(True)), "download_incomplete"),
+        ((F.col("status") == WAITING) & F.coalesce(over, F.lit(False)), "membership_wait_elapsed_unretried"), (F.col("status") == WAITING, "membership_wait_pending"),
+        ((F.col("status") == "downloaded_verified") & pending, "source_hash_review_pending"), ((F.col("status") == "manual_review") & pending, "manual_review_pending"),
+    ])
+    return latest(log, "source_id", ["attempt_number"]).agg(F.array_sort(F.collect_set(reason)).alias("blockers"))
 
 
 def resolve_reviews(log: DataFrame, reviews: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -24,8 +24,21 @@ def numbered(rows: DataFrame, key: str, name: str = "n") -> DataFrame:
     return out.withColumn(name, F.col("__base") + F.col("__place") - 1).drop("__part", "__base", "__place")
 
 
+def id_key(c: Column) -> Column:
+    """Ids in the order of their numbers, equal numbers by their text; ids that are no number come first."""
+    return F.struct(c.try_cast("bigint").alias("number"), c.alias("text"))
+
+
 def with_previous(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """(value, previous): each row's value beside that of the row before it."""
-    n = numbered(rows.select(key, value), key)
-    after = n.select((F.col("n") + 1).alias("n"), F.col(value).alias("previous"))
-    return n.select("n", value).join(after, "n").select(value, "previous")
+    """(value, previous): each row's value beside that of the row before it in the order of ``key``.
+
+    Rows are range-partitioned, a neighbour within a range is a lag, and one row of each range,
+    its last, travels to the range after it (over ranges that are empty).
+    """
+    ranged = rows.select(key, value).repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    order = Window.partitionBy("__part").orderBy(key)
+    held = ranged.withColumn("__before", F.lag(F.struct(F.col(value).alias("v"))).over(order))
+    last = ranged.groupBy("__part").agg(F.max_by(F.struct(F.col(value).alias("v")), key).alias("__last"))
+    last = last.select("__part", F.lag("__last").over(Window.orderBy("__part")).alias("__last"))  # one row a partition
+    rows = held.join(F.broadcast(last), "__part").withColumn("__before", F.coalesce("__before", "__last")).filter("__before is not null")
+    return rows.select(value, F.col("__before.v").alias("previous"))

@@ -45,8 +45,24 @@ SEVERAL_GUITARS = r"duets?|duos?|2\s*guitars?|two\s+guitars?|trio\s+de\s+guitare
 ENSEMBLE_WORDS = {2: "duos?|duets?", 3: "trios?", 4: "quartets?", 5: "quintets?", 6: "sextets?"}
 COUNTED = "guitars?|violins?|violas?|cellos?|flutes?|recorders?|oboes?|clarinets?|bassoons?|saxophones?|mandolins?|mandolas?|mandocellos?"
 TAG_CODES = "vn|va|vc|db|hp|lute|lyre|pf|org|fl|ob|cl|bn"
-# An instrument in a file name that marks another version.
-TAGGED = "piano|pianoforte|banjo|viola|violin|violine|vln|flute|clarinet(?:te)?|oboe|cello"
+# A tag in a file name that marks another version, and what names the guitar in one.
+FILE_TAG = (
+    r"(?iu)(?:"
+    r"\((?<parenthesized>piano|pianoforte|banjo|viola|violin|violine|vln|flute|clarinet(?:te)?|oboe|cello)\)"
+    r"|[-_](?<terminal>piano|pianoforte|banjo|ensemble|lute|viola|violin|violine|vln|flute|clarinet(?:te)?|oboe|cello)\.pdf$"
+    r"|_-_(?<structured>3_violinen|accordion|bassgitarre|bassoon|bagpipe|celesta|dulcimer|duett|fagott|banjo|cello|clarinet(?:te)?|klarinette|cembalo|dudelsack|flute|flo-te|glockenspiel|harfe|harp|horn|keyboard|klavier|koto|ma-nnerchor|marimba|oboe|percu|piano|querflo-te|sax|sopran-sax|sitar|timpani|trio|trombone|trompete|ukelele|viola|violin|violinen|violine|vibrafon|vibraphon|vibraphone|vln|xylophon)(?=[,._&+\-])"
+    r")"
+)
+FILE_GUITARS = r"(?i)gitarren|guitars?|guitares?|guitarras?"
+SAID_GUITARS = r"(?i)guitar|gitarre|guitare|guitarra"
+# File names that say several guitars, or the guitar; descriptions that say the guitar; words of mixed scorings.
+SEVERAL_IN_NAME = r"(?i)guitar[_-]duet|2[_ -]guitars?|(?:^|[_-])(?:duos?|duets?|duetti)\.pdf$|(?:^|[_-])2g(?:[_+.-]|$)"
+GUITAR_IN_NAME = r"(?iu)guitar\s*(?:solo|version|part|1)|(?:solo|for)[ _-]*guitar|gitarre|guitarra|viol[aã]o|(?:^|[_-])1g(?:[_+.-]|$)"
+GUITAR_SAID = r"(?i)^(?:guitar(?:\s+(?:solo|version|part|1))?|lyre\s+or\s+guitar|solo(?:\s|$))"
+MIXED_WORDS = r"[,;+]|\band\b|\bwith\b|ad\s+lib|voice|vocal"
+VARIOUS = r"\b(?:various|see individual|see above)\b"
+MORE_GUITARS = r"(?<!\w)(?:1\s*(?:or|-)\s*2|2nd)(?:\s+guitars?)?(?!\w)|more\s+guitars?"
+HARP_LUTE = r"harp[ -]?lute\s*\(type of guitar\)"
 
 
 @dataclass(frozen=True)
@@ -136,8 +152,8 @@ def heading_state(c: Column, target: Target) -> Column:
 def has_evidence(filename: Column, heading: Column, description: Column, target: Target, trusted: list[str] | None = None) -> Column:
     """Whether something says that a file is the target's."""
     text = F.trim(F.coalesce(description, F.lit("")))
-    named = filename.rlike(r"(?iu)guitar\s*(?:solo|version|part|1)|(?:solo|for)[ _-]*guitar|gitarre|guitarra|viol[aã]o|(?:^|[_-])1g(?:[_+.-]|$)")
-    said = text.rlike(r"(?i)^(?:guitar(?:\s+(?:solo|version|part|1))?|lyre\s+or\s+guitar|solo(?:\s|$))")
+    named = filename.rlike(GUITAR_IN_NAME)
+    said = text.rlike(GUITAR_SAID)
     return filename.isin(trusted or []) | (heading_state(heading, target) == "target") | said | named
 
 
@@ -145,39 +161,45 @@ def mixed_work(scored: Column, target: Target) -> Column:
     """Whether a work's instrumentation is for more or other than the target."""
     s = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(scored, F.lit(""))), r"''|<br\s*/?>|\{\{.*?\}\}", " "), r"\s+", " "))
     numbers = F.regexp_extract_all(s, F.lit(r"(?<!\w)(\d+)\s+guitars?(?!\w)"), F.lit(1))
-    plain = F.regexp_replace(s, rf"{COMPOUND_GUITAR}|harp[ -]?lute\s*\(type of guitar\)", "guitar")
-    single = plain.rlike(word(GUITAR_WORDS)) & plain.rlike(word("or")) & ~plain.rlike(r"[,;+]|\band\b|\bwith\b|ad\s+lib|voice|vocal")
+    plain = F.regexp_replace(s, f"{COMPOUND_GUITAR}|{HARP_LUTE}", "guitar")
+    single = plain.rlike(word(GUITAR_WORDS)) & plain.rlike(word("or")) & ~plain.rlike(MIXED_WORDS)
     return (s != "") & (
-        s.rlike(r"\b(?:various|see individual|see above)\b") | s.rlike(r"(?<!\w)(?:1\s*(?:or|-)\s*2|2nd)(?:\s+guitars?)?(?!\w)|more\s+guitars?")
+        s.rlike(VARIOUS) | s.rlike(MORE_GUITARS)
         | F.exists(numbers, lambda x: x.cast("int") != target.guitars) | (s.startswith("|tags=") & s.rlike(word(TAG_CODES))) | ((F.size(others(plain)) > 0) & ~single)
     )
 
 
-def exclusion_reason(rows: DataFrame, target: Target, excluded_names: list[str] | None = None, exempt_names: list[str] | None = None) -> DataFrame:
+def exclusion_reason(
+    rows: DataFrame, target: Target, excluded_names: list[str] | None = None, exempt_names: list[str] | None = None, exempt_tags: list[str] | None = None
+) -> DataFrame:
     """Files (filename, file_heading, description, section, work_instrumentation) with ``reason``, null if they stay.
 
-    Reasons: manual, heading, several_guitars, description, file_name, file_tag.
+    Reasons: manual, heading, several_guitars, description, file_name, file_tag. File names may be
+    percent-encoded. ``excluded_names`` always go; the description of ``exempt_names`` and the tag
+    of ``exempt_tags`` say nothing.
     """
     if target.mixed:
         return rows.withColumn("reason", F.lit(None).cast("string"))
-    name, said = F.col("filename"), F.trim(html_unescape(F.coalesce("description", F.lit(""))))
-    rows = rows.withColumn("__said", said).withColumn("__state", heading_state(F.col("file_heading"), target))
+    name = F.coalesce(F.try_url_decode(F.replace("filename", F.lit("+"), F.lit("%2B"))), F.col("filename"))
+    said = F.trim(html_unescape(F.coalesce("description", F.lit(""))))
+    rows = rows.withColumn("__said", said).withColumn("__state", heading_state(F.col("file_heading"), target)).withColumn("__name", name)
+    name = F.col("__name")
     mixed = (mixed_work(F.col("work_instrumentation"), target) if target.guitars == 1 else F.lit(False))
     found = others(F.col("__said"))
-    loose = (F.size(F.array_except(found, F.array(F.lit("ensemble"), F.lit("orchestra")))) == 0) & F.col("__said").rlike(word(GUITAR_WORDS))
-    tag = name.rlike(rf"(?iu)\((?:{TAGGED})\)|[-_](?:{TAGGED}|ensemble|lute)\.pdf$|_-_(?:{'|'.join(p for n, p in OTHER_INSTRUMENTS if n not in ('ensemble', 'orchestra'))}|trio|duett)(?=[,._&+\-])")
+    loose = (F.size(F.array_except(found, F.array(F.lit("ensemble"), F.lit("orchestra")))) == 0) & F.col("__said").rlike(SAID_GUITARS)
     own = F.lit(False)
     if target.guitars in (2, 3):
-        own = name.rlike(rf"(?i)_-_{'duett' if target.guitars == 2 else 'trio'}[,._&+\-]") & name.rlike("(?i)gitarren|guitars?|guitares?|guitarras?")
+        first = F.lower(F.regexp_extract(name, FILE_TAG, 3))
+        own = (first == ("duett" if target.guitars == 2 else "trio")) & name.rlike(FILE_GUITARS)
     reason = rules.first_match([
         (name.isin(excluded_names or []), "manual"), (F.col("__state") == "non-target", "heading"), (F.col("__state") == "target", ""),
         (mixed & F.col("__said").rlike(word(SEVERAL_GUITARS)), "several_guitars"),
         (~name.isin(exempt_names or []) & (F.size(found) > 0) & ~loose, "description"),
-        (mixed & name.rlike(r"(?i)guitar[_-]duet|2[_ -]guitars?|(?:^|[_-])(?:duos?|duets?|duetti)\.pdf$|(?:^|[_-])2g(?:[_+.-]|$)"), "file_name"),
-        (tag & ~own, "file_tag"),
+        (mixed & name.rlike(SEVERAL_IN_NAME), "file_name"),
+        (~name.isin(exempt_tags or []) & name.rlike(FILE_TAG) & ~own, "file_tag"),
     ], "")
     exact = (F.lit(target.kind) == "arrangement") & (F.col("section") != "work level")
-    return rows.withColumn("reason", F.nullif(F.when(exact, "").otherwise(reason), F.lit(""))).drop("__said", "__state")
+    return rows.withColumn("reason", F.nullif(F.when(exact, "").otherwise(reason), F.lit(""))).drop("__said", "__state", "__name")
 
 
 def work_level_rule(rows: DataFrame, target: Target) -> DataFrame:
@@ -240,14 +262,22 @@ FORMS = (
 WRITTEN_FOR = (("3 Violins", "为三把小提琴而作"), ("3 Viols", "为三把维奥尔琴而作"), ("Organ", "为管风琴而作"))
 
 
+# Keys in titles (letters as they are) and their modes, whatever their case.
+KEYS = {f"{letter}{sign}": f"{zh}{letter}" for letter in "CDEFGAB" for sign, zh in (("", ""), ("-sharp", "升"), ("-flat", "降"))}
+KEY = r"(?iU)\bin\s+([A-G](?:-flat|-sharp)?)\s+(major|minor)\b"
+
+
 def fallback_title(title: Column, target: Target = Target("guitar")) -> Column:
-    """A Chinese title: an established one, or the first known form, the key, the number and the scoring put into Chinese."""
+    """A Chinese title: an established one, or the first known form, the first key, all numbers and the scoring put into Chinese."""
     form, out = rules.first_match([(title.rlike(rf"(?iuU)\b{f}\b"), f) for f, _ in FORMS], ""), title
     for f, zh in FORMS:
         out = F.when(form == f, F.regexp_replace(title, rf"(?iuU)^(.*?)\b{f}\b", f"$1{zh}")).otherwise(out)
-    for sign, zh in (("-flat", "降"), ("-sharp", "升"), ("", "")):
-        for mode, name in (("major", "大调"), ("minor", "小调")):
-            out = F.regexp_replace(out, rf"(?U)\b[iI][nN]\s+([A-G]){sign}\s+(?i:{mode})\b", f"{zh}$1{name}")
+    named = F.create_map(*[F.lit(x) for pair in KEYS.items() for x in pair])
+    key, mode = F.regexp_extract(out, KEY, 1), F.lower(F.regexp_extract(out, KEY, 2))
+    head, tail = F.regexp_extract(out, rf"(?s)^(.*?){KEY}", 1), F.regexp_extract(out, rf"(?s)^.*?{KEY}(.*)$", 3)
+    # a key in other letters than the table's stays as it is written
+    keyed = F.concat(head, F.coalesce(F.try_element_at(named, key), key), F.when(mode == "major", "大调").otherwise("小调"), tail)
+    out = F.when(key != "", keyed).otherwise(out)
     out = F.regexp_replace(out, r"(?U)\bNo\.(\d+)", "第$1号")
     own = r"(?:1 )?Guitar" if target.guitars == 1 else rf"{target.guitars} Guitars?"
     out = F.regexp_replace(out, rf"(?iuU)\bfor {own}\b", "为吉他而作" if target.guitars == 1 else f"为{target.guitars}把吉他而作")

@@ -14,6 +14,7 @@ from pyspark.sql.types import BooleanType, StringType
 
 from cantorel.functions import rules
 from cantorel.functions.text import percent_encoded
+from cantorel.operators.classify import FAMILY_ZH
 
 
 @pandas_udf(StringType())
@@ -165,25 +166,55 @@ def forbidden(keys: set[str], patterns: list[str]):
     return check
 
 
-def category_display(name: Column) -> Column:
-    """(zh, family, sort) of a category name for the offline index; sort is one comparable text."""
-    n = lambda p, i: F.regexp_extract(name, p, i)
-    regular, strings, flexible = r"(?i)^For (?:(\d+) guitars?|guitar)(?: \(arr\))?$", r"(?i)^For (\d+)[ -]string guitar(?: \(arr\))?$", r"(?i)^For (\d+) and (\d+) guitars(?: \(arr\))?$"
-    count = F.coalesce(F.nullif(n(regular, 1), F.lit("")), F.lit("1"))
+# Names of pure guitar categories after "For" (without the mark of arrangements), what they are
+# shown as, their family, and their place among the categories; $1 and $2 are the numbers of the name.
+DISPLAY = (
+    ("guitar|0*1 guitars?", "1把吉他", "独奏吉他", "1 0"),
+    ("0*2 guitars?", "2把吉他", "吉他二重奏", "2 0"),
+    ("0*3 guitars?", "3把吉他", "吉他三重奏", "3 0"),
+    ("0*4 guitars?", "4把吉他", "吉他四重奏", "4 0"),
+    (r"0*(\d+) guitars?", "$1把吉他", "多把吉他", "$1 0"),
+    (r"0*(\d+)[ -]string guitar", "$1弦吉他", "扩展弦制独奏", "1 1 $1"),
+    (r"0*(\d+) and 0*(\d+) guitars", "$1或$2把吉他", "灵活编制", "$1 2 $2"),
+    ("guitar ensemble", "吉他合奏", "吉他合奏与乐团", "90 0"),
+    ("guitar orchestra", "吉他乐团", "吉他合奏与乐团", "91 0"),
+)
+# What any other name is shown as, and the places of mixed families.
+OTHER_DISPLAY = ("纯吉他分类", "其他分类", "99 0")
+MIXED_PLACES = {"strings": 100, "woodwinds": 110, "brass": 120, "keyboard_reed": 130, "plucked": 140, "percussion": 150, "mixed_chamber": 160}
+_OTHER_MIXED_PLACE = 199
+
+
+def category_display(name: Column, mixed_zh: Column | None = None, mixed_group: Column | None = None) -> Column:
+    """(zh, family, sort) of a category name for the offline index; sort is one comparable text.
+
+    ``mixed_zh`` and ``mixed_group`` are the Chinese name and the display group where the name is
+    a mixed category (null elsewhere), as the classifier gives them; they come before the table.
+    """
     arranged = F.lower(name).endswith("(arr)")
-    kind = F.when(arranged, "改编").otherwise("原作")
-    place = lambda *c: F.concat_ws("/", *[F.lpad(x.cast("string"), 4, "0") for x in c], arranged.cast("int").cast("string"), F.lower(name))
-    made = lambda zh, family, sort: F.struct(zh.alias("zh"), F.lit(family).alias("family") if isinstance(family, str) else family.alias("family"), sort.alias("sort"))
-    # Families by the number of guitars.
-    family = F.when(count == "1", "独奏吉他").when(count == "2", "吉他二重奏").when(count == "3", "吉他三重奏").when(count == "4", "吉他四重奏").otherwise("多把吉他")
-    return (
-        F.when(name.rlike(regular), made(F.concat(count, F.lit("把吉他·"), kind), family, place(count, F.lit(0))))
-        .when(name.rlike(strings), made(F.concat(n(strings, 1), F.lit("弦吉他·"), kind), "扩展弦制独奏", place(F.lit(1), F.lit(1), n(strings, 1))))
-        .when(name.rlike(flexible), made(F.concat(n(flexible, 1), F.lit("或"), n(flexible, 2), F.lit("把吉他·"), kind), "灵活编制", place(n(flexible, 1), F.lit(2), n(flexible, 2))))
-        .when(name.rlike(r"(?i)^For guitar ensemble(?: \(arr\))?$"), made(F.concat(F.lit("吉他合奏·"), kind), "吉他合奏与乐团", place(F.lit(90), F.lit(0))))
-        .when(name.rlike(r"(?i)^For guitar orchestra(?: \(arr\))?$"), made(F.concat(F.lit("吉他乐团·"), kind), "吉他合奏与乐团", place(F.lit(91), F.lit(0))))
-        .otherwise(made(F.lit("纯吉他分类"), "其他分类", place(F.lit(99), F.lit(0))))
-    )
+    body = F.regexp_replace(F.regexp_replace(name, r"(?i) \(arr\)\z", ""), r"(?i)^For ", "")
+    kind = F.when(arranged, "·改编").otherwise("·原作")
+
+    def shown(zh: Column, family: Column, numbers: Column) -> Column:
+        places = F.transform(F.split(numbers, " "), lambda x: F.lpad(x, 4, "0"))
+        sort = F.concat_ws("/", F.array_join(places, "/"), arranged.cast("int").cast("string"), F.lower(name))
+        return F.struct(zh.alias("zh"), family.alias("family"), sort.alias("sort"))
+
+    zh, family, numbers = (F.lit(x) for x in OTHER_DISPLAY)
+    for pattern, text, group, place in reversed(DISPLAY):
+        whole = rf"(?i)^(?:{pattern})\z"
+        hit = name.rlike("(?i)^For ") & body.rlike(whole)
+        zh = F.when(hit, F.concat(F.regexp_replace(body, whole, text), kind)).otherwise(zh)
+        family = F.when(hit, F.lit(group)).otherwise(family)
+        numbers = F.when(hit, F.regexp_replace(body, whole, place)).otherwise(numbers)
+    if mixed_zh is not None and mixed_group is not None:
+        names, at = ({k: F.lit(v) for k, v in t.items()} for t in (FAMILY_ZH, MIXED_PLACES))
+        pick = lambda table, other: F.coalesce(*[F.when(mixed_group == k, v) for k, v in table.items()], other)
+        mixed = mixed_zh.isNotNull()
+        zh = F.when(mixed, mixed_zh).otherwise(zh)
+        family = F.when(mixed, pick(names, mixed_group)).otherwise(family)
+        numbers = F.when(mixed, pick(at, F.lit(_OTHER_MIXED_PLACE)).cast("string")).otherwise(numbers)
+    return shown(zh, family, numbers)
 
 
 def master_rank(query: Column, title: Column, blob: Column) -> Column:

@@ -163,15 +163,27 @@ def heading_normalized(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else normal_heading(x))
 
 
+def parsed(pages: DataFrame) -> DataFrame:
+    """Pages (page_id, revision_id, wikitext, ...) with their error, instrumentation and nodes instead of their markup."""
+    keep = [c for c in pages.columns if c != "wikitext"]
+    rows = pages.mapInArrow(_parsed, StructType([*(pages.schema[c] for c in keep), StructField("p", _PAGE)]))
+    return rows.select(*keep, "p.*")
+
+
 def headings(pages: DataFrame) -> DataFrame:
     """Pages (page_id, revision_id, wikitext) to one row a heading and attachment; pages with an error have one row with it."""
     keep = [c for c in pages.columns if c != "wikitext"]
-    rows = pages.mapInArrow(_parsed, StructType([*(pages.schema[c] for c in keep), StructField("p", _PAGE)]))
-    rows = rows.select(*keep, "p.error", "p.instrumentation", "p.instrumentation_normalized", F.explode_outer("p.nodes").alias("n"))
+    rows = parsed(pages).select(*keep, "error", "instrumentation", "instrumentation_normalized", F.explode_outer("nodes").alias("n"))
     rows = rows.select(*keep, "error", "instrumentation", "instrumentation_normalized", "n.*").withColumn("attachment", F.explode_outer("attachments")).drop("attachments")
     return rows.filter("error is not null or level > 0 or attachment is not null")
 
 
+def page_violations(decisions: DataFrame) -> DataFrame:
+    """The pages that ``extract`` could not read, as a violation each, for a build that must have none."""
+    bad = decisions.filter("disposition = 'invalid_page'").select("page_id", "revision_id", "reason_code").distinct()
+    return rules.violation(bad, "invalid_page", F.concat_ws("@", "page_id", "revision_id"), F.col("reason_code"))
+
+
 def associate(files: DataFrame, scores: DataFrame) -> DataFrame:
     """Attachment rows with ``file_id`` and ``metadata_reason`` from frozen score metadata, one to one.
 
@@ -216,15 +228,25 @@ def heading_status(heading: Column, patterns: Column, rejected: Column) -> Colum
     return F.when(F.size(hits) == 0, "none").when(F.arrays_overlap(words, rejected), "annotation").otherwise("exact")
 
 
-def extract(pages: DataFrame, categories: DataFrame, scores: DataFrame | None = None) -> DataFrame:
+def extract(pages: DataFrame, categories: DataFrame, scores: DataFrame | None = None, requests: DataFrame | None = None) -> DataFrame:
     """Decisions (page_id, revision_id, category_name, ord, source_id, filename, disposition, reason_code, heading, branch).
 
     pages (page_id, revision_id, category_names, wikitext); categories (name, kind,
-    instrumentation_patterns, heading_patterns, annotation_reject_tokens); all pages are
-    decided for all the categories given, in the fixed order of the gates.
+    instrumentation_patterns, heading_patterns, annotation_reject_tokens). A page is decided for
+    those of its own categories that are given, or for those that ``requests`` (page_id,
+    category_name) asks for, in the fixed order of the gates. A page that can't be read has one
+    row of disposition ``invalid_page`` with its error. Each page is parsed once; pages meet
+    categories by name.
     """
-    rows = headings(pages).filter("error is null and attachment is not null")
-    tree = headings(pages).filter("error is null and level > 0").select("page_id", "revision_id", "ancestry_normalized", "normalized").distinct()
+    whole = parsed(pages).select(
+        "page_id", "revision_id", "category_names", "error", "instrumentation", "instrumentation_normalized", "nodes",
+        F.transform(F.filter("nodes", lambda n: n["level"] > 0), lambda n: F.struct(F.get(n["ancestry_normalized"], F.lit(0)).alias("branch"), n["normalized"].alias("heading"))).alias("tree"),
+    )
+    # a page with an error is one node without attachments, so that it takes the same way as others
+    lost = F.array(F.lit(None).cast(_NODE))
+    rows = whole.withColumn("n", F.explode(F.when(F.col("error").isNotNull(), lost).otherwise(F.col("nodes")))).drop("nodes")
+    rows = rows.select(*[c for c in rows.columns if c != "n"], "n.*").withColumn("attachment", F.explode_outer("attachments")).drop("attachments")
+    rows = rows.filter("error is not null or attachment is not null")
     if scores is not None:
         rows = associate(rows, scores)
     else:
@@ -236,10 +258,12 @@ def extract(pages: DataFrame, categories: DataFrame, scores: DataFrame | None =
     c = categories.select(*[F.col(x).alias(f"c_{x}") for x in ("name", "kind", "instrumentation_patterns", "heading_patterns", "annotation_reject_tokens")])
     c = c.withColumn("c_base", heading_normalized(F.regexp_replace("c_name", r" \(arr\)$", "")))
     status = lambda h: heading_status(h, F.col("c_heading_patterns"), F.col("c_annotation_reject_tokens"))
-    flags = tree.join(F.broadcast(c)).withColumn("arranged", F.element_at("ancestry_normalized", 1) == ARRANGEMENT)
-    flags = flags.withColumn("is_target", F.col("arranged") & (status(F.col("normalized")) == "exact"))
-    flags = flags.groupBy("page_id", "revision_id", "c_name").agg(F.bool_or("is_target").alias("has_target"), F.bool_or("arranged").alias("has_arrangement"))
-    rows = rows.join(F.broadcast(c)).join(flags, ["page_id", "revision_id", "c_name"], "left")
+    bad = rows.filter("error is not null")
+    rows = rows.filter("error is null")
+    asked = rows.withColumn("c_name", F.explode(F.array_distinct("category_names"))) if requests is None else rows.join(requests.select("page_id", F.col("category_name").alias("c_name")).distinct(), "page_id")
+    rows = asked.join(c, "c_name")
+    rows = rows.withColumn("has_arrangement", F.exists("tree", lambda t: t["branch"] == ARRANGEMENT))
+    rows = rows.withColumn("has_target", F.exists("tree", lambda t: (t["branch"] == ARRANGEMENT) & (status(t["heading"]) == "exact")))
     below = F.slice("ancestry_normalized", 2, F.greatest(F.size("ancestry_normalized") - 1, F.lit(1)))
     suffix = lambda h: F.ltrim(F.substr(h, F.length("c_base") + 1))
     mixed_target = lambda h: h.startswith(F.col("c_base")) & (suffix(h) != "") & ~suffix(h).startswith("(") & suffix(h).rlike(RELATION)
@@ -273,7 +297,7 @@ def extract(pages: DataFrame, categories: DataFrame, scores: DataFrame | None =
     review = ("file_metadata_conflict", "file_metadata_missing", "file_metadata_ambiguous", "work_level_instrumentation_missing", "work_level_instrumentation_not_exact")
     disposition = F.when(F.col("reason_code").isin(*selected), "selected").when(F.col("reason_code").isin(*review), "manual_review").otherwise("excluded")
     order = Window.partitionBy("page_id", "revision_id", "c_name").orderBy("attachment.span_start", "attachment.attachment_index")
-    return rows.select(
+    decided = rows.select(
         "page_id", "revision_id", F.col("c_name").alias("category_name"), F.row_number().over(order).alias("ord"),
         F.when(F.col("file_id").rlike(r"^[1-9][0-9]*\z"), source_id(F.col("file_id"), F.col("revision_id"))).alias("source_id"),
         F.col("attachment.filename").alias("filename"), disposition.alias("disposition"), "reason_code",
@@ -281,3 +305,6 @@ def extract(pages: DataFrame, categories: DataFrame, scores: DataFrame | None =
         F.struct(F.col("raw").alias("heading_raw"), F.col("normalized").alias("heading_normalized"), F.col("ancestry").alias("heading_ancestry"), F.col("ancestry_normalized").alias("heading_ancestry_normalized"),
                  F.col("instrumentation").alias("instrumentation_raw"), "instrumentation_normalized", F.coalesce(F.get("ancestry", F.lit(0)), F.lit("FILES")).alias("branch")).alias("evidence"),
     )
+    none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in decided.schema.fields}
+    none |= {"page_id": F.col("page_id"), "revision_id": F.col("revision_id"), "disposition": F.lit("invalid_page").alias("disposition"), "reason_code": F.col("error").alias("reason_code")}
+    return decided.unionByName(bad.select(*none.values()))

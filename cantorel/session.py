@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -42,6 +43,21 @@ def is_sha(c: Column, bits: int) -> Column:
     return c.rlike(rf"^[0-9a-f]{{{bits // 4}}}\z")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
+
+    Where it is unset a temporary one is set, but only on a local master: on a cluster other
+    machines would not see it, so that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[[^-]|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="shared")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from cantorel.session import shared_dir
+
 OUT = "key string, attempts long, status string, accepted long, rejected long, update long"
 STATE = "attempts long, status string, accepted long, rejected long, updates long"
 #: Attempts after which a retryable source is given up.
@@ -52,19 +54,25 @@ def track(stream: DataFrame, terminal: set[str], retry: set[str], most: int = MA
 
 
 def replay(spark: SparkSession, path: str) -> DataFrame:
-    """The events of a Parquet path as an attempt log, run to its end; the last state of each user."""
+    """The events of a Parquet path as an attempt log, run to its end; the last state of each user.
+
+    Updates are appended to a table in the folder that ``spark.checkpoint.dir`` names, beside the
+    stream's own checkpoint, so nothing but the last states' aggregate leaves the executors, and a
+    batch that is run again after a loss replaces what it had written.
+    """
     table = spark.read.parquet(path)
     folder, _, name = path.rstrip("/").rpartition("/")
     single = any(f.endswith(f"/{name}") for f in table.inputFiles()[:1])  # a stream reads folders
     reader = spark.readStream.schema(table.schema)
     stream = reader.option("pathGlobFilter", name).parquet(folder) if single else reader.parquet(path)
     log = stream.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("at"), F.col("event_type").alias("kind"))
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"attempts_{uuid.uuid4().hex[:8]}"
-    writer = track(log, {"purchase"}, {"error"}).writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True)
-    if base:
-        writer = writer.option("checkpointLocation", f"{base}/streams/{name}")
-    query = writer.start()
-    query.awaitTermination()
-    last = spark.table(name).groupBy("key").agg(F.max_by(F.struct("attempts", "status", "accepted", "rejected"), "update").alias("s"))
+    place = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex[:12]}"
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{place}/updates/batch={number}")
+
+    states = track(log, {"purchase"}, {"error"})
+    states.writeStream.foreachBatch(keep).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(states.schema).parquet(f"{place}/updates")
+    last = rows.groupBy("key").agg(F.max_by(F.struct("attempts", "status", "accepted", "rejected"), "update").alias("s"))
     return last.select(F.col("key").alias("user_id"), "s.*")

@@ -67,7 +67,7 @@ def test_attempt_log(spark):
     now = F.to_timestamp(F.lit("2026-01-02"))
     assert [r.source_id for r in A.selected(groups, rows, now).collect()] == ["c", "d"]
     assert [r.source_id for r in A.selected(groups, rows, now, limit=1).collect()] == ["c"]
-    assert A.blockers(groups, rows).first().blockers == ["not_attempted", "open:retryable"]
+    assert [r.source_id for r in A.selected(groups, rows, now, sources=["d", "a"]).collect()] == ["d"]
     assert {r.source_id: r.next_number for r in A.next_numbers(rows).collect()} == {"a": 3, "b": 4, "c": 3}
 
 
@@ -85,3 +85,28 @@ def test_state_machine():
     end, retry = frozenset({"ok"}), frozenset({"err"})
     assert advance(0, "not_started", ["err", "err", "ok", "x"], end, retry, 3) == (2, "ok", 3, 1)
     assert advance(2, "err", ["err", "ok"], end, retry, 3) == (3, "retry_exhausted", 1, 1)
+
+
+def test_blockers(spark):
+    kind = "source_id string, attempt_number int, phase string, status string, completed_at string, retry_after int, review_status string"
+    wait = ("w", 1, "finished", "membership_wait_pending", "2026-01-01 00:00:00", 60, None)
+    rows = [
+        ("a", 1, "started", "not_started", None, None, None), ("a", 2, "finished", "downloaded_verified", "2026-01-01 00:00:00", None, "resolved"), ("b", 1, "started", "not_started", None, None, None),
+        wait, ("h", 1, "finished", "downloaded_verified", "2026-01-01 00:00:00", None, "pending"), ("m", 1, "finished", "manual_review", "2026-01-01 00:00:00", None, "pending"),
+        ("r", 1, "finished", "retryable", "2026-01-01 00:00:00", None, None), ("d", 1, "finished", "manual_review", "2026-01-01 00:00:00", None, "resolved"),
+    ]
+
+    def found(rows, now):
+        df = spark.createDataFrame(rows, kind).withColumn("completed_at", F.to_timestamp("completed_at"))
+        return A.blockers(df, F.to_timestamp(F.lit(now))).first().blockers
+
+    assert found(rows, "2026-01-01 00:00:59") == ["download_incomplete", "manual_review_pending", "membership_wait_pending", "source_hash_review_pending"]
+    assert found([wait], "2026-01-01 00:01:00") == ["membership_wait_elapsed_unretried"]
+    assert found([r for r in rows if r[0] in "ard" and r[1] != 3], "2026-01-01 00:01:00") == [] and found([], "2026-01-01 00:01:00") == []
+
+
+def test_restored_associations(spark):
+    groups = A.targets(spark.createDataFrame([("s", "b", "m2"), ("t", "b", "m3")], "source_id string, category_name string, membership_id string"))
+    log = spark.createDataFrame([("s", 1, ["x"], ["m9"]), ("s", 2, ["a", "b"], ["m1", "m2"])], "source_id string, attempt_number int, category_names array<string>, membership_ids array<string>")
+    got = {r.source_id: [tuple(a) for a in r.associations] for r in A.restored(groups, log).collect()}
+    assert got == {"s": [("a", "m1"), ("b", "m2")], "t": [("b", "m3")]}

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,16 +83,80 @@ def test_classifier_counts(spark):
     assert got["For flute and guitar"].reason == "empty"
 
 
+SOURCES = "kind string, original string, stable_id string"
+
+
+def mapped(spark, *rows):
+    first = {(r.kind, r.original, r.stable_id): (r.mapped, r.collision_reason) for r in paths.path_map(spark.createDataFrame(rows, SOURCES)).collect()}
+    assert first == {(r.kind, r.original, r.stable_id): (r.mapped, r.collision_reason) for r in paths.path_map(spark.createDataFrame(rows[::-1], SOURCES)).collect()}
+    return [first[r] for r in rows]
+
+
 def test_paths(spark):
-    rows = [("work", "A/B", "p7"), ("work", "A_B", "p8"), ("file", "x.pdf", "f1"), ("file", "X.PDF", "f2"), ("file", "é" * 200 + ".pdf", "f3")]
-    df = spark.createDataFrame(rows, "kind string, original string, stable_id string")
-    got = {r.stable_id: r for r in paths.path_map(df).collect()}
-    assert (got["p7"].mapped, got["p8"].mapped) == ("A_B__p7", "A_B__p8") and got["p7"].collision_reason == "casefold_collision"
-    assert (got["f1"].mapped, got["f2"].mapped) == ("x__f1.pdf", "X__f2.PDF")
-    assert len(got["f3"].mapped.encode()) <= 240 and got["f3"].mapped.endswith(".pdf") and got["f3"].collision_reason is None
-    assert paths.unresolved(paths.path_map(df.repartition(4))).count() == 0
-    two = paths.unique_paths(spark.createDataFrame([("a.pdf", 1), ("A.pdf", 2)], "path string, id int"), "path", "id").orderBy("id").collect()
-    assert two[0].path == "a.pdf" and two[1].path.startswith("A__") and two[1].path.endswith(".pdf")
+    clean, cut, late = paths.REASONS
+    assert mapped(spark, ("work", "普通作品", "p7")) == [("普通作品", None)]
+    assert mapped(spark, ("work", "A/B", "p7"), ("work", "A_B", "p8")) == [("A_B__p7", clean), ("A_B__p8", clean)]
+    assert mapped(spark, ("work", "Etude", "7"), ("work", "etude", "p8")) == [("Etude__p7", clean), ("etude__p8", clean)]
+    assert mapped(spark, ("composer", "Same", "x"), ("work", "Same", "p7"), ("composer", "Same", "y")) == [("Same", None)] * 3
+    long = mapped(spark, ("work", "曲" * 80 + "甲", "p7"), ("work", "曲" * 80 + "乙", "p8"))
+    assert [m[-4:] for m, _ in long] == ["__p7", "__p8"] and {r for _, r in long} == {cut} and all(len(m.encode()) <= 180 for m, _ in long)
+    assert mapped(spark, ("work", "A/B", "p7"), ("work", "A_B", "p8"), ("work", "A_B__p7", "p9")) == [("A_B__p7", clean), ("A_B__p8", clean), ("A_B__p7__p9", late)]
+    assert mapped(spark, ("file", "x.pdf", "f1"), ("file", "X.PDF", "2")) == [("x__f1.pdf", clean), ("X__f2.PDF", clean)]
+    name, reason = mapped(spark, ("file", "é" * 200 + ".pdf", "3"))[0]
+    assert len(name.encode()) <= 180 and name.endswith(".pdf") and reason is None
+    two = mapped(spark, ("composer", "Name/Here", "i"), ("composer", "Name_Here", "j"))
+    assert all(len(m.rsplit("__c", 1)[1]) == 10 for m, _ in two) and two[0] != two[1]
+    assert mapped(spark, ("work", " . ", "p1"), ("work", "a\tb. ", "p2")) == [(" .".rstrip(" .") or "Untitled", None), ("a_b", None)]
+
+
+def test_paths_that_cannot_be_told_apart(spark):
+    with pytest.raises(paths.PathCollisionError):
+        paths.path_map(spark.createDataFrame([("work", "A/B", "p7"), ("work", "A_B", "7")], SOURCES))
+    for bad in (("work", "A", "bad"), ("file", "A", "f"), ("work", "A", "p007"), ("file", "A", "00"), ("other", "A", "1")):
+        with pytest.raises(rules.ViolationError):
+            paths.path_map(spark.createDataFrame([bad], SOURCES))
+    with pytest.raises(rules.ViolationError):
+        paths.path_map(spark.createDataFrame([("work", "A", "p7")] * 2, SOURCES))
+    two = paths.unique_paths(spark.createDataFrame([("a.pdf", 1), ("A.pdf", 2), ("a__da4b9237.pdf", 9)], "path string, id int"), "path", "id").orderBy("id").collect()
+    assert two[0].path == "a.pdf" and two[1].path.startswith("A__") and two[1].path.endswith(".pdf") and len({r.path.lower() for r in two}) == 3
+    same = paths.unique_paths(spark.createDataFrame([("a", 1), ("A", 1), ("a", 1)], "path string, id int"), "path", "id")
+    assert len({r.path.lower() for r in same.collect()}) == 3
+
+
+def test_path_manifest(spark):
+    made = paths.manifest(paths.path_map(spark.createDataFrame([("work", "b", "p8"), ("work", "a", "p7")], SOURCES)))
+    assert [i["stable_id"] for i in json.loads(made.first().value)["items"]] == ["p7", "p8"] and paths.manifest_violations(made).count() == 0
+    bad = spark.createDataFrame([('{"schema_version": 2, "model_type": "PathMapManifest", "items": []}',), ('{"schema_version": 1, "model_type": "PathMapManifest", "items": [{"kind": "x"}]}',)], "value string")
+    assert sorted(r.rule for r in paths.manifest_violations(bad).collect()) == ["invalid_envelope", "invalid_item"]
+
+
+def test_id_order_and_maps(spark):
+    df = spark.createDataFrame([("10",), ("9",), ("x",), ("010",)], "i string").orderBy(ordering.id_key(F.col("i")))
+    assert [r.i for r in df.collect()] == ["x", "9", "010", "10"]
+    m = spark.range(1).select(rules.overridden(F.create_map(F.lit("b"), F.lit(1), F.lit("a"), F.lit(2)), F.create_map(F.lit("b"), F.lit(5), F.lit("c"), F.lit(7))).alias("m")).first().m
+    assert list(m.items()) == [("a", 2), ("b", 5), ("c", 7)]
+
+
+def test_file_tags(spark):
+    names = {
+        "x_-_celesta_1.pdf": "file_tag", "x_-_keyboard,1.pdf": "file_tag", "x_-_harfe.pdf": "file_tag", "x_-_3_violinen_a.pdf": "file_tag", "x_-_sopran-sax_1.pdf": "file_tag",
+        "x(piano).pdf": "file_tag", "x%28piano%29.pdf": "file_tag", "x-ensemble.pdf": "file_tag", "x_-_duett_gitarren.pdf": "file_tag", "Romanza al Violoncello.pdf": None, "x_-_guitar_1.pdf": None,
+        "own-viola.pdf": None, "100%.pdf": None,
+    }
+    rows = spark.createDataFrame([(n, "", "", "s", "guitar") for n in names], "filename string, file_heading string, description string, section string, work_instrumentation string")
+    got = {r.filename: r.reason for r in P.exclusion_reason(rows, P.Target("guitar"), exempt_tags=["own-viola.pdf"]).collect()}
+    assert got == names
+    two = {r.filename: r.reason for r in P.exclusion_reason(rows, P.Target("2 guitars", 2), exempt_tags=["own-viola.pdf"]).collect()}
+    assert two == names | {"x_-_duett_gitarren.pdf": None}
+
+
+def test_fallback_keys(spark):
+    want = {
+        "Suite in d minor": "组曲 d小调", "Sonata in C-Sharp minor and in D major": "奏鸣曲 C-Sharp小调 and in D major", "Fugue in B-flat major, No.2 and No.3": "赋格 降B大调, 第2号 and 第3号",
+        "Air IN F-sharp MINOR": "Air 升F小调", "Air no.3": "暂无通行中译（原题：Air no.3）",
+    }
+    got = spark.createDataFrame([(t,) for t in want], "t string").select("t", P.fallback_title(F.col("t")).alias("z")).collect()
+    assert {r.t: r.z for r in got} == want
 
 
 def test_production_rules(spark):

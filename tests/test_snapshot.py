@@ -49,6 +49,10 @@ def test_config_choice_and_display(spark):
     got = [(r.n, r.d.zh) for r in shown.withColumn("d", S.category_display(F.col("n"))).orderBy("d.sort").collect()]
     assert got == [("For guitar (arr)", "1把吉他·改编"), ("For 10-string guitar", "10弦吉他·原作"), ("For 2 and 3 guitars", "2或3把吉他·原作"), ("For 3 guitars", "3把吉他·原作"), ("For guitar ensemble", "吉他合奏·原作"), ("Zzz", "纯吉他分类")]
 
+    mixed = spark.createDataFrame([("For flute and guitar", "长笛、吉他·原作", "woodwinds"), ("For 05 guitars (ARR)", None, None), ("for guitar orchestra (arr)", None, None)], "n string, z string, g string")
+    got = [(r.n, r.d.zh, r.d.family) for r in mixed.withColumn("d", S.category_display(F.col("n"), F.col("z"), F.col("g"))).orderBy("d.sort").collect()]
+    assert got == [("For 05 guitars (ARR)", "5把吉他·改编", "多把吉他"), ("for guitar orchestra (arr)", "吉他乐团·改编", "吉他合奏与乐团"), ("For flute and guitar", "长笛、吉他·原作", "吉他与木管")]
+
 
 def test_forbidden_state_and_rank(spark):
     check = S.forbidden({"local_path"}, [r"^/home/"])

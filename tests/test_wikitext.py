@@ -32,11 +32,12 @@ def decide(spark):
     ship(spark)
     cats = spark.createDataFrame(CATEGORIES, C_SCHEMA)
 
-    def run(*pages, scores=None):
+    def run(*pages, scores=None, asked=None):
         rows = [(str(i + 1), "7", names, text) for i, (names, text) in enumerate(pages)]
         df = spark.createDataFrame(rows, "page_id string, revision_id string, category_names array<string>, wikitext string")
         s = None if scores is None else spark.createDataFrame(scores, "page_id string, page_revision_id string, file_id string, filename string")
-        got = W.extract(df, cats, s).collect()
+        r = None if asked is None else spark.createDataFrame(asked, "page_id string, category_name string")
+        got = W.extract(df, cats, s, r).collect()
         return {(r.page_id, r.category_name, r.filename): (r.disposition, r.reason_code, r.source_id) for r in got}
 
     return run
@@ -57,7 +58,9 @@ def test_gates(decide):
     assert got["3", "For guitar", "original.pdf"][:2] == ("selected", "exact_original_instrumentation")
     assert got["4", three, "work.pdf"][:2] == ("selected", "work_level_exact_instrumentation")
     assert got["5", three, "work.pdf"][:2] == ("manual_review", "work_level_instrumentation_not_exact")
-    assert got["8", three, "gone.pdf"][:2] == ("excluded", "page_not_in_category")
+    assert ("8", three, "gone.pdf") not in got
+    other = decide(page(S + fte("gone.pdf", 11), names=("For guitar",)), asked=[("1", three), ("9", three)])
+    assert other["1", three, "gone.pdf"][:2] == ("excluded", "page_not_in_category")
     assert got["8", "For guitar", "lost.pdf"][:2] == ("excluded", "branch_not_allowed")
     assert got["8", "For guitar", "gone.pdf"][2] == "source:f11@r7"
     assert got["9", "For guitar", "noid.pdf"][:2] == ("manual_review", "file_metadata_missing")
@@ -105,3 +108,12 @@ def test_parse_errors_and_comments():
 )
 def test_heading_normal_form(raw, want):
     assert W.normal_heading(raw) == want
+
+
+def test_pages_with_errors_do_not_vanish(spark, decide):
+    broken = page("{{" + W.FILE_TEMPLATE + "\n|File Name 1=x.pdf")
+    got = decide(page(S + fte("a.pdf", 1)), broken, (["For guitar"], "nothing"))
+    assert got["2", None, None] == ("invalid_page", "unbalanced_template", None) and got["3", None, None][1] == "files_region_invalid"
+    assert got["1", "For guitar", "a.pdf"][0] == "selected"
+    bad = spark.createDataFrame([("2", "7", "invalid_page", "unbalanced_template")], "page_id string, revision_id string, disposition string, reason_code string")
+    assert [(r.rule, r.key, r.detail) for r in W.page_violations(bad).collect()] == [("invalid_page", "2@7", "unbalanced_template")]
