@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+
+from cantorel.session import kept
 
 
 def numbered(rows: DataFrame, key: str, name: str = "n") -> DataFrame:
     """``rows`` with their position (from 0) in the order of ``key``, which must be unique.
 
     Rows are range-partitioned and sorted; a position is the row's place in its partition
-    plus the sizes of the partitions before, of which there is one number each. The sorted
-    rows are persisted, so that sizes and rows come from the same ranges.
+    plus the sizes of the partitions before, of which there is one number each. The ranges are
+    kept as a table, so that sizes and rows come from the same ones.
     """
-    ranged = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("__part", F.spark_partition_id())
-    ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = kept(rows.repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id()))
     sizes = ranged.groupBy("__part").agg(F.count("*").alias("__size"))
     before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     base = sizes.select("__part", before.alias("__base"))  # one row a partition
@@ -35,7 +35,7 @@ def with_previous(rows: DataFrame, key: str, value: str) -> DataFrame:
     Rows are range-partitioned, a neighbour within a range is a lag, and one row of each range,
     its last, travels to the range after it (over ranges that are empty).
     """
-    ranged = rows.select(key, value).repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = kept(rows.select(key, value).repartitionByRange(F.col(key)).withColumn("__part", F.spark_partition_id()))
     order = Window.partitionBy("__part").orderBy(key)
     held = ranged.withColumn("__before", F.lag(F.struct(F.col(value).alias("v"))).over(order))
     last = ranged.groupBy("__part").agg(F.max_by(F.struct(F.col(value).alias("v")), key).alias("__last"))

@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cantorel.functions import rules
 from cantorel.functions.text import casefold, nfc_casefold, safe_component
+from cantorel.session import kept
 
 # Kinds of sources with the letter of their suffix, the bytes of a path component, what stands for
 # an empty one, and the reasons of a suffix.
@@ -84,7 +85,7 @@ def path_map(sources: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", casefold("plain")).withColumn("full", casefold("cleaned"))
     groups = rows.groupBy("kind", "key").agg(F.countDistinct("identity").alias("things"), F.countDistinct("full").alias("names"))
     reason = F.when(F.col("things") > 1, F.when(F.col("names") == 1, REASONS[0]).otherwise(REASONS[1]))
-    rows = rows.join(groups, ["kind", "key"]).withColumn("collision_reason", reason).drop("key", "full", "things", "names").persist()
+    rows = rows.join(groups, ["kind", "key"]).withColumn("collision_reason", reason).drop("key", "full", "things", "names")
     while True:
         now = rows.withColumn("mapped", F.when(F.col("collision_reason").isNull(), F.col("plain")).otherwise(F.col("marked"))).withColumn("key", casefold("mapped"))
         groups = now.groupBy("kind", "key").agg(F.countDistinct("identity").alias("things"), F.count_if(F.col("collision_reason").isNull()).alias("open")).filter("things > 1")
@@ -94,9 +95,7 @@ def path_map(sources: DataFrame) -> DataFrame:
         if not found["open"]:
             raise PathCollisionError("suffixes can't separate all paths: two stable ids are equal")
         hit = now.join(groups.select("kind", "key", F.lit(True).alias("hit")), ["kind", "key"], "left")
-        before, rows = rows, hit.withColumn("collision_reason", F.coalesce("collision_reason", F.when(F.col("hit"), REASONS[2]))).drop("key", "mapped", "hit").persist()
-        rows.count()
-        before.unpersist()
+        rows = kept(hit.withColumn("collision_reason", F.coalesce("collision_reason", F.when(F.col("hit"), REASONS[2]))).drop("key", "mapped", "hit"))
 
 
 def manifest(mapped: DataFrame) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,6 +60,30 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_LEFT: dict[str, SparkSession] = {}
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder: it cuts the plan, stays the same when it is read
+    again and survives lost executors. Such tables are deleted when the driver ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cantorel/{uuid.uuid4().hex[:12]}"
+    if not _LEFT:
+        atexit.register(_clear)
+    _LEFT[path] = spark
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _clear() -> None:
+    for path, spark in _LEFT.items():
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the JVM may have ended before; the folder is scratch space anyway
+            return
+
+
 _SHIPPED: set[str] = set()
 
 
