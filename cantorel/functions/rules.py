@@ -80,3 +80,8 @@ def assert_empty(violations: DataFrame, shown: int = 5) -> None:
     found = violations.take(shown)
     if found:
         raise ViolationError("; ".join(str(r.asDict()) for r in found))
+
+
+def histogram(rows: DataFrame, reason: Column, name: str = "reason") -> DataFrame:
+    """How many rows have each reason."""
+    return rows.groupBy(reason.alias(name)).agg(F.count("*").alias("n"))

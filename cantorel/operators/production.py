@@ -269,15 +269,18 @@ KEY = r"(?iU)\bin\s+([A-G](?:-flat|-sharp)?)\s+(major|minor)\b"
 
 def fallback_title(title: Column, target: Target = Target("guitar")) -> Column:
     """A Chinese title: an established one, or the first known form, the first key, all numbers and the scoring put into Chinese."""
-    form, out = rules.first_match([(title.rlike(rf"(?iuU)\b{f}\b"), f) for f, _ in FORMS], ""), title
-    for f, zh in FORMS:
-        out = F.when(form == f, F.regexp_replace(title, rf"(?iuU)^(.*?)\b{f}\b", f"$1{zh}")).otherwise(out)
+    form = rules.first_match([(title.rlike(rf"(?iuU)\b{f}\b"), f) for f, _ in FORMS])
+    zh = F.try_element_at(F.create_map(*[F.lit(x) for pair in FORMS for x in pair]), form)
+    first = F.regexp_replace(title, F.concat(F.lit(r"(?iuU)^(.*?)\b"), form, F.lit(r"\b")), F.concat(F.lit("$1"), zh))
     named = F.create_map(*[F.lit(x) for pair in KEYS.items() for x in pair])
-    key, mode = F.regexp_extract(out, KEY, 1), F.lower(F.regexp_extract(out, KEY, 2))
-    head, tail = F.regexp_extract(out, rf"(?s)^(.*?){KEY}", 1), F.regexp_extract(out, rf"(?s)^.*?{KEY}(.*)$", 3)
-    # a key in other letters than the table's stays as it is written
-    keyed = F.concat(head, F.coalesce(F.try_element_at(named, key), key), F.when(mode == "major", "大调").otherwise("小调"), tail)
-    out = F.when(key != "", keyed).otherwise(out)
+
+    def keyed(t: Column) -> Column:
+        # a key in other letters than the table's stays as it is written
+        key, mode = F.regexp_extract(t, KEY, 1), F.lower(F.regexp_extract(t, KEY, 2))
+        head, tail = F.regexp_extract(t, rf"(?s)^(.*?){KEY}", 1), F.regexp_extract(t, rf"(?s)^.*?{KEY}(.*)$", 3)
+        return F.when(key != "", F.concat(head, F.coalesce(F.try_element_at(named, key), key), F.when(mode == "major", "大调").otherwise("小调"), tail)).otherwise(t)
+
+    out = F.get(F.transform(F.array(F.coalesce(first, title)), keyed), F.lit(0))
     out = F.regexp_replace(out, r"(?U)\bNo\.(\d+)", "第$1号")
     own = r"(?:1 )?Guitar" if target.guitars == 1 else rf"{target.guitars} Guitars?"
     out = F.regexp_replace(out, rf"(?iuU)\bfor {own}\b", "为吉他而作" if target.guitars == 1 else f"为{target.guitars}把吉他而作")

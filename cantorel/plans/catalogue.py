@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,156 +9,19 @@ from cantorel import session as ids
 from cantorel.functions import rules
 from cantorel.functions import text as T
 from cantorel.operators import attempts, drift, ordering, review, search, wikitext
+from cantorel.plans import engine  # noqa: F401
+from cantorel.plans.registry import ORACLE, QUERIES, Query
+from cantorel.plans.registry import query as _query
+from cantorel.plans.registry import table as _table
 from cantorel.streaming import attempts as stream_attempts
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_ORACLE: dict[str, str] = {}
-
-
-def _query(name: str, sql: str | None = None):
-    def add(f: Query) -> Query:
-        def run(spark: SparkSession, d: str) -> DataFrame:
-            ids.ship(spark)
-            return f(spark, d)
-
-        _QUERIES[name] = run
-        if sql:
-            _ORACLE[name] = sql
-        return f
-
-    return add
-
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
-
-
-def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-@_query(
-    "q_entity_dedup",
-    """SELECT l_orderkey AS work_id, count(DISTINCT l_suppkey) AS n_categories,
-       string_agg(DISTINCT CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS category_ids
-       FROM lineitem GROUP BY l_orderkey""",
-)
-def q_entity_dedup(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "lineitem").select("l_orderkey", F.col("l_suppkey").cast("string").alias("s"))
-    ids = F.array_sort(F.collect_set("s"))
-    return rows.groupBy(F.col("l_orderkey").alias("work_id")).agg(
-        F.size(ids).cast("long").alias("n_categories"), F.array_join(ids, ",").alias("category_ids")
-    )
-
-
-
-@_query(
-    "q_identity_drift",
-    """SELECT p_brand, p_name, count(DISTINCT p_type) AS n_types FROM part GROUP BY p_brand, p_name HAVING count(DISTINCT p_type) > 1""",
-)
-def q_identity_drift(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "part").groupBy("p_brand", "p_name").agg(F.countDistinct("p_type").alias("n_types"))
-    return rows.filter("n_types > 1")
-
-
-@_query(
-    "q_summary_counts",
-    """SELECT count(DISTINCT source) AS categories, count(*) AS memberships, count(DISTINCT lang) AS unique_langs,
-       (SELECT count(*) FROM (SELECT source FROM documents GROUP BY source HAVING count(*) > 1)) AS multi_membership FROM documents""",
-)
-def q_summary_counts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
-    by = rows.groupBy("source").agg(F.sum("n").alias("n"), F.collect_set("lang").alias("langs"))
-    return by.agg(
-        F.count("source").alias("categories"), F.coalesce(F.sum("n"), F.lit(0)).alias("memberships"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("langs")))).cast("long").alias("unique_langs"), F.count_if(F.col("n") > 1).alias("multi_membership"),
-    )
-
-
-@_query(
-    "q_reason_histogram",
-    """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' THEN 'failed' WHEN value IS NULL THEN 'empty'
-         WHEN value < 10 THEN 'too_small' WHEN event_type IN ('click', 'view') THEN 'browse' WHEN value > 90 THEN 'large' ELSE 'accepted' END AS reason
-       FROM events) GROUP BY reason""",
-)
-def q_reason_histogram(spark: SparkSession, d: str) -> DataFrame:
-    v, e = F.col("value"), F.col("event_type")
-    reason = rules.first_match(
-        [(e == "error", "failed"), (v.isNull(), "empty"), (v < 10, "too_small"), (e.isin("click", "view"), "browse"), (v > 90, "large")], "accepted"
-    )
-    return _table(spark, d, "events").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
-@_query("q_status_histogram", "SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY o_orderstatus")
-def q_status_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
-
-
-def _keys(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        _table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")),
-        _table(spark, d, "orders").filter("o_totalprice > 200000").select(F.col("o_custkey").alias("k")),
-    )
-
-
-@_query("q_set_difference", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
-def q_set_difference(spark: SparkSession, d: str) -> DataFrame:
-    a, b = _keys(spark, d)
-    return a.subtract(b)
-
-
-@_query("q_intersection", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 INTERSECT SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
-def q_intersection(spark: SparkSession, d: str) -> DataFrame:
-    a, b = _keys(spark, d)
-    return a.intersect(b)
-
-
-@_query("q_union_distinct", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0 UNION SELECT o_custkey FROM orders WHERE o_totalprice > 200000")
-def q_union_distinct(spark: SparkSession, d: str) -> DataFrame:
-    a, b = _keys(spark, d)
-    return a.union(b).distinct()
-
-
-@_query(
-    "q_set_equality",
-    """WITH a AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_linestatus = 'F')
-       SELECT (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS missing, (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS extra""",
-)
-def q_set_equality(spark: SparkSession, d: str) -> DataFrame:
-    # both sides in one pass: an order's membership of either set is a flag
-    rows = _table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("a"), F.bool_or(F.col("l_linestatus") == "F").alias("b"))
-    return rows.agg(F.count_if(F.col("a") & ~F.col("b")).alias("missing"), F.count_if(F.col("b") & ~F.col("a")).alias("extra"))
-
-
-def _order_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Orders of each customer before 1998 and from then on: two snapshots of a category's count."""
-    late = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
-    return _table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count_if(~late).alias("before"), F.count_if(late).alias("after"))
-
-
-_COUNTS = """WITH c AS (SELECT o_custkey AS k, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1998-01-01') AS before,
-   count(*) FILTER (WHERE o_orderdate >= TIMESTAMP '1998-01-01') AS after FROM orders GROUP BY o_custkey) """
-
-
-@_query(
-    "q_full_reconcile",
-    _COUNTS + "SELECT CASE WHEN before = 0 THEN 'added' WHEN after = 0 THEN 'removed' WHEN before = after THEN 'same' ELSE 'changed' END AS status, count(*) AS n FROM c GROUP BY 1",
-)
-def q_full_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    c = _order_counts(spark, d)
-    status = rules.first_match([(c.before == 0, "added"), (c.after == 0, "removed"), (c.before == c.after, "same")], "changed")
-    return c.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
-
-
-@_query("q_drift_counts", _COUNTS + "SELECT k, before AS previous_member_count, after AS current_member_count FROM c WHERE before > 0 AND after > 0 AND before <> after")
-def q_drift_counts(spark: SparkSession, d: str) -> DataFrame:
-    c = _order_counts(spark, d).filter("before > 0 and after > 0 and before <> after")
-    return c.select("k", F.col("before").alias("previous_member_count"), F.col("after").alias("current_member_count"))
+    return dict(ORACLE)
 
 
 @_query(
@@ -179,7 +40,7 @@ def q_rename_candidates(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("source_name", "candidate_name", "name_distance", "overlap", "union_size")
 
 
-_LATEST = "SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r, count(*) OVER (PARTITION BY user_id) + 1 AS next_number FROM events"
+_LATEST = "SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events"
 
 
 @_query("q_latest_state", f"SELECT user_id, event_id, event_type FROM ({_LATEST}) WHERE r = 1")
@@ -187,11 +48,6 @@ def q_latest_state(spark: SparkSession, d: str) -> DataFrame:
     return attempts.latest(_table(spark, d, "events"), "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
 
 
-@_query("q_next_number", f"SELECT user_id, next_number FROM ({_LATEST}) WHERE r = 1")
-def q_next_number(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "events").groupBy("user_id").agg((F.count("*") + 1).alias("next_number"))
-
-
 @_query(
     "q_history_violations",
     """WITH e AS (SELECT user_id, event_id, bool_or(event_type = 'error') OVER w AS dead, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events
@@ -231,11 +87,6 @@ def q_sortedness(spark: SparkSession, d: str) -> DataFrame:
     return ordering.with_previous(rows, "o_orderkey", "v").agg(F.count_if(F.col("previous") > F.col("v")).alias("violations"))
 
 
-@_query("q_topk_paged", "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 18 OFFSET 36")
-def q_topk_paged(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal").orderBy(F.desc("c_acctbal"), "c_custkey").offset(36).limit(18)
-
-
 @_query(
     "q_sort_multi",
     "SELECT p_partkey, row_number() OVER (ORDER BY lower(p_name), CASE WHEN p_type LIKE 'P%' THEN 1 ELSE 0 END, p_partkey) - 1 AS category_id FROM part",
@@ -245,56 +96,6 @@ def q_sort_multi(spark: SparkSession, d: str) -> DataFrame:
     return ordering.numbered(rows, "k").select("p_partkey", F.col("n").alias("category_id"))
 
 
-@_query(
-    "q_first_wins",
-    """SELECT l_orderkey, l_partkey, l_linenumber, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey
-         ORDER BY l_linenumber, l_extendedprice, l_suppkey, l_shipdate) AS r FROM lineitem) WHERE r = 1""",
-)
-def q_first_wins(spark: SparkSession, d: str) -> DataFrame:
-    first = F.min(F.struct("l_linenumber", "l_extendedprice", "l_suppkey", "l_shipdate"))
-    rows = _table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(first.alias("f"))
-    return rows.select("l_orderkey", "l_partkey", "f.l_linenumber", "f.l_suppkey")
-
-
-@_query("q_left_lookup_default", "SELECT c_custkey, coalesce(n_name, 'pending') AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey <> 2")
-def q_left_lookup_default(spark: SparkSession, d: str) -> DataFrame:
-    n = _table(spark, d, "nation").filter("n_regionkey <> 2")
-    rows = _table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return rows.select("c_custkey", F.coalesce("n_name", F.lit("pending")).alias("nation"))
-
-
-@_query(
-    "q_override_merge",
-    """WITH o AS (SELECT s_nationkey, max(s_acctbal) AS s_acctbal FROM supplier GROUP BY s_nationkey)
-       SELECT c_custkey, coalesce(s_acctbal, c_acctbal, 0) AS value FROM customer LEFT JOIN o ON s_nationkey = c_nationkey AND c_mktsegment = 'BUILDING'""",
-)
-def q_override_merge(spark: SparkSession, d: str) -> DataFrame:
-    o = _table(spark, d, "supplier").groupBy("s_nationkey").agg(F.max("s_acctbal").alias("over"))
-    c = _table(spark, d, "customer")
-    rows = c.join(o, (F.col("s_nationkey") == F.col("c_nationkey")) & (F.col("c_mktsegment") == "BUILDING"), "left")
-    return rows.select("c_custkey", F.coalesce("over", "c_acctbal", F.lit(0.0)).alias("value"))
-
-
-@_query("q_semi_facets", "SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R' AND l_discount >= 0.09)")
-def q_semi_facets(spark: SparkSession, d: str) -> DataFrame:
-    hit = _table(spark, d, "lineitem").filter("l_returnflag = 'R' and l_discount >= 0.09")
-    return _table(spark, d, "orders").join(hit, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey")
-
-
-@_query("q_anti", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
-def q_anti(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "documents").select("doc_id").join(_table(spark, d, "labels"), "doc_id", "left_anti")
-
-
-@_query(
-    "q_unique_match",
-    "SELECT p_partkey, p_brand, p_name FROM (SELECT *, count(*) OVER (PARTITION BY p_brand, p_name) AS n FROM part) WHERE n = 1",
-)
-def q_unique_match(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "part").groupBy("p_brand", "p_name").agg(F.count("*").alias("n"), F.min("p_partkey").alias("p_partkey"))
-    return rows.filter("n = 1").select("p_partkey", "p_brand", "p_name")
-
-
 _NAMES = "WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part) "
 
 
@@ -341,39 +142,6 @@ def q_exact_rank(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("query", "p_brand", "name", "type", search.exact_score(F.col("fields"), F.col("blob"), F.col("tokens"), F.col("query"), F.col("terms")).alias("score"))
 
 
-@_query(
-    "q_suggest",
-    """WITH b AS (SELECT p_brand AS label, count(*) AS n, 0 AS g FROM part GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 3),
-       w AS (SELECT p_name AS label, count(*) AS n, 1 AS g FROM part GROUP BY p_name ORDER BY n DESC, p_name LIMIT 6)
-       SELECT label, n, g FROM (SELECT *, row_number() OVER (ORDER BY g, n DESC, label) AS r FROM (SELECT * FROM b UNION ALL SELECT * FROM w)) WHERE r <= 6""",
-)
-def q_suggest(spark: SparkSession, d: str) -> DataFrame:
-    p = _table(spark, d, "part")
-
-    def top(column: str, g: int, k: int) -> DataFrame:
-        rows = p.groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
-        return rows.orderBy(F.desc("n"), "label").limit(k).withColumn("g", F.lit(g))
-
-    return top("p_brand", 0, 3).unionByName(top("p_name", 1, 6)).orderBy("g", F.desc("n"), "label").limit(6)
-
-
-_LATIN = "éèêëàâäáãåçîïíôöóõûüúñ"
-_PLAIN = "eeeeaaaaaaciiioooouuun"
-
-
-@_query(
-    "q_normalize_text",
-    f"""SELECT doc_id, length(f) AS folded_chars, md5(f) AS folded_md5, CAST(len(list_distinct(regexp_extract_all(f, '[a-z]+'))) AS BIGINT) AS n_tokens
-       FROM (SELECT doc_id, translate(lower(text), '{_LATIN}', '{_PLAIN}') AS f FROM documents)""",
-)
-def q_normalize_text(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "documents").select("doc_id", F.translate(F.lower("text"), _LATIN, _PLAIN).alias("f"))
-    return rows.select(
-        "doc_id", F.length("f").cast("long").alias("folded_chars"), F.md5(F.col("f").cast("binary")).alias("folded_md5"),
-        F.size(F.array_distinct(F.regexp_extract_all("f", F.lit("[a-z]+"), F.lit(0)))).cast("long").alias("n_tokens"),
-    )
-
-
 @_query(
     "q_token_index",
     "SELECT token, count(*) AS doc_frequency FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+|[0-9]+'))) AS token FROM documents) GROUP BY token",
@@ -420,17 +188,6 @@ def q_html_extract(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@_query(
-    "q_access_classifier",
-    """SELECT status, count(*) AS n FROM (SELECT CASE WHEN contains(html, 'page=') THEN 'paged' WHEN contains(html, '<script') AND starts_with(url, 'https') THEN 'scripted'
-       WHEN contains(html, '<script') THEN 'insecure' ELSE 'plain' END AS status FROM pages) GROUP BY status""",
-)
-def q_access_classifier(spark: SparkSession, d: str) -> DataFrame:
-    h = F.col("html")
-    status = rules.first_match([(h.contains("page="), "paged"), (h.contains("<script") & F.col("url").startswith("https"), "scripted"), (h.contains("<script"), "insecure")], "plain")
-    return _table(spark, d, "pages").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
-
-
 @_query("q_json_props", "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY event_type")
 def q_json_props(spark: SparkSession, d: str) -> DataFrame:
     k = F.from_json("props", "k long")["k"]
@@ -490,31 +247,6 @@ def q_constraint_report(spark: SparkSession, d: str) -> DataFrame:
     ])
 
 
-@_query(
-    "q_path_collision",
-    """SELECT p_partkey, CASE WHEN r = 1 THEN p_name ELSE p_name || '__' || substr(sha1(CAST(p_partkey AS VARCHAR)), 1, 8) END AS path
-       FROM (SELECT *, row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_partkey) AS r FROM part)""",
-)
-def q_path_collision(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy(F.lower("p_name")).orderBy("p_partkey")
-    suffix = F.concat(F.col("p_name"), F.lit("__"), F.substr(F.sha1(F.col("p_partkey").cast("string")), F.lit(1), F.lit(8)))
-    rows = _table(spark, d, "part").select("p_partkey", "p_name", F.row_number().over(w).alias("r"))
-    return rows.select("p_partkey", F.when(F.col("r") == 1, F.col("p_name")).otherwise(suffix).alias("path"))
-
-
-@_query("q_remaining_bytes", "SELECT CAST(sum(coalesce(n_chars, 0)) AS BIGINT) AS remaining FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
-def q_remaining_bytes(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "documents").select("doc_id", "n_chars").join(_table(spark, d, "labels"), "doc_id", "left_anti")
-    return rows.agg(F.sum(F.coalesce("n_chars", F.lit(0))).alias("remaining"))
-
-
-@_query("q_group_nested", "SELECT n_name, string_agg(s_name, ' | ' ORDER BY s_name) AS suppliers, count(s_name) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name")
-def q_group_nested(spark: SparkSession, d: str) -> DataFrame:
-    s = _table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_join(F.array_sort(F.collect_list("s_name")), " | ").alias("suppliers"), F.count("*").alias("n"))
-    rows = _table(spark, d, "nation").join(s, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    return rows.select("n_name", "suppliers", F.coalesce("n", F.lit(0)).alias("n"))
-
-
 @_query(
     "q_numeric_sort",
     "SELECT brand, row_number() OVER (ORDER BY k, brand) AS n FROM (SELECT DISTINCT p_brand AS brand, regexp_extract(p_brand, '^[^0-9]*') || lpad(regexp_extract(p_brand, '[0-9]+'), 6, '0') AS k FROM part)",
