@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -16,7 +17,11 @@ _LEFT: dict[str, SparkSession] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this subpackage to the Python workers once per application (as ``--py-files`` does)."""
+    """Send this subpackage to the Python workers once per application (as ``--py-files`` does).
+
+    It also turns ``spark.sql.unionOutputPartitioning`` off for the session, without which the
+    operators' plans can fail; the operators need that setting, so they make it.
+    """
     # adaptive plans can pair a union's children of unequal partition counts under this setting, and fail
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     sc = spark.sparkContext
@@ -33,9 +38,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset a temporary one is set, but only on a local master (tests): other machines
+    would not see it, so on a cluster that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="shared")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

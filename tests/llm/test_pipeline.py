@@ -37,6 +37,32 @@ def test_stages_take_effect(spark, tmp_path):
     assert {r[0] for r in rows(got, "doc_id")} == clean | {902, 903}
 
 
+def folder(spark, path, docs, labels=(), items=()):
+    spark.createDataFrame(list(docs), "doc_id long, text string, source string, __keep string, fp string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    docs = folder(spark, tmp_path, [])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.count() == 0
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_on_nulls_ties_and_clashing_columns(spark, tmp_path):
+    rows = [(None, None, None, "k", None), (None, "a text without an id", "s", "k", "x"), (1, "one text", "s", None, "x"), (1, "one text", "s", None, "x"), (1, "quite another text under it", "t", "k", "y"), (2, "", "s", "k", "z"), (3, " ", None, "k", "z")]
+    docs = folder(spark, tmp_path, rows, [(1, 1, 0), (None, 1, 1), (2, None, None)], [(0, None), (1, "!")])
+    left = {"toxicity": 7, "simhash": 4, "decontamination": 4, "pii": 4}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "source", "__keep", "fp"] and docs.count() == left[name]
+    assert {(r.doc_id, (r.text or "").strip()) for r in docs.collect()} == {(None, "a text without an id"), (1, "one text"), (1, "quite another text under it"), (2, "")}
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 4
+
+
 def test_every_operator_has_its_query():
     assert sorted({int(n[2:].split("_")[0]) for n in queries.queries()}) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
