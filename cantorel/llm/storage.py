@@ -79,8 +79,13 @@ def drop(df: DataFrame | None) -> None:
     """Delete a materialized table that nothing reads any more."""
     path = getattr(df, "_scratch", None)
     if path:
-        _delete(df.sparkSession, path)
-        _LEFT.pop(path, None)
+        delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a path of ``scratch_path``."""
+    _delete(spark, path)
+    _LEFT.pop(path, None)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -12,6 +12,7 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -26,13 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cantorel.llm.kernels import chunks
-from cantorel.llm.storage import drop, materialize, scratch_path, ship
+from cantorel.llm.storage import delete, drop, materialize, scratch_path, ship
 
 #: Compressed bytes after which an archive is closed and another begun.
 ARCHIVE_BYTES = 16 << 20
 #: Payloads below this are never revisits.
 REVISIT_BYTES = 1000
 _END, _LOCATOR, _END64, _ENTRY, _LOCAL = b"PK\x05\x06", b"PK\x06\x07", b"PK\x06\x06", b"PK\x01\x02", b"PK\x03\x04"
+_GZIP = b"\x1f\x8b"
+#: Records of one archive that lie this near to each other are read at once, up to so many bytes.
+_NEAR, _AT_ONCE = 1 << 16, 4 << 20
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -149,8 +153,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def parse_record(packed: bytes) -> dict:
-    """Headers and payload of one record; the payload of a response is checked against its digest."""
-    raw = gzip.decompress(packed)
+    """Headers and payload of one record, compressed or not; the payload of a response is checked against its digest."""
+    raw = gzip.decompress(packed) if packed[:2] == _GZIP else packed
     head, _, rest = raw.partition(b"\r\n\r\n")
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/1."):
@@ -191,11 +195,9 @@ def _write(folder: str, date: str, size: int):
         closed = 0
 
         def close() -> pa.RecordBatch:
-            path = f"{base}/{name}-{closed:05d}.wacz"
-            with fs.open_output_stream(f"{path}.part") as f:
+            with fs.open_output_stream(f"{base}/{name}-{closed:05d}.wacz") as f:
                 f.write(archive(held))
-            fs.move(f"{path}.part", path)
-            out = pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}-{closed:05d}.wacz"], "records": [len(held)]})
+            out = pa.RecordBatch.from_pydict({"path": [f"{name}-{closed:05d}.wacz"], "records": [len(held)]})
             held.clear()
             return out
 
@@ -216,14 +218,32 @@ def _write(folder: str, date: str, size: int):
     return run
 
 
+def _commit(drafts: str, folder: str):
+    """Move the archives of tasks that ended well into place; one that is there already was moved before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = open_path(folder)
+        source = open_path(drafts)[1]
+        fs.create_dir(base, recursive=True)
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            for name in names:
+                if fs.get_file_info(f"{base}/{name}").type == pafs.FileType.NotFound:
+                    fs.move(f"{source}/{name}", f"{base}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}" for name in names], pa.string()), batch.column("records")], ["path", "records"])
+
+    return run
+
+
 def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "1970-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a WARC record for every row into archives of about ``archive_bytes``; returns (path, records).
 
     Of rows with equal payloads of REVISIT_BYTES or more, those with the largest id are
     responses and the others revisits of it; where no id is not null, all are responses. Null
     payloads are empty. The archives go to ``folder`` (a new one in the shared folder by
-    default), written by the executors; a task that runs again writes under other names, and
-    only archives of tasks that ended well are returned.
+    default), written by the executors beside it and moved there once all tasks have ended well:
+    what a lost or repeated task leaves is never in the folder, and is deleted. An empty table
+    makes no archive. Columns of any other name are not read.
     """
     spark = pages.sparkSession
     ship(spark)
@@ -236,37 +256,58 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     first = materialize(first.select("digest", "kept"), "responses")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
     marked = rows.join(first, "digest", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
-    out = materialize(marked.mapInArrow(_write(folder, date, archive_bytes), "path string, records long"), "manifest")
+    # on the file system of the folder, as archives are moved
+    drafts = f"{folder.rstrip('/')}.drafts-{uuid.uuid4().hex[:12]}/d"
+    written = materialize(marked.mapInArrow(_write(drafts, date, archive_bytes), _MANIFEST), "written")
+    out = materialize(written.mapInArrow(_commit(drafts, folder), _MANIFEST), "manifest")
     drop(first)
+    drop(written)
+    delete(spark, drafts)
     return out
 
 
+_MANIFEST = "path string, records long"
 _PLACES = "path string, offset long, length long"
 _RECORDS = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
 
 
-def _scan(z: ZipDirectory, base: int, size: int) -> Iterator[tuple[int, int]]:
-    """Places of the gzip members of a WARC without index."""
-    at = 0
-    while at < size:
-        d, n, fed = zlib.decompressobj(31), 0, at
-        while not d.eof:
-            block = z._at(base + fed, min(1 << 16, size - fed))
-            if not block:
-                raise ValueError("cut-off gzip member")
-            d.decompress(block)
-            fed += len(block)
-        n = fed - at - len(d.unused_data)
-        yield base + at, n
+def _scan(z: ZipDirectory, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Places of the records between two places of a WARC, compressed one by one or plain."""
+    at = start
+    while at < end:
+        if z._at(at, min(2, end - at)) == _GZIP:
+            d, fed = zlib.decompressobj(31), at
+            while not d.eof:
+                block = z._at(fed, min(1 << 16, end - fed))
+                if not block:
+                    raise ValueError("cut-off gzip member")
+                d.decompress(block)
+                fed += len(block)
+            n = fed - at - len(d.unused_data)
+        else:
+            head = z._at(at, min(1 << 16, end - at)).partition(b"\r\n\r\n")[0]
+            size = re.search(rb"(?im)^content-length:\s*([0-9]+)\s*$", head)
+            if not head.startswith(b"WARC/1.") or not size:
+                raise ValueError(f"no WARC record at {at}")
+            n = len(head) + 4 + int(size[1]) + 4
+            if at + n > end:
+                raise ValueError("cut-off WARC record")
+        yield at, n
         at += n
 
 
 def places(source: pa.NativeFile) -> Iterator[tuple[int, int]]:
-    """(offset in the file, length) of every record of an archive, by its indexes, or by scanning where one lacks."""
+    """(offset in the file, length) of every record of an archive, in order.
+
+    Records are found by the indexes, and by scanning what no index covers. A member below
+    ``archive/`` that is no WARC, an index that names none, and places that overlap are errors.
+    """
     z = ZipDirectory(source)
-    warcs = {m.name.rpartition("/")[2]: m for m in z.members.values() if m.name.startswith("archive/") and m.name.endswith(".warc.gz")}
-    base = {name: z.data_offset(m) for name, m in warcs.items()}
-    indexed: set[str] = set()
+    held = {m.name.rpartition("/")[2]: m for m in z.members.values() if m.name.startswith("archive/") and not m.name.endswith("/")}
+    for name in held:
+        if not name.endswith((".warc.gz", ".warc")):
+            raise ValueError(f"archive/{name} is no WARC")
+    known: dict[str, set[tuple[int, int]]] = {name: set() for name in held}
     for m in z.members.values():
         if m.name.startswith("indexes/") and ".cdx" in m.name:
             data = z.read(m)
@@ -274,11 +315,18 @@ def places(source: pa.NativeFile) -> Iterator[tuple[int, int]]:
                 if b"{" not in line:
                     continue
                 about = json.loads(line[line.index(b"{") :])
-                indexed.add(about["filename"])
-                yield base[about["filename"]] + int(about["offset"]), int(about["length"])
-    for name, m in warcs.items():
-        if name not in indexed:
-            yield from _scan(z, base[name], m.size)
+                if about["filename"] not in known:
+                    raise ValueError(f"an index names {about['filename']}, which is not in the archive")
+                known[about["filename"]].add((int(about["offset"]), int(about["length"])))
+    for name, m in held.items():
+        base, at = z.data_offset(m), 0
+        for offset, length in sorted(known[name]):
+            if offset < at or offset + length > m.size:
+                raise ValueError(f"places of {name} overlap or lie outside it")
+            yield from _scan(z, base + at, base + offset)
+            yield base + offset, length
+            at = offset + length
+        yield from _scan(z, base + at, base + m.size)
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,6 +338,17 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"path": pa.array([path] * len(found), pa.string()), "offset": pa.array([a for a, _ in found], pa.int64()), "length": pa.array([n for _, n in found], pa.int64())})
 
 
+def _together(path: list[str], offset: list[int], length: list[int]) -> Iterator[tuple[str, int, int, list[int]]]:
+    """Consecutive records that are read at once: (path, start, end, their positions)."""
+    k = 0
+    while k < len(path):
+        start, end, n = offset[k], offset[k] + length[k], k + 1
+        while n < len(path) and path[n] == path[k] and end <= offset[n] <= end + _NEAR and offset[n] + length[n] - start <= _AT_ONCE:
+            end, n = offset[n] + length[n], n + 1
+        yield path[k], start, end, list(range(k, n))
+        k = n
+
+
 def _read(payloads: bool):
     names = [x.split()[0] for x in _RECORDS.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
@@ -298,18 +357,21 @@ def _read(payloads: bool):
         opened, source = None, None
         for batch in batches:
             rows, held = [], 0
-            for path, offset, length in zip(*(batch.column(k).to_pylist() for k in ("path", "offset", "length"))):
+            column = [batch.column(k).to_pylist() for k in ("path", "offset", "length")]
+            for path, start, end, group in _together(*column):
                 if path != opened:
                     if source:
                         source.close()
                     fs, at = open_path(path)
                     opened, source = path, fs.open_input_file(at)
-                r = parse_record(source.read_at(length, offset))
-                held += len(r["payload"] or b"")
-                rows.append(r if payloads else r | {"payload": None})
-                if held > 8 << 20 or len(rows) >= 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in zip(names, kinds)], names)
-                    rows, held = [], 0
+                block = source.read_at(end - start, start)
+                for k in group:
+                    r = parse_record(block[column[1][k] - start : column[1][k] - start + column[2][k]])
+                    held += len(r["payload"] or b"")
+                    rows.append(r if payloads else r | {"payload": None})
+                    if held > 8 << 20 or len(rows) >= 4096:
+                        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in zip(names, kinds)], names)
+                        rows, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in zip(names, kinds)], names)
         if source:
             source.close()
@@ -327,5 +389,5 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """
     ship(manifest.sparkSession)
     n = max(1, min(manifest.count(), 20_000))
-    paths = manifest.select("path").repartition(n, "path")
+    paths = manifest.select("path").repartition(n)
     return paths.mapInArrow(_locate, _PLACES).mapInArrow(_read(payloads), _RECORDS)

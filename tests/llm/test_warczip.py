@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import io
 import zipfile
@@ -76,3 +77,43 @@ def test_compressed_members_and_wrong_digests_are_errors():
         list(wz.places(source(out.getvalue())))
     with pytest.raises(ValueError):
         wz.parse_record(wz.record(1, "u", b"x", "0" * 40, None, "d"))
+
+
+def zipped(**members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        for name, data in members.items():
+            z.writestr(name.replace("__", "/").replace("_gz", ".gz").replace("_warc", ".warc").replace("_cdxj", ".cdxj"), data)
+    return source(out.getvalue())
+
+
+def ids(f):
+    return [wz.parse_record(f.read_at(n, a))["page_id"] for a, n in wz.places(f)]
+
+
+def test_plain_warcs_and_partial_indexes():
+    packed = [r for r, _ in records(4)]
+    assert ids(zipped(archive__a_warc=b"".join(map(gzip.decompress, packed)))) == [0, 1, 2, 3]
+    line = lambda k, name="a.warc.gz": f'k {{"offset": {sum(map(len, packed[:k]))}, "length": {len(packed[k])}, "filename": "{name}"}}\n'
+    for held in ((1,), (0, 3), (2, 1), (1, 1)):
+        assert ids(zipped(archive__a_warc_gz=b"".join(packed), indexes__i_cdxj="".join(map(line, held)))) == [0, 1, 2, 3]
+    bad = [
+        {"archive__a_warc_gz": packed[0], "indexes__i_cdxj": line(0, "b.warc.gz")}, {"archive__a_txt": b"x"}, {"archive__a_warc": b"no record"}, {"archive__a_warc_gz": packed[0][:-9]},
+        {"archive__a_warc_gz": packed[0], "indexes__i_cdxj": line(0) + '{"offset": 3, "length": 9, "filename": "a.warc.gz"}'}, {"archive__a_warc": gzip.decompress(packed[0])[:-9]},
+    ]
+    for members in bad:
+        with pytest.raises(ValueError):
+            list(wz.places(zipped(**members)))
+
+
+def test_neighbours_are_read_together():
+    got = list(wz._together(["a", "a", "a", "b", "b"], [0, 10, 10 + wz._NEAR + 20, 0, 5], [10, 10, 5, 5, wz._AT_ONCE]))
+    assert got == [("a", 0, 20, [0, 1]), ("a", 30 + wz._NEAR, 35 + wz._NEAR, [2]), ("b", 0, 5, [3]), ("b", 5, 5 + wz._AT_ONCE, [4])]
+
+
+def test_only_archives_of_ended_tasks_are_in_the_folder(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", "z" * 50, "") for i in range(30)], PAGES).repartition(4)
+    folder = f"file://{tmp_path}/out"
+    manifest = wz.write_archives(df, folder, archive_bytes=400)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(r.path.rpartition("/")[2] for r in manifest.collect())
+    assert [p.name for p in tmp_path.iterdir()] == ["out"] and wz.read_archives(manifest).count() == 30
