@@ -34,6 +34,7 @@ PIVOTS = splitmix(np.arange(1, 17, dtype=np.uint64) * _GOLDEN)
 PIECE = 2048
 
 
+_EIGHTHS = np.uint64(0x0101010101010101)
 #: Shingles that are hashed and counted at once.
 SHINGLES = 1 << 17
 
@@ -65,10 +66,13 @@ def prints_of(data: np.ndarray, off: np.ndarray, shingle: int = 3) -> np.ndarray
     owner = np.repeat(doc[first], m)
     for k in range(0, len(i), SHINGLES):
         h = xxh64(joined, head[i[k : k + SHINGLES]], tail[last[k : k + SHINGLES]], SEED)
-        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         own = owner[k : k + SHINGLES]
+        # runs of one text of at most 255 values; every eighth bit of them is summed in bytes of one number
         at = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        votes[own[at]] += np.add.reduceat(bits, at, axis=0, dtype=np.int64)
+        parts = (np.diff(np.append(at, len(own))) + 254) // 255
+        at = np.repeat(at, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+        sums = np.stack([np.add.reduceat((h >> np.uint64(j)) & _EIGHTHS, at) for j in range(8)], axis=1)
+        np.add.at(votes, own[at], sums.astype("<u8").view(np.uint8).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, BITS))
     return np.packbits(2 * votes > total[:, None], axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 

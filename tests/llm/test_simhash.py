@@ -22,6 +22,8 @@ def test_prints_of_odd_texts_match_brute_force(monkeypatch):
     rng = random.Random(7)
     parts = ["a", "É", "ß" * 9, "x" * 31, "y" * 32, "z" * 33, "Q" * 70, "w" * 300, "1.5", " ", "\n\t", "\x0b", "\xa0", "\r"]
     texts = [" ".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(300)] + [None, "", " ", "one", "a b", "a b c", "k" * 5000]
+    texts += [" ".join(rng.choices("abcdefgh", k=n)) for n in (256, 257, 258, 600, 1300)]
+    assert simhash.prints_of(*text_bytes(pa.array(texts))).tolist() == [brute_print(t) for t in texts]
     monkeypatch.setattr(simhash, "SHINGLES", 11)
     got = simhash.prints_of(*text_bytes(pa.array(texts)))
     assert got.tolist() == [brute_print(t) for t in texts]
