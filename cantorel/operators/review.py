@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantorel.functions import rules
-from cantorel.operators.ordering import numbered
+from cantorel.operators.ordering import id_key, numbered
 
 
-def shards(rows: DataFrame, key: str, n: int) -> DataFrame:
+def deal(rows: DataFrame, key: str, n: int) -> DataFrame:
     """``rows`` dealt round-robin over shards 1 to n in the order of ``key``."""
     return numbered(rows, key, "__at").withColumn("shard", (F.col("__at") % n + 1).cast("int")).drop("__at")
 
@@ -19,6 +19,42 @@ def display_title(c: Column) -> Column:
     return F.trim(c).rlike(r"^《.+》$")
 
 
+# What a review can have found, and on what it can rest.
+STATUSES = ("accepted", "corrected")
+BASES = ("common_name", "music_terminology", "semantic_correction", "format_consistency", "corpus_review")
+
+
+def table_violations(reviewed: DataFrame) -> DataFrame:
+    """What is wrong in a reviewed table (work_id, title_en, title_zh, status, basis, reason, reviewer, source_refs)."""
+    key = F.col("work_id")
+    needed = F.filter(F.array(*[F.when(F.coalesce(F.trim(c), F.lit("")) == "", c) for c in ("work_id", "title_en", "title_zh", "status", "basis", "reason", "reviewer")]), lambda x: x.isNotNull())
+    refs = F.col("source_refs").isNotNull() & F.forall("source_refs", lambda x: x.isNotNull())
+    unknown = lambda c, known: reviewed.filter(~F.coalesce(F.col(c).isin(*known), F.lit(False)))
+    return rules.report([
+        rules.duplicates(reviewed, "duplicate_work", "work_id"), rules.violation(reviewed.filter(F.size(needed) > 0), "empty_field", key, F.array_join(needed, ",")),
+        rules.violation(reviewed.filter(~F.coalesce(display_title(F.col("title_zh")), F.lit(False))), "title_not_displayable", key, F.col("title_zh")),
+        rules.violation(unknown("status", STATUSES), "unknown_status", key, F.col("status")), rules.violation(unknown("basis", BASES), "unknown_basis", key, F.col("basis")),
+        rules.violation(reviewed.filter(~F.coalesce(refs, F.lit(False))), "source_refs_not_a_list", key, F.lit("")),
+    ])
+
+
+def shard_violations(shards: DataFrame, corpus: DataFrame, corrections: DataFrame, n: int) -> DataFrame:
+    """What is wrong in the headers (shard, audited_count) of n round-robin shards of a corpus (work_id) and their corrections (work_id, shard).
+
+    There is one header for each shard, its count is that of the works dealt to it, and a correction
+    is of a work of its own shard.
+    """
+    dealt = deal(corpus.select("work_id").distinct().withColumn("__k", id_key(F.col("work_id"))), "__k", n).select("work_id", F.col("shard").alias("own"))
+    counts = dealt.groupBy(F.col("own").alias("shard")).agg(F.count("*").alias("works"))
+    both = shards.join(counts, "shard", "full")
+    foreign = corrections.join(dealt, "work_id").filter("shard <> own")
+    return rules.report([
+        rules.duplicates(shards, "duplicate_shard", "shard"), rules.violation(both.filter("audited_count is null"), "shard_missing", F.col("shard"), F.col("works")),
+        rules.violation(both.filter("audited_count is not null and audited_count <> coalesce(works, 0)"), "audited_count_differs", F.col("shard"), F.col("works")),
+        rules.violation(foreign, "correction_of_other_shard", F.col("work_id"), F.col("shard")),
+    ])
+
+
 def merge(corpus: DataFrame, corrections: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The whole corpus (work_id, title_en, title_zh) with shard corrections applied, and violations.
 
@@ -59,6 +95,12 @@ def apply_titles(tables: DataFrame, reviewed: DataFrame) -> DataFrame:
     return tables.join(r, "work_id", "left").withColumn("title_zh", F.coalesce("__zh", "title_zh")).drop("__zh")
 
 
+def title_violations(tables: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Category rows whose English title isn't the one that was reviewed; rows without a review are none."""
+    r = reviewed.select("work_id", F.col("title_en").alias("__en"))
+    return rules.violation(tables.join(r, "work_id").filter("not (title_en <=> __en)"), "title_differs_from_review", F.col("work_id"), F.col("__en"))
+
+
 def title_map(rows: DataFrame) -> DataFrame:
     """(title_en, title_zh): of equal English titles the last written wins."""
     return rows.groupBy("title_en").agg(F.max_by("title_zh", "ord").alias("title_zh"))
@@ -116,8 +158,13 @@ MISTRANSLATIONS = (
     ("in_nomine_as_nomination", r"\bin\s+nomines?\b", "提名|以名义"),
 )
 # Chinese numerals from 1, and prefixes of catalogue numbers.
-CARDINALS = "一 二 三 四 五 六 七 八 九 十 十一 十二 十三 十四 十五 十六 十七 十八 十九 二十".split()
+CARDINALS = ("一", "二", "三", "四", "五", "六", "七", "八", "九", "十", "十一", "十二", "十三", "十四", "十五", "十六", "十七", "十八", "十九", "二十")
 CATALOGUES = r"BWV|BuxWV|TWV|Krebs-WV|WeissSW|Drexel|Cary|WoO|MS|WSW|VdGS|FVB|IFC|ZD|RV|HWV|Sz|LV|Ch|K\.Anh\.C|[KDSZPFRH]|MT"
+# How English titles name a key, an opus, a number and a catalogue number.
+KEY = r"(?iu)\bin\s+([A-G])(?:-?(flat|sharp)|([♭#]))?\s+(major|minor)\b"
+OPUS = r"(?U)\bop\.?\s*([0-9]+[a-z]?)"
+NUMBER = r"(?iU)\bno\.?\s*([0-9]+)"
+CATALOGUE_NUMBER = rf"(?<![A-Za-z])((?:{CATALOGUES})\.?\s*\d+(?:[.:/][A-Za-z0-9]+)*(?:[a-z](?:/[a-z])?)?(?:[-–]\d+)?)"
 
 
 def quality_flags(en: Column, zh: Column) -> Column:
@@ -132,14 +179,13 @@ def format_flags(zh: Column) -> Column:
 
 def identity_flags(en: Column, zh: Column) -> Column:
     """Key, opus, work and catalogue numbers that the Chinese title lost; a flag for each kind at most."""
-    key = r"(?iu)\bin\s+([A-G])(?:-?(flat|sharp)|([♭#]))?\s+(major|minor)\b"
-    part = lambda i: F.lower(F.regexp_extract(en, key, i))
+    part = lambda i: F.lower(F.regexp_extract(en, KEY, i))
     sign = F.concat(part(2), part(3))
     want = F.concat(
         F.when(sign.isin("flat", "♭"), "降").when(sign.isin("sharp", "#"), "升").otherwise(""), F.upper(part(1)), F.when(part(4) == "major", "大调").otherwise("小调")
     )
-    opus = F.regexp_extract_all(F.lower(en), F.lit(r"(?U)\bop\.?\s*([0-9]+[a-z]?)"), F.lit(1))
-    number = F.regexp_extract_all(en, F.lit(r"(?iU)\bno\.?\s*([0-9]+)"), F.lit(1))
+    opus = F.regexp_extract_all(F.lower(en), F.lit(OPUS), F.lit(1))
+    number = F.regexp_extract_all(en, F.lit(NUMBER), F.lit(1))
     chinese = lambda x: F.coalesce(F.get(F.array(*map(F.lit, CARDINALS)), F.try_subtract(F.try_to_number(x, F.lit("999999999")).cast("int"), F.lit(1))), F.lit("~"))
 
     def shown(x: Column) -> Column:
@@ -148,9 +194,9 @@ def identity_flags(en: Column, zh: Column) -> Column:
         return F.rlike(zh, F.concat(*forms))
 
     plain = lambda c: F.lower(F.regexp_replace(c, r"[\s.:：,，\-‐-―]", ""))
-    catalogue = F.regexp_extract_all(en, F.lit(rf"(?<![A-Za-z])((?:{CATALOGUES})\.?\s*\d+(?:[.:/][A-Za-z0-9]+)*(?:[a-z](?:/[a-z])?)?(?:[-–]\d+)?)"), F.lit(1))
+    catalogue = F.regexp_extract_all(en, F.lit(CATALOGUE_NUMBER), F.lit(1))
     return rules.flags([
-        (en.rlike(key) & ~F.contains(zh, want), "key_mismatch"), (F.exists(opus, lambda x: ~F.contains(F.lower(zh), x)), "opus_number_missing"),
+        (en.rlike(KEY) & ~F.contains(zh, want), "key_mismatch"), (F.exists(opus, lambda x: ~F.contains(F.lower(zh), x)), "opus_number_missing"),
         (F.exists(number, lambda x: ~shown(x)), "work_number_missing"), (F.exists(catalogue, lambda x: ~F.contains(plain(zh), plain(x))), "catalog_number_missing"),
     ])
 

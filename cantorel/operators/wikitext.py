@@ -219,11 +219,13 @@ def associate(files: DataFrame, scores: DataFrame) -> DataFrame:
 def heading_status(heading: Column, patterns: Column, rejected: Column) -> Column:
     """none, exact, or annotation where the note in parentheses names a rejected instrument.
 
-    Patterns have the note as their first group; the first that matches decides.
+    The first pattern that matches decides; its note is its group ``annotation``, which is its
+    first one, and a pattern without that group has none.
     """
     full = lambda p: F.concat(F.lit("(?iu)^(?:"), F.regexp_replace(p, r"\(\?P<", "(?<"), F.lit(r")\z"))
     hits = F.filter(patterns, lambda p: F.rlike(heading, full(p)))
-    note = F.regexp_extract(heading, r"\(([^()]*)\)\s*$", 1)
+    first = F.get(hits, F.lit(0))
+    note = F.when(first.contains("(?P<annotation>"), F.get(F.regexp_extract_all(heading, full(first), F.lit(1)), F.lit(0))).otherwise("")
     words = F.regexp_extract_all(note, F.lit(r"(?U)\w+"), F.lit(0))
     return F.when(F.size(hits) == 0, "none").when(F.arrays_overlap(words, rejected), "annotation").otherwise("exact")
 

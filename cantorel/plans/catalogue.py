@@ -74,7 +74,7 @@ def q_circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("q_shard_assign", "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) % 3 + 1 AS INTEGER) AS shard FROM documents")
 def q_shard_assign(spark: SparkSession, d: str) -> DataFrame:
-    return review.shards(_table(spark, d, "documents").select("doc_id"), "doc_id", 3)
+    return review.deal(_table(spark, d, "documents").select("doc_id"), "doc_id", 3)
 
 
 @_query(

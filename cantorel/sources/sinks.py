@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +111,67 @@ def store_objects(files: DataFrame) -> DataFrame:
     return one.withColumn("object_path", F.concat(F.lit("objects/"), F.substring("sha256", 1, 2), F.lit("/"), "sha256", F.lit(".pdf")))
 
 
+# What a log of finished downloads tells of each.
+STATUS_COLUMNS = ("timestamp", "composer", "title_en", "filename", "relative_path", "status", "detail", "observed_size", "observed_sha1", "source_url")
+
+
+def append_status(rows: DataFrame, path: str) -> None:
+    """Append finished downloads to a status table; each call is one commit, so a batch is whole or absent."""
+    rows.select(*STATUS_COLUMNS).write.mode("append").parquet(path)
+
+
+def write_objects(files: DataFrame, root: str, expected: str | None = None) -> DataFrame:
+    """Write files (path, content) to content-addressed objects below ``root``: (sha256, size, object_path, outcome).
+
+    One row for each distinct content. A content that is there already is ``kept``; what stands in
+    its place with another hash is moved to ``quarantine/`` and the content is ``repaired``; others
+    are ``stored``. A file is written beside its place and moved, so a task that runs again finds
+    either nothing or all of it. ``expected`` are the bytes each content must begin with; others are
+    ``refused``. The result is a plan: contents are written when it is read.
+    """
+    begin = (expected or "").encode()
+    one = files.select(F.sha2("content", 256).alias("sha256"), "content").groupBy("sha256").agg(F.any_value("content").alias("content"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            rows = []
+            for digest, content in zip(batch.column("sha256").to_pylist(), batch.column("content").to_pylist()):
+                path = f"objects/{digest[:2]}/{digest}.pdf"
+                outcome = "stored"
+                if not content.startswith(begin):
+                    rows.append((digest, len(content), None, "refused"))
+                    continue
+                if fs.get_file_info(f"{base}/{path}").type != pafs.FileType.NotFound:
+                    with fs.open_input_stream(f"{base}/{path}") as f:
+                        outcome = "kept" if hashlib.sha256(f.read()).hexdigest() == digest else "repaired"
+                    if outcome == "repaired":
+                        fs.create_dir(f"{base}/quarantine", recursive=True)
+                        fs.move(f"{base}/{path}", f"{base}/quarantine/{digest}-{uuid.uuid4().hex[:8]}.pdf")
+                if outcome != "kept":
+                    part = f"{base}/objects/{digest[:2]}/.{uuid.uuid4().hex}.part"
+                    fs.create_dir(f"{base}/objects/{digest[:2]}", recursive=True)
+                    with fs.open_output_stream(part) as f:
+                        f.write(content)
+                    fs.move(part, f"{base}/{path}")
+                rows.append((digest, len(content), path, outcome))
+            yield pa.RecordBatch.from_pylist([dict(zip(_OBJECT.names, r)) for r in rows], schema=_OBJECT)
+
+    return one.mapInArrow(run, "sha256 string, size long, object_path string, outcome string")
+
+
+_OBJECT = pa.schema([("sha256", pa.string()), ("size", pa.int64()), ("object_path", pa.string()), ("outcome", pa.string())])
+
+
+def grouped_markdown(works: DataFrame) -> DataFrame:
+    """One Markdown section a composer: works (composer, title, url) in order, all text escaped."""
+    plain = lambda c: F.regexp_replace(F.regexp_replace(F.col(c), r"([\\`*_{}\[\]<>#|])", r"\\$1"), r"\s+", " ")
+    item = F.concat(F.lit("- ["), plain("title"), F.lit("](<"), F.regexp_replace("url", r"[<>\s]", ""), F.lit(">)"))
+    rows = works.select("composer", "title", item.alias("item"), F.concat(F.lit("### "), plain("composer")).alias("head"))
+    rows = rows.groupBy("composer", "head").agg(F.array_sort(F.collect_list(F.struct("title", "item"))).alias("x"))
+    return rows.select("composer", F.concat(F.col("head"), F.lit("\n\n"), F.array_join(F.transform("x", lambda i: i["item"]), "\n"), F.lit("\n")).alias("markdown"))
+
+
 def category_view(memberships: DataFrame, objects: DataFrame) -> DataFrame:
     """Active memberships with the object that each category path shows; no file is linked."""
     rows = memberships.filter("active").join(objects.select(F.col("sha256"), "object_path"), "sha256")

@@ -42,7 +42,7 @@ def test_review(spark):
     assert [(r.rule, r.key) for r in bad.collect()] == [("current_title_differs", "3")]
     metrics = {r.metric: r.value for r in R.audit(out, corpus).collect()}
     assert metrics["records"] == 3 and metrics["etude_as_research"] == 1 and metrics["missing"] == 0
-    assert sorted((r.work_id, r.shard) for r in R.shards(corpus.select("work_id"), "work_id", 2).collect()) == [("1", 1), ("2", 2), ("3", 1)]
+    assert sorted((r.work_id, r.shard) for r in R.deal(corpus.select("work_id"), "work_id", 2).collect()) == [("1", 1), ("2", 2), ("3", 1)]
 
 
 LOG = "source_id string, attempt_number int, started_at timestamp, completed_at timestamp, status string, retry_after int"

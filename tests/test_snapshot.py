@@ -94,3 +94,21 @@ def test_fallback_titles_and_sections(spark):
     assert [n for n, s in names(P.Target("guitar", 1, "arrangement")) if s == "work level"] == ["own.pdf", "p.pdf", "two.pdf"]
     keys = spark.createDataFrame([("A_b%20c&amp;d.PDF",)], "s string").select(P.filename_key(F.col("s")).alias("k")).first()
     assert keys.k == "a b c&d.pdf"
+
+
+def test_reviewed_tables_and_shards(spark):
+    kind = "work_id string, title_en string, title_zh string, status string, basis string, reason string, reviewer string, source_refs array<string>"
+    good = ("1", "A", "《甲》", "accepted", "corpus_review", "r", "me", [])
+    bad = [good, ("2", "B", "乙", "accepted", "common_name", "r", "me", []), ("3", " ", "《丙》", "other", None, "r", "me", None), ("1", "A", "《甲》", "corrected", "common_name", "r", "me", ["x"])]
+    assert R.table_violations(spark.createDataFrame([good], kind)).count() == 0
+    assert sorted((r.rule, r.key) for r in R.table_violations(spark.createDataFrame(bad, kind)).collect()) == [
+        ("duplicate_work", "1"), ("empty_field", "3"), ("source_refs_not_a_list", "3"), ("title_not_displayable", "2"), ("unknown_basis", "3"), ("unknown_status", "3"),
+    ]
+    corpus = spark.createDataFrame([(str(i),) for i in range(1, 12)], "work_id string")
+    heads = lambda *rows: spark.createDataFrame(rows, "shard int, audited_count int")
+    fixed = spark.createDataFrame([("10", 1), ("2", 2)], "work_id string, shard int")  # in the order of the numbers
+    assert R.shard_violations(heads((1, 4), (2, 4), (3, 3)), corpus, fixed, 3).count() == 0
+    wrong = R.shard_violations(heads((1, 4), (2, 5), (2, 5)), corpus, spark.createDataFrame([("3", 1)], "work_id string, shard int"), 3)
+    assert {(r.rule, r.key) for r in wrong.collect()} == {("duplicate_shard", "2"), ("shard_missing", "3"), ("audited_count_differs", "2"), ("correction_of_other_shard", "3")}
+    tables = spark.createDataFrame([("1", "A"), ("1", "Z"), ("9", "Q")], "work_id string, title_en string")
+    assert [(r.key, r.detail) for r in R.title_violations(tables, spark.createDataFrame([good], kind)).collect()] == [("1", "A")]

@@ -75,6 +75,34 @@ def test_files_and_sinks(spark, tmp_path):
     assert [tuple(r) for r in links.collect()] == [("1", "7", "a/b.pdf")]
 
 
+def test_objects_are_stored_kept_repaired_and_refused(spark, tmp_path):
+    from cantorel.session import ship
+
+    ship(spark)
+    df = spark.createDataFrame([("a", b"%PDF-1"), ("b", b"%PDF-1"), ("c", b"%PDF-2"), ("d", b"<html>")], "path string, content binary")
+    run = lambda: {r.sha256: (r.object_path, r.outcome) for r in sinks.write_objects(df, f"file://{tmp_path}", "%PDF-").collect()}
+    first = run()
+    assert sorted(o for _, o in first.values()) == ["refused", "stored", "stored"]
+    paths = [p for p, o in first.values() if o == "stored"]
+    assert sorted((tmp_path / p).read_bytes() for p in paths) == [b"%PDF-1", b"%PDF-2"]
+    (tmp_path / paths[0]).write_bytes(b"broken")
+    assert sorted(o for _, o in run().values()) == ["kept", "refused", "repaired"]
+    assert sorted((tmp_path / p).read_bytes() for p in paths) == [b"%PDF-1", b"%PDF-2"]
+    assert [p.read_bytes() for p in (tmp_path / "quarantine").iterdir()] == [b"broken"]
+
+
+def test_status_log_is_appended(spark, tmp_path):
+    row = spark.createDataFrame([tuple("x" for _ in sinks.STATUS_COLUMNS)], ", ".join(f"{c} string" for c in sinks.STATUS_COLUMNS)).withColumn("more", F.lit(1))
+    for _ in range(2):
+        sinks.append_status(row, f"{tmp_path}/log")
+    assert spark.read.parquet(f"{tmp_path}/log").count() == 2
+
+
+def test_markdown(spark):
+    works = spark.createDataFrame([("Bach [J]", "B*", "https://x/a b"), ("Bach [J]", "A", "u")], "composer string, title string, url string")
+    assert sinks.grouped_markdown(works).first().markdown == "### Bach \\[J\\]\n\n- [A](<u>)\n- [B\\*](<https://x/ab>)\n"
+
+
 def test_rendering(spark):
     works = spark.createDataFrame([("1", "Bach", "A <b>", "u", 1), ("2", "Bach", "B", "v", 2)], "work_id string, composer string, title string, url string, ord int")
     man = spark.createDataFrame([("1", f"p{i}", i) for i in range(10)], "work_id string, relative_path string, ord int")
