@@ -1,3 +1,5 @@
+import random
+
 from cantorel.operators import drift as D
 from cantorel.operators import review as R
 from cantorel.operators import attempts as A
@@ -110,3 +112,35 @@ def test_restored_associations(spark):
     log = spark.createDataFrame([("s", 1, ["x"], ["m9"]), ("s", 2, ["a", "b"], ["m1", "m2"])], "source_id string, attempt_number int, category_names array<string>, membership_ids array<string>")
     got = {r.source_id: [tuple(a) for a in r.associations] for r in A.restored(groups, log).collect()}
     assert got == {"s": [("a", "m1"), ("b", "m2")], "t": [("b", "m3")]}
+
+
+def lev(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
+
+
+def test_close_names_match_brute_force(spark):
+    rng = random.Random(2)
+    names = {"", "a", "ab", "ba", "abc"} | {"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(60)}
+    names |= {n[:3] + rng.choice("abcd") + n[3:] for n in list(names)}
+    df = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    for limit in (0, 1, 3):
+        want = {(a, b, lev(a, b)) for a in names for b in names if lev(a, b) <= limit}
+        assert {tuple(r) for r in D.close_names(df, df, limit).collect()} == want
+
+
+def test_renames_match_brute_force(spark):
+    rng = random.Random(3)
+    sets = {i: {0} | set(rng.sample(range(1, 40), rng.randint(1, 12))) for i in range(40)}
+    for i in range(20):
+        sets[100 + i] = {m for m in sets[i] if rng.random() < 0.9} | {rng.randrange(1, 40)}
+    rows = spark.createDataFrame([(i, f"n{i}", m) for i, ms in sets.items() for m in ms], "name_id int, name string, member int")
+    for t in (0.3, 0.8):
+        got = {(r.source_name, r.candidate_name, r.overlap) for r in D.rename_candidates(rows, rows, 9, t, ordered=True).collect()}
+        want = {(f"n{a}", f"n{b}", len(sets[a] & sets[b])) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= t * len(sets[a] | sets[b]) - 1e-9}
+        assert got == want and want
