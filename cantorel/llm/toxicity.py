@@ -29,7 +29,7 @@ PLACES = 1 << 20
 #: Bytes of the word beginnings that are terms too.
 STEMS = (5,)
 #: Bounds of the sample that the machine is fitted on: labelled documents, and their (document, term) pairs.
-MAX_LABELLED, MAX_PAIRS = 20_000, 1 << 24
+MAX_LABELLED, MAX_PAIRS = 10_000, 1 << 23
 _STEM_SALT = np.arange(2, 2 + max(STEMS), dtype=np.uint64) * _GOLDEN
 FACTORS, STEPS, RATE, DECAY = 8, 80, 0.05, 2e-5
 #: Passes over all terms, by how many times as sure a gradient must be as in the last: what strong terms explain, their neighbours need not.
