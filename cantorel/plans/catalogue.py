@@ -256,18 +256,36 @@ def q_numeric_sort(spark: SparkSession, d: str) -> DataFrame:
     return ordering.numbered(rows, "k").select("brand", (F.col("n") + 1).alias("n"))
 
 
-@_query("q_casefold")
+@_query("q_casefold", "SELECT doc_id, sha256(nfc_normalize(replace(lower(nfc_normalize(text)), 'ß', 'ss'))) AS folded_sha256 FROM documents")
 def q_casefold(spark: SparkSession, d: str) -> DataFrame:
     return _table(spark, d, "documents").select("doc_id", F.sha2(T.nfc_casefold("text").cast("binary"), 256).alias("folded_sha256"))
 
 
-@_query("q_stream_state")
+@_query(
+    "q_stream_state",
+    """WITH e AS (SELECT user_id, event_id, event_type AS kind, count(*) FILTER (WHERE event_type = 'error') OVER w AS errors, bool_or(event_type = 'purchase') OVER w AS bought
+         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)),
+       l AS (SELECT *, coalesce(lag(bought OR errors >= 3) OVER (PARTITION BY user_id ORDER BY event_id), false) AS past FROM e)
+       SELECT CAST(user_id AS VARCHAR) AS user_id, count(*) FILTER (WHERE NOT past AND kind = 'error') AS attempts,
+         CASE WHEN max(errors) FILTER (WHERE NOT past) >= 3 THEN 'retry_exhausted' ELSE arg_max(kind, event_id) FILTER (WHERE NOT past) END AS status,
+         count(*) FILTER (WHERE NOT past) AS accepted, count(*) FILTER (WHERE past) AS rejected FROM l GROUP BY user_id""",
+)
 def q_stream_state(spark: SparkSession, d: str) -> DataFrame:
     """The attempt-log state machine run as a stream over the events until they are used up."""
     return stream_attempts.replay(spark, f"{d}/events.parquet")
 
 
-@_query("q_wikitext_parse")
+_FOLDED = "trim(regexp_replace(nfc_normalize(replace(lower(nfc_normalize(line)), 'ß', 'ss')), '\\s+', ' ', 'g'))"
+
+
+@_query(
+    "q_wikitext_parse",
+    f"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+       l AS (SELECT doc_id, i, {_FOLDED} AS name FROM (SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line FROM d)),
+       w AS (SELECT *, lag(name, 1) OVER o AS up, lag(name, 2) OVER o AS top FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+       SELECT CAST(doc_id AS VARCHAR) AS page_id, CAST(i + 1 AS INTEGER) AS node_ord, CAST(2 + i % 3 AS INTEGER) AS level, name AS normalized,
+         CASE i % 3 WHEN 0 THEN name WHEN 1 THEN up || ' > ' || name ELSE top || ' > ' || up || ' > ' || name END AS ancestry FROM w""",
+)
 def q_wikitext_parse(spark: SparkSession, d: str) -> DataFrame:
     """Heading trees of pages written in wiki markup from the documents."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.concat(F.repeat(F.lit("="), 2 + i % 3), F.lit(" "), x, F.lit(" "), F.repeat(F.lit("="), 2 + i % 3)))
