@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cantorel.functions import rules
 from cantorel.functions import text as T
-from cantorel.operators import attempts, classify, drift, entities, ordering, paths, production, review, search, snapshot
+from cantorel.operators import attempts, classify, drift, entities, ordering, paths, production, review, search, snapshot, wikitext
 from cantorel.plans.registry import query, table
 from cantorel.sources import files, sinks
 
@@ -571,3 +571,135 @@ def q_id_order(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
     ids = part.select(F.col("p_partkey").cast("string").alias("id")).unionByName(part.select(F.col("p_brand").alias("id")).distinct())
     return ordering.numbered(ids.withColumn("k", ordering.id_key(F.col("id"))), "k").select("id", (F.col("n") + 1).alias("n"))
+
+
+# Strict extraction, reviews and recovery
+
+
+@query(
+    "q_extract",
+    """WITH c AS (SELECT p_size % 4 AS v, count(*) AS n FROM part GROUP BY 1),
+       o(v, category_name, disposition, reason_code) AS (VALUES (0, 'For guitar', 'selected', 'exact_original_instrumentation'), (0, 'For 3 guitars (arr)', 'manual_review', 'work_level_instrumentation_not_exact'),
+         (1, 'For guitar', 'excluded', 'instrumentation_not_exact'), (1, 'For 3 guitars (arr)', 'manual_review', 'work_level_instrumentation_not_exact'),
+         (2, 'For guitar', 'excluded', 'branch_not_allowed'), (2, 'For 3 guitars (arr)', 'selected', 'exact_arrangement_heading'), (3, NULL, 'invalid_page', 'unbalanced_template'))
+       SELECT category_name, disposition, reason_code, CAST(sum(n) AS BIGINT) AS n FROM o JOIN c USING (v) GROUP BY ALL""",
+)
+def q_extract(spark: SparkSession, d: str) -> DataFrame:
+    v, file_id = F.col("p_size") % 4, (F.col("p_partkey") + 1).cast("string")
+    file = F.concat(F.lit(f"{{{{{wikitext.FILE_TEMPLATE}\n|File Name 1=x.pdf\n|File ID 1="), file_id, F.lit("\n"), F.when(v == 3, "").otherwise("}}\n"))
+    heads = F.when(v == 2, "==Arrangements and Transcriptions==\n===For 3 guitars===\n").otherwise("==Scores and Parts==\n")
+    page = F.concat(F.lit("| *****FILES***** =\n"), heads, file, F.lit("| *****WORK INFO***** =\n|Instrumentation="), F.when(v == 1, "piano").otherwise("guitar"), F.lit("\n"))
+    names = F.array(F.lit("For guitar"), F.lit("For 3 guitars (arr)"))
+    pages = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("page_id"), F.lit("1").alias("revision_id"), names.alias("category_names"), page.alias("wikitext"))
+    kind = "name string, kind string, instrumentation_patterns array<string>, heading_patterns array<string>, annotation_reject_tokens array<string>"
+    given = [("For guitar", "original", ["^guitar$"], [], ["piano"]), ("For 3 guitars (arr)", "arrangement", ["^3 guitars$"], [r"^for 3 guitars(?: \((?P<annotation>[^()]*)\))?$"], ["piano"])]
+    done = wikitext.extract(pages, spark.createDataFrame(given, kind))
+    return done.groupBy("category_name", "disposition", "reason_code").agg(F.count("*").alias("n"))
+
+
+@query(
+    "q_review_audit",
+    """WITH t AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_size % 2 = 0) AS bad, count(DISTINCT p_size % 2) - 1 AS mixed FROM part)
+       SELECT 'records' AS metric, n AS value FROM t UNION ALL SELECT 'works', n FROM t UNION ALL SELECT 'missing', 0 FROM t UNION ALL SELECT 'extra', 0 FROM t UNION ALL SELECT 'title_mismatch', 0 FROM t
+       UNION ALL SELECT 'inconsistent_works', 0 FROM t UNION ALL SELECT 'inconsistent_titles', mixed FROM t UNION ALL SELECT 'sonatina_as_sonata', bad FROM t WHERE bad > 0 UNION ALL SELECT 'opus_number_missing', bad FROM t WHERE bad > 0""",
+)
+def q_review_audit(spark: SparkSession, d: str) -> DataFrame:
+    zh = F.when(F.col("p_size") % 2 == 0, "《第5号奏鸣曲》").otherwise("《第5号小奏鸣曲》，Op.9")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("work_id"), F.lit("Sonatina No.5, Op.9").alias("title_en"), zh.alias("title_zh"))
+    return review.audit(rows, rows)
+
+
+@query(
+    "q_supplement",
+    """SELECT p_partkey AS work_id, CASE WHEN p_size % 4 = 0 THEN '《新》' ELSE p_name END AS title_zh, CASE WHEN p_size % 4 = 0 THEN 'n' ELSE 'o' END AS reason FROM part""",
+)
+def q_supplement(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    rows = part.select(F.col("p_partkey").alias("work_id"), F.col("p_name").alias("title_zh"), F.lit("o").alias("reason"))
+    changes = part.filter("p_size % 4 = 0").select(F.col("p_partkey").alias("work_id"), F.col("p_name").alias("current_title_zh"), F.lit("《新》").alias("new_title_zh"), F.lit("n").alias("reason"))
+    return review.supplement(rows, changes)[0].select("work_id", "title_zh", "reason")
+
+
+@query(
+    "q_title_violations",
+    "SELECT 'title_differs_from_review' AS rule, CAST(p_partkey AS VARCHAR) AS key, p_type AS detail FROM part WHERE p_size % 5 = 0",
+)
+def q_title_violations(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("work_id"), F.col("p_name").alias("title_en"), "p_type", "p_size")
+    reviewed = part.filter("p_size % 2 = 0 or p_size % 5 = 0").select("work_id", F.when(F.col("p_size") % 5 == 0, F.col("p_type")).otherwise(F.col("title_en")).alias("title_en"))
+    return review.title_violations(part, reviewed)
+
+
+@query(
+    "q_log_violations",
+    """WITH a AS (SELECT *, lag(ts) OVER w AS was, lag(event_type) OVER w AS kind FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+       b AS (SELECT *, bool_or(event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS past FROM a)
+       SELECT 'attempt_after_terminal' AS rule, count(*) AS n FROM b WHERE past HAVING count(*) > 0
+       UNION ALL SELECT 'wait_not_respected', count(*) FROM b WHERE kind = 'view' AND ts < was + INTERVAL 60 SECOND HAVING count(*) > 0""",
+)
+def q_log_violations(spark: SparkSession, d: str) -> DataFrame:
+    return rules.histogram(attempts.violations(_log(spark, d)), F.col("rule"), "rule")
+
+
+@query(
+    "q_recovered_aliases",
+    """WITH m AS (SELECT p_partkey, p_brand, p_size, p_type, p_partkey % 3 = 0 AS present FROM part), q AS (SELECT p_partkey, p_brand, p_size, p_type FROM part WHERE p_partkey % 5 = 0)
+       SELECT CAST(q.p_partkey AS VARCHAR) AS path, min(CAST(m.p_partkey AS VARCHAR)) AS target FROM q JOIN m USING (p_brand, p_size, p_type) WHERE q.p_partkey <> m.p_partkey AND NOT present GROUP BY q.p_partkey HAVING count(*) = 1""",
+)
+def q_recovered_aliases(spark: SparkSession, d: str) -> DataFrame:
+    files_of = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("path"), F.col("p_brand").alias("work_id"), F.col("p_size").alias("size"), F.col("p_type").alias("sha1"), (F.col("p_partkey") % 3 == 0).alias("present"))
+    return entities.recovered_aliases(files_of.filter("cast(path as long) % 5 = 0").drop("present"), files_of)
+
+
+@query("q_retried", "SELECT doc_id AS filename FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)")
+def q_retried(spark: SparkSession, d: str) -> DataFrame:
+    log = table(spark, d, "labels").select(F.col("doc_id").alias("filename"), F.when(F.col("quality") == 0, "failed").otherwise("ok").alias("status"))
+    return snapshot.retried(table(spark, d, "documents").select(F.col("doc_id").alias("filename")), log)
+
+
+@query("q_outcomes", "SELECT CASE WHEN event_type = 'click' AND event_id % 5 >= 3 THEN 'retry_exhausted' WHEN event_type = 'click' THEN 'retryable' ELSE event_type END AS outcome, count(*) AS n FROM events GROUP BY 1")
+def q_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    status = F.when(F.col("event_type") == "click", attempts.RETRY).otherwise(F.col("event_type"))
+    return rules.histogram(table(spark, d, "events"), attempts.outcome(status, F.col("event_id") % 5, 3), "outcome")
+
+
+@query("q_needed_space", "SELECT source, CAST(floor(sum(n_chars) * 1.2) AS BIGINT) + 1073741824 AS bytes FROM documents WHERE source IS NOT NULL GROUP BY source")
+def q_needed_space(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").filter("source is not null").groupBy("source").agg(F.sum("n_chars").alias("n"))
+    return rows.select("source", entities.needed_space(F.col("n")).cast("long").alias("bytes"))
+
+
+@query(
+    "q_master_rank",
+    "SELECT p_partkey, CASE WHEN lower(p_name) = 'red gear' THEN 0 WHEN starts_with(lower(p_name), 'red gear') THEN 1 WHEN contains(lower(p_name || ' ' || p_type), 'red') AND contains(lower(p_name || ' ' || p_type), 'gear') THEN 2 END AS rank FROM part",
+)
+def q_master_rank(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", snapshot.master_rank(F.lit("red gear"), F.col("p_name"), F.concat_ws(" ", "p_name", "p_type")).alias("rank"))
+
+
+@query(
+    "q_page_titles",
+    "SELECT p_partkey, p_name AS title, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE 'Unknown' END AS composer, 'https://scores.example/wiki/' || replace(p_name, ' ', '_') AS url FROM part",
+)
+def q_page_titles(spark: SparkSession, d: str) -> DataFrame:
+    named = F.when(F.col("p_size") % 2 == 0, F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")"))).otherwise(F.col("p_name"))
+    rows = table(spark, d, "part").select("p_partkey", T.page_title(named).alias("t"))
+    return rows.select("p_partkey", "t.title", "t.composer", snapshot.page_url(F.col("t.title"), "https://scores.example").alias("url"))
+
+
+@query("q_object_paths", "SELECT c_custkey, 'objects/' || substr(sha256(c_name), 1, 2) || '/' || sha256(c_name) || '.pdf' AS object_path FROM customer")
+def q_object_paths(spark: SparkSession, d: str) -> DataFrame:
+    objects = sinks.store_objects(table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("path"), F.col("c_name").cast("binary").alias("content")))
+    return objects.select(F.explode("sources").alias("key"), "object_path").select(F.col("key").cast("long").alias("c_custkey"), "object_path")
+
+
+@query(
+    "q_overridden_maps",
+    "SELECT o_custkey, string_agg(k || '=' || v, ',' ORDER BY k) AS entries FROM (SELECT o_custkey, o_orderpriority AS k, arg_max(o_orderkey, o_orderkey) AS v FROM orders WHERE o_custkey % 2 = 0 GROUP BY 1, 2) GROUP BY o_custkey",
+)
+def q_overridden_maps(spark: SparkSession, d: str) -> DataFrame:
+    orders = table(spark, d, "orders").filter("o_custkey % 2 = 0")
+    of = lambda agg: orders.groupBy("o_custkey", "o_orderpriority").agg(agg("o_orderkey").alias("v")).groupBy("o_custkey").agg(F.map_from_entries(F.collect_list(F.struct("o_orderpriority", "v"))).alias("m"))
+    both = of(F.min).join(of(F.max).withColumnRenamed("m", "over"), "o_custkey")
+    entries = F.map_entries(rules.overridden(F.col("m"), F.col("over")))
+    return both.select("o_custkey", F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("entries"))
