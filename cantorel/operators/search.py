@@ -236,6 +236,20 @@ def _on_aliases() -> Column:
     return out
 
 
+def directory(queries: DataFrame, index: Index) -> DataFrame:
+    """(query_id, family, categories, works): the categories that each query's facets leave, by family, and their distinct works."""
+    pairs = _pairs(queries, index.categories).join(index.categories.select(F.col("id").alias("category_id"), "family"), "category_id")
+    names = pairs.groupBy("query_id", "family").agg(F.array_sort(F.collect_set("category_id")).alias("categories"))
+    works = pairs.join(index.bridge, "category_id").groupBy("query_id", "family").agg(F.countDistinct("id").alias("works"))
+    return names.join(works, ["query_id", "family"], "left").withColumn("works", F.coalesce("works", F.lit(0)))
+
+
+def kinds(index: Index) -> DataFrame:
+    """(id, kinds): the kinds of all categories of a work, as its label shows them."""
+    rows = index.bridge.join(index.categories.select(F.col("id").alias("category_id"), "kind"), "category_id")
+    return rows.groupBy("id").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
+
+
 def catalog_view(queries: DataFrame) -> DataFrame:
     """Whether a query shows categories or works."""
     q = prepared(queries)

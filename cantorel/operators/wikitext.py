@@ -178,6 +178,20 @@ def headings(pages: DataFrame) -> DataFrame:
     return rows.filter("error is not null or level > 0 or attachment is not null")
 
 
+#: Deepest level of a heading.
+_LEVELS = 6
+
+
+def section_spans(headings: DataFrame) -> DataFrame:
+    """Heading rows (page_id, revision_id, node_ord, level) with ``end_ord``, the next heading of the same or a higher rank, null at the page's end.
+
+    One pass over each page's headings: for each level the next heading of at most that level.
+    """
+    after = Window.partitionBy("page_id", "revision_id").orderBy("node_ord").rowsBetween(1, Window.unboundedFollowing)
+    ends = F.array(*[F.min(F.when(F.col("level") <= n, F.col("node_ord"))).over(after) for n in range(1, _LEVELS + 1)])
+    return headings.withColumn("end_ord", F.get(ends, F.col("level") - 1))
+
+
 def page_violations(decisions: DataFrame) -> DataFrame:
     """The pages that ``extract`` could not read, as a violation each, for a build that must have none."""
     bad = decisions.filter("disposition = 'invalid_page'").select("page_id", "revision_id", "reason_code").distinct()

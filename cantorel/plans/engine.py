@@ -703,3 +703,30 @@ def q_overridden_maps(spark: SparkSession, d: str) -> DataFrame:
     both = of(F.min).join(of(F.max).withColumnRenamed("m", "over"), "o_custkey")
     entries = F.map_entries(rules.overridden(F.col("m"), F.col("over")))
     return both.select("o_custkey", F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("entries"))
+
+
+@query(
+    "q_section_spans",
+    """WITH d AS (SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents WHERE text IS NOT NULL), h AS (SELECT doc_id, n, unnest(range(n)) AS i FROM d)
+       SELECT CAST(doc_id AS VARCHAR) AS page_id, CAST(i + 1 AS INTEGER) AS node_ord, CAST(CASE WHEN i + 3 - i % 3 < n THEN i + 4 - i % 3 END AS INTEGER) AS end_ord FROM h""",
+)
+def q_section_spans(spark: SparkSession, d: str) -> DataFrame:
+    lines = F.posexplode(F.split("text", "\n")).alias("i", "line")
+    heads = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("page_id"), F.lit("1").alias("revision_id"), lines)
+    rows = heads.select("page_id", "revision_id", (F.col("i") + 1).alias("node_ord"), (2 + F.col("i") % 3).alias("level"))
+    return wikitext.section_spans(rows).select("page_id", "node_ord", "end_ord")
+
+
+@query(
+    "q_directory",
+    f"""WITH {_CATALOGUE}, x AS (SELECT query_id, cid, c.family FROM q JOIN c ON {_FACETS})
+       SELECT x.query_id, x.family, string_agg(DISTINCT CAST(cid AS VARCHAR), ',' ORDER BY CAST(cid AS VARCHAR)) AS categories, count(DISTINCT w.id) AS works FROM x LEFT JOIN w ON cid IN (a, b) GROUP BY 1, 2""",
+)
+def q_directory(spark: SparkSession, d: str) -> DataFrame:
+    asked, index, _ = _catalogue(spark, d)
+    return search.directory(asked, index).select("query_id", "family", F.array_join(F.col("categories").cast("array<string>"), ",").alias("categories"), "works")
+
+
+@query("q_kinds", f"WITH {_CATALOGUE} SELECT w.id, string_agg(DISTINCT c.kind, ',' ORDER BY c.kind) AS kinds FROM w JOIN c ON cid IN (a, b) GROUP BY w.id")
+def q_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return search.kinds(_catalogue(spark, d)[1]).select("id", F.array_join("kinds", ",").alias("kinds"))

@@ -77,6 +77,30 @@ def hashed_tree(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataF
     return rows.select("path", F.col("length").alias("size"), F.sha1("content").alias("sha1"), F.sha2("content", 256).alias("sha256"), (F.substring("content", 1, 5) == F.lit(b"%PDF-")).alias("is_pdf"))
 
 
+def read_catalogue(spark: SparkSession, path: str, item: str, version: int = 1) -> DataFrame:
+    """Works of a public catalogue document {schema_version, works}; a catalogue that is missing or of another version is an error."""
+    rows = read_json(spark, path, f"schema_version int, works array<struct<{item}>>")
+    other = rows.filter(~F.col("schema_version").eqNullSafe(version)).take(1)
+    if other:
+        raise ManifestError(f"{path} is of schema version {other[0].schema_version}")
+    return rows.select(F.inline("works"))
+
+
+def read_aliases(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(composer, alias) and (id, alias) of an alias document {composers, works}; without one, or with a broken one, there are none."""
+    from pyspark.errors import AnalysisException
+
+    kind = "composers map<string,array<string>>, works map<string,array<string>>"
+    try:
+        rows = spark.read.schema(kind).option("multiLine", True).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], kind)
+    pairs = lambda column, name: rows.select(F.explode(column).alias(name, "a")).select(name, F.explode("a").alias("alias"))
+    return pairs("composers", "composer"), pairs("works", "id")
+
+
 def optional(read, empty: DataFrame) -> DataFrame:
     """What ``read`` gives, or the empty table where its path doesn't exist."""
     from pyspark.errors import AnalysisException

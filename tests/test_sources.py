@@ -91,6 +91,20 @@ def test_objects_are_stored_kept_repaired_and_refused(spark, tmp_path):
     assert [p.read_bytes() for p in (tmp_path / "quarantine").iterdir()] == [b"broken"]
 
 
+def test_catalogue_is_required_and_aliases_are_not(spark, tmp_path):
+    (tmp_path / "c.json").write_text('{"schema_version": 1, "works": [{"id": "1"}, {"id": "2"}]}')
+    (tmp_path / "d.json").write_text('{"schema_version": 2, "works": []}')
+    (tmp_path / "a.json").write_text('{"composers": {"Bach": ["JSB", "Bach J"]}, "works": {"2": ["x"]}}')
+    (tmp_path / "b.json").write_text("{broken")
+    assert sorted(r.id for r in files.read_catalogue(spark, f"{tmp_path}/c.json", "id: string").collect()) == ["1", "2"]
+    with pytest.raises(files.ManifestError):
+        files.read_catalogue(spark, f"{tmp_path}/d.json", "id: string")
+    composers, works = files.read_aliases(spark, f"{tmp_path}/a.json")
+    assert sorted(map(tuple, composers.collect())) == [("Bach", "Bach J"), ("Bach", "JSB")] and [tuple(r) for r in works.collect()] == [("2", "x")]
+    for name in ("b.json", "none.json"):
+        assert [df.count() for df in files.read_aliases(spark, f"{tmp_path}/{name}")] == [0, 0]
+
+
 def test_status_log_is_appended(spark, tmp_path):
     row = spark.createDataFrame([tuple("x" for _ in sinks.STATUS_COLUMNS)], ", ".join(f"{c} string" for c in sinks.STATUS_COLUMNS)).withColumn("more", F.lit(1))
     for _ in range(2):

@@ -117,3 +117,11 @@ def test_pages_with_errors_do_not_vanish(spark, decide):
     assert got["1", "For guitar", "a.pdf"][0] == "selected"
     bad = spark.createDataFrame([("2", "7", "invalid_page", "unbalanced_template")], "page_id string, revision_id string, disposition string, reason_code string")
     assert [(r.rule, r.key, r.detail) for r in W.page_violations(bad).collect()] == [("invalid_page", "2@7", "unbalanced_template")]
+
+
+def test_section_spans(spark):
+    levels = [2, 3, 4, 4, 3, 2, 6, 1]
+    rows = spark.createDataFrame([("1", "7", i + 1, n) for i, n in enumerate(levels)] + [("2", "7", 1, 3)], "page_id string, revision_id string, node_ord int, level int")
+    got = {(r.page_id, r.node_ord): r.end_ord for r in W.section_spans(rows).collect()}
+    want = {("1", i + 1): next((k + 1 for k in range(i + 1, len(levels)) if levels[k] <= n), None) for i, n in enumerate(levels)} | {("2", 1): None}
+    assert got == want
