@@ -68,7 +68,11 @@ def write_manifest(df: DataFrame, path: str, model_type: str, version: int = 1)
 
 
 def catalogue_document(works: DataFrame, categories: DataFrame, summary: DataFrame) -> DataFrame:
-    """The public catalogue as one row of minified JSON. The document is one object by definition."""
+    """The public catalogue as one row of minified JSON.
+
+    The document is one object by definition and is put together in one task, so this is for catalogues
+    that a browser can load (some 10,000 works make 3 MB); larger ones are written as tables.
+    """
     w = works.agg(F.array_sort(F.collect_list(F.struct("ord", F.struct(*[c for c in works.columns if c != "ord"]).alias("w")))).alias("w"))
     c = categories.agg(F.array_sort(F.collect_list(F.struct("id", "name", "name_zh", "family", "kind"))).alias("categories"))
     row = w.join(c).join(summary)
