@@ -37,7 +37,9 @@ def _collected(rows: DataFrame, name: str) -> DataFrame:
 
 def create_index(works: DataFrame, categories: DataFrame, composer_aliases: DataFrame, work_aliases: DataFrame) -> Index:
     """Works (id, title_en, title_zh, composer_en, composer_zh, category_ids), categories (id, name, name_zh,
-    family, kind), aliases (composer, alias) and (id, alias) to an index."""
+    family, kind), aliases (composer, alias) and (id, alias) to an index.
+
+    Its documents and postings are written once, to the shared folder; searches read them."""
     bridge = works.select("id", F.explode("category_ids").alias("category_id"))
     cats = categories.select(F.col("id").alias("category_id"), "name", "name_zh")
     plain = works.select("id", F.explode(F.array("title_en", "title_zh", "composer_en", "composer_zh", "id")).alias("value"))
@@ -48,11 +50,12 @@ def create_index(works: DataFrame, categories: DataFrame, composer_aliases: Data
     docs = works.join(_collected(source, "fields"), "id").join(_collected(source.unionByName(aliases), "all_fields"), "id")
     for fields, blob, toks in (("fields", "blob", "tokens"), ("all_fields", "all_blob", "all_tokens")):
         docs = docs.withColumn(blob, F.array_join(fields, " ")).withColumn(toks, T.tokens(F.col(blob)))
+    docs = kept(docs)
     words = lambda blob: F.split(F.col(blob), " ")
     each = docs.select("id", F.explode(F.array_distinct(F.concat("all_tokens", words("all_blob")))).alias("token"), "all_tokens", "tokens", "blob")
     direct = F.array_contains("tokens", F.col("token")) | F.array_contains(words("blob"), F.col("token"))
     vocabulary = each.filter("token <> ''").select("id", "token", F.array_contains("all_tokens", F.col("token")).alias("is_token"), direct.alias("direct"))
-    return Index(docs, bridge, categories, vocabulary)
+    return Index(docs, bridge, categories, kept(vocabulary))
 
 
 def facet(query: str, column: Column) -> Column:
