@@ -128,15 +128,23 @@ def unresolved(mapped: DataFrame) -> DataFrame:
     return mapped.groupBy("kind", nfc_casefold("mapped").alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def suffixed(rows: DataFrame, path: str, identity: str, fold: Callable[[str], Column] = nfc_casefold, digits: int = _DIGITS[0]) -> DataFrame:
+    """One round of ``unique_paths``: all but the first of a colliding group (by identity) get so many digits of a hash as suffix.
+
+    Such suffixes can be equal too, or meet another path; only ``unique_paths`` goes on until nothing collides.
+    """
+    group = Window.partitionBy("__key").orderBy(identity)
+    rows = rows.withColumn("__key", fold(path)).withColumn("__r", F.row_number().over(group))
+    mark = F.concat(F.lit("__"), F.substr(F.sha1(F.col(identity).cast("string")), F.lit(1), F.lit(digits)))
+    ext = F.regexp_extract(path, r"\.[A-Za-z0-9]{1,5}$", 0)
+    marked = F.concat(F.regexp_replace(path, r"\.[A-Za-z0-9]{1,5}$", ""), mark, ext)
+    return rows.withColumn(path, F.when(F.col("__r") > 1, marked).otherwise(F.col(path))).drop("__key", "__r")
+
+
 def unique_paths(rows: DataFrame, path: str, identity: str, fold: Callable[[str], Column] = nfc_casefold) -> DataFrame:
     """Paths where all but the first of a colliding group (by identity) get a hash suffix, longer while any collide."""
     for digits in _DIGITS:
-        group = Window.partitionBy("__key").orderBy(identity)
-        rows = rows.withColumn("__key", fold(path)).withColumn("__r", F.row_number().over(group))
-        mark = F.concat(F.lit("__"), F.substr(F.sha1(F.col(identity).cast("string")), F.lit(1), F.lit(digits)))
-        ext = F.regexp_extract(path, r"\.[A-Za-z0-9]{1,5}$", 0)
-        marked = F.concat(F.regexp_replace(path, r"\.[A-Za-z0-9]{1,5}$", ""), mark, ext)
-        rows = rows.withColumn(path, F.when(F.col("__r") > 1, marked).otherwise(F.col(path))).drop("__key", "__r")
+        rows = suffixed(rows, path, identity, fold, digits)
         if rows.groupBy(fold(path).alias("key")).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
             return rows
     raise PathCollisionError("suffixes can't separate all paths: two identities are equal")

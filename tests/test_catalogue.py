@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from cantorel.operators import paths
 from cantorel.plans import catalogue
 
 D = "/root/testdata/sf0.001"
@@ -40,6 +41,20 @@ def test_every_query_has_its_oracle():
     assert set(catalogue.queries()) == set(catalogue.oracle_sql())
 
 
+def test_path_collision_equals_its_oracle_where_suffixes_meet(spark, tmp_path):
+    # the digests of 224076 and 1036256 begin with the same eight digits
+    parts = [(1, "large bolt"), (224076, "Large Bolt"), (1036256, "large bolt"), (1036257, "LARGE bolt"), (2, "new ring")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    want = con.execute(f"SELECT p_partkey, path FROM ({catalogue.oracle_sql()['q_path_collision']})").fetchall()
+    got = [tuple(r) for r in catalogue.queries()["q_path_collision"](spark, str(tmp_path)).select("p_partkey", "path").collect()]
+    assert sorted(got) == sorted(want)
+    assert dict(got)[224076] == "Large Bolt__d04d6ffc" and dict(got)[1036256] == "large bolt__d04d6ffc"
+    named = spark.createDataFrame(parts, "id long, path string")
+    assert len({r.path.lower() for r in paths.unique_paths(named, "path", "id").collect()}) == len(parts)
+
+
 def test_wikitext_parse_reads_whole_lines(spark, tmp_path):
     lines = ["Short  One", "Words " * 30 + "END", "x" * 39 + "AB tail", "Last ÄÖ " * 900, "again a heading that goes on beyond forty characters"]
     docs = {1: lines, 2: lines[::-1]}
